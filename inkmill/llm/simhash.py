@@ -116,7 +116,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, parts: int = PARTS, bucket: in
     if radius != 2:
         raise ValueError("balls of radius 1 meet exactly within 2 bits; other radii need another way for full buckets")
     gram = np.zeros(4096)
-    for at, s in nodes.select("fp").mapInArrow(_gram, "at int, s double").groupBy("at").agg(F.sum("s")).collect():
+    for at, s in nodes.select("fp").mapInArrow(_gram, "at long, s double").groupBy("at").agg(F.sum("s")).collect():
         gram[at] = s
     gram, n = gram.reshape(64, 64), nodes.count()
     groups = grouped_bits(gram, n, parts)
