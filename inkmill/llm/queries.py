@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from inkmill.llm import exact_dedup, simhash
+from inkmill.llm import audio, exact_dedup, piece_codec, pii, simhash
 
 QUERIES = {
+    "op1_audio_features": audio.op1_audio_features,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op3_pii": pii.op3_pii,
+    "op9_sentencepiece": piece_codec.op9_sentencepiece,
     "op10_simhash": simhash.op10_simhash,
 }
 SQL = {"op2_exact_dedup": exact_dedup.SQL}
