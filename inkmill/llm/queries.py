@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from inkmill.llm import audio, exact_dedup, language_id, page_diff, piece_codec, pii, quality, simhash, suffix_dedup
+from inkmill.llm import audio, exact_dedup, language_id, packing, page_diff, piece_codec, pii, quality, simhash, suffix_dedup
 
 QUERIES = {
     "op1_audio_features": audio.op1_audio_features,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_pii": pii.op3_pii,
+    "op4_packing": packing.op4_packing,
     "op5_page_text": page_diff.op5_page_text,
     "op6_quality": quality.op6_quality,
     "op7_language_id": language_id.op7_language_id,
