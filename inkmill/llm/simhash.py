@@ -18,7 +18,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkmill.llm.common import documents, id_and_text, slices, staged, texts
@@ -50,11 +50,13 @@ def _fingerprints(batches):
     for whole in batches:
         for batch in slices(whole):
             fp = np.array([fingerprint(t) for t in texts(batch)], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), pa.array(fp)], ["doc_id", "mark", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    return id_and_text(docs).mapInArrow(_fingerprints, "doc_id long, fp long")
+    """doc_id, a hash of the text that tells rows of one doc_id apart, and the fingerprint."""
+    rows = id_and_text(docs).withColumn("mark", F.xxhash64(F.coalesce("text", F.lit(""))))
+    return rows.mapInArrow(_fingerprints, "doc_id long, mark long, fp long")
 
 
 def _gram(batches):
@@ -147,6 +149,14 @@ def links(nodes: DataFrame, radius: int = RADIUS, parts: int = PARTS, bucket: in
     return near.unionByName(star)
 
 
+def _rooted(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Fingerprint rows of documents, and (fp, root) of every distinct fingerprint."""
+    rows = staged(fingerprints(docs), "fingerprints")
+    nodes = staged(rows.select("fp").distinct(), "nodes")
+    roots = components(links(nodes))
+    return rows, nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_components(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -154,19 +164,28 @@ def simhash_components(docs: DataFrame) -> DataFrame:
     reachable over links of at most 2 differing bits, null only where the whole component has null ids; repeated
     rows come out as often as they go in. An empty table gives no rows. Copies are one node, however many.
     """
-    rows = staged(fingerprints(docs), "fingerprints")
-    nodes = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = components(links(nodes))
-    named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rows, rooted = _rooted(docs)
+    named = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")).join(rooted, "fp"), "named")
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    ids = named.join(least, "root").select("fp", "component_id")
+    return rows.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all columns: of each component the one with the smallest doc_id."""
-    gone = simhash_components(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["__id"], "left_anti")
+    """The documents that stay, with all columns: of each component the row with the smallest doc_id.
+
+    Null ids come after all others; among rows of one doc_id the hash of the text decides; of rows that agree in
+    both, one stays.
+    """
+    rows, rooted = _rooted(docs)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    # the least row of a fingerprint, then of a component: copies meet as one row
+    least = rows.groupBy("fp").agg(F.min(order).alias("e")).join(rooted, "fp").groupBy("root").agg(F.min("e").alias("e"))
+    stay = least.select(F.col("e.doc_id").alias("__rid"), F.col("e.mark").alias("__rmark"))
+    keyed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__mark": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    left = keyed.join(stay, F.col("__id").eqNullSafe(F.col("__rid")) & (F.col("__mark") == F.col("__rmark")), "left_semi")
+    once = Window.partitionBy("__id", "__mark").orderBy("__mark")
+    return left.withColumn("__n", F.row_number().over(once)).filter("__n = 1").select(docs.columns)
 
 
 def op10_simhash(spark, sf_dir: str) -> DataFrame:
