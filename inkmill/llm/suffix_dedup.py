@@ -5,15 +5,17 @@ the corpus can't be held anywhere, so the corpus is first cut down to where such
 
 1. Of each SPAN-byte window the leftmost smallest GRAM-byte hash is its anchor. Equal windows have their anchor at
    the same offset, so it is enough to look, for every anchor, at the other places with the same anchor bytes.
-2. A piece is an anchor with all bytes that a window around it can reach. A piece that occurs twice as a whole is
-   repeated as a whole; that needs only its digest and a count, however many copies there are.
+2. A piece is an anchor with the bytes of all windows whose anchor it is, so every window is in one piece. A piece
+   that occurs twice as a whole is repeated as a whole; that needs only its digest and a count, however many copies.
 3. Pieces with the same anchor but different bytes remain. A window lies at least half to the left or half to the
    right of its anchor, so two such pieces share a window only if they agree on HALF bytes to one side. One example
    of each piece that has such a partner goes, group by group, into blocks; over each block a suffix array is built:
    suffixes smaller than their successors are sorted directly, the others induced by bucket scans, and adjacent
    common prefixes of SPAN bytes tell the repeated windows.
-4. A group of more than GROUP different pieces would not fit a block: its windows around the anchor are counted by
-   digest instead, at most HALF + 1 for each piece, in linear time and without any pairs.
+4. A group of more than GROUP different pieces (a passage within very many texts) would not fit a block. Its windows
+   are taken CELL at a time: where the bytes common to a cell's windows occur once, none is repeated; where the bytes
+   they cover together occur twice, all are; the windows of the cells between are counted one by one. Digests and
+   counts do it, in linear time and without any pairs.
 
 What is found for a piece is carried to all its occurrences, and a document's spans are united and cut out.
 """
@@ -33,7 +35,7 @@ from inkmill.llm.common import documents, slices, staged, texts
 SPAN, GRAM = 400, 64
 REACH = SPAN - GRAM  # bytes to either side of an anchor that a window can hold
 HALF = REACH // 2
-GROUP = 256
+GROUP, CELL = 24, 16
 BLOCK = 1 << 18
 #: Bytes whose anchors are found at once.
 CHUNK = 1 << 21
@@ -56,24 +58,24 @@ def doubled(x: np.ndarray, levels: int) -> list[np.ndarray]:
     return out
 
 
-def anchors(x: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, hashes) of the anchors of all windows of x that end by end[i], the end of position i's document."""
+def anchors(x: np.ndarray, end: np.ndarray, stop: int) -> tuple[np.ndarray, ...]:
+    """(anchor, its hash, first and last window start) for the windows of x that start before ``stop`` and end by
+    end[i], the end of position i's document."""
     if len(x) < SPAN:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return (np.zeros(0, np.int64), np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 2)
     h = doubled(x, GRAM.bit_length() - 1)[-1]
-    key = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)
+    least = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)
     window, size = REACH + 1, 1
-    least = key
     while size * 2 <= window:
         least = np.minimum(least[: len(least) - size], least[size:])
         size *= 2
-    last = window - size
-    least = np.minimum(least[: len(least) - last], least[last:]) if last else least
-    at = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    start = np.arange(len(at))
-    at = at[start + SPAN <= end[: len(at)]]
-    at = at[np.flatnonzero(np.diff(at, prepend=-1))]
-    return at, h[at]
+    if last := window - size:
+        least = np.minimum(least[: len(least) - last], least[last:])
+    at = (least[:stop] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    start = np.flatnonzero(np.arange(len(at)) + SPAN <= end[: len(at)])
+    at = at[start]
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    return at[first], h[at[first]], start[first], start[np.append(first[1:], len(at)) - 1] if len(at) else start
 
 
 def _hashes(batches):
@@ -87,25 +89,26 @@ def _hashes(batches):
             ends = np.cumsum(size)
             starts = ends - size
             x, end = np.frombuffer(buf, np.uint8), np.repeat(ends, size)
-            found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64))]
-            for a in range(0, len(x), CHUNK):  # windows that start in the chunk
+            found = []
+            for a in range(0, max(len(x), 1), CHUNK):
                 b = min(len(x), a + CHUNK + SPAN - 1)
-                at, h = anchors(x[a:b], end[a:b] - a)
-                found.append((at + a, h))
-            at, h = (np.concatenate([f[k] for f in found]) for k in (0, 1))
-            first = np.flatnonzero(np.diff(at, prepend=-1))  # a chunk may begin with its predecessor's last anchor
-            at, h = at[first], h[first]
+                at, h, low, high = anchors(x[a:b], end[a:b] - a, CHUNK)
+                found.append((at + a, h, low + a, high + a))
+            at, h, low, high = (np.concatenate(f) for f in zip(*found))
+            # a chunk may begin with windows of its predecessor's last anchor
+            first = np.flatnonzero(np.diff(at, prepend=-1))
+            high = high[np.append(first[1:], len(at)) - 1] if len(at) else high
+            at, h, low = at[first], h[first], low[first]
             owner = np.searchsorted(ends, at, "right")
-            low, high = np.maximum(starts[owner], at - REACH), np.minimum(ends[owner], at + SPAN)
-            mask = (1 << 63) - 1
-            piece = [digest64(buf[p:q], seed=c - p) & mask for p, q, c in zip(low.tolist(), high.tolist(), at.tolist())]
-            left = [digest64(buf[c - HALF : c + GRAM]) & 0x7FFFFFFF if c - p >= HALF else -1 for p, c in zip(low.tolist(), at.tolist())]
-            right = [digest64(buf[c : c + GRAM + HALF]) & 0x7FFFFFFF if q - c >= GRAM + HALF else -1 for q, c in zip(high.tolist(), at.tolist())]
-            ids = batch.column("doc_id").take(pa.array(owner)) if len(at) else batch.column("doc_id").slice(0, 0)
-            marks = batch.column("mark").take(pa.array(owner)) if len(at) else batch.column("mark").slice(0, 0)
+            rows = list(zip(at.tolist(), low.tolist(), high.tolist()))
+            piece = [digest64(buf[p : q + SPAN], seed=c - p) >> 1 for c, p, q in rows]
+            left = [digest64(buf[c - HALF : c + GRAM]) & 0x7FFFFFFF if c - p >= HALF else -1 for c, p, _ in rows]
+            right = [digest64(buf[c : c + GRAM + HALF]) & 0x7FFFFFFF if c - q < HALF else -1 for c, _, q in rows]
+            pick = pa.array(owner)
             i32 = lambda v: pa.array(np.asarray(v, np.int32))
-            cols = [ids, marks, i32(at - starts[owner]), i32(at - low), i32(high - at), pa.array(h.view(np.int64)), pa.array(np.array(piece, np.int64)), i32(left), i32(right)]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "mark", "at", "before", "after", "anchor", "piece", "left", "right"])
+            cols = [batch.column("doc_id").take(pick), batch.column("mark").take(pick), i32(at - starts[owner]), i32(at - low), i32(at - high)]
+            cols += [pa.array(h.view(np.int64)), pa.array(piece, pa.int64()), i32(left), i32(right)]
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "mark", "at", "far", "near", "anchor", "piece", "left", "right"])
 
 
 def suffix_array(text: bytes, depth: int = SPAN) -> np.ndarray:
@@ -209,16 +212,16 @@ def united(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _cut_pieces(batches):
-    """The bytes, to the side that is asked for, of the pieces wanted from each document."""
+    """The bytes of the windows, to the side that is asked for, of the pieces wanted from each document."""
     for whole in batches:
         for batch in slices(whole):
             rows = []
             for doc, mark, text, wanted in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "mark", "text", "wanted"))):
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 for w in wanted:
-                    lo, hi = (w["before"], GRAM + HALF) if w["side"] == 0 else (min(HALF, w["before"]), w["after"])
-                    lo, hi = min(lo, REACH), min(hi, w["after"])
-                    rows.append((w["side"], w["anchor"], w["key"], w["piece"], doc, mark, w["at"] - lo, lo, raw[w["at"] - lo : w["at"] + hi], w["full"]))
+                    # offsets of the anchor in the windows: from HALF on to one side, below it to the other
+                    far, near = (w["far"], max(w["near"], HALF)) if w["side"] == 0 else (min(w["far"], HALF - 1), w["near"])
+                    rows.append((w["side"], w["anchor"], w["key"], w["piece"], doc, mark, w["at"] - far, far, raw[w["at"] - far : w["at"] - near + SPAN], w["full"]))
             if rows:
                 kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], [x.split()[0] for x in CUT.split(", ")])
@@ -256,45 +259,97 @@ def _blocks(batches):
         yield packed(out)
 
 
+def _two(raw: bytes) -> tuple[int, int]:
+    d = xxhash.xxh3_128_intdigest(raw)
+    return d >> 65, d & ((1 << 63) - 1)
+
+
+CELLS = "anchor long, piece long, side int, low int, n int, i1 long, i2 long, o1 long, o2 long, ip long, op long"
+
+
+def _cells(batches):
+    """For each cell of windows of a piece: digests of the bytes that any window of the cell holds, and of those that
+    the piece's windows in it cover together, and hashes of the two places."""
+    kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 3, *[pa.int64()] * 6]
+    names = [x.split()[0] for x in CELLS.split(", ")]
+    for whole in batches:
+        for batch in slices(whole, "bytes"):
+            parts = []
+            for side, anchor, piece, doc, mark, start, before, raw in zip(*(batch.column(c).to_pylist() for c in ("side", "anchor", "piece", "doc_id", "mark", "start", "before", "bytes"))):
+                # o: the anchor's offset in a window; cells are cut at fixed offsets, so those of different pieces are alike
+                o, last = before, before - (len(raw) - SPAN)
+                while o >= last:
+                    c = o // CELL * CELL
+                    to = max(last, c)
+                    p, q = before - o, before - to  # window starts
+                    inner, outer = raw[before - c : before - c - CELL + 1 + SPAN], raw[p : q + SPAN]
+                    place = [xxhash.xxh3_64_intdigest(repr((doc, mark, start + k))) >> 1 for k in (before - c, p)]
+                    parts.append((anchor, piece, side, -o, q - p + 1, *_two(inner + c.to_bytes(2, "big")), *_two(outer), *place))
+                    o = to - 1
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*parts), kinds)], names)
+
+
+WINDOWS = "w1 long, w2 long, place long, anchor long, piece long, low int"
+
+
 def _windows(batches):
-    """A digest of every window around the anchor of each piece of a full group, and where it starts."""
+    """A digest of every window of the cells wanted from a piece, with its place and where it starts."""
     for whole in batches:
         for batch in slices(whole, "bytes"):
             parts = []
-            for anchor, piece, doc, mark, start, before, raw in zip(*(batch.column(c).to_pylist() for c in ("anchor", "piece", "doc_id", "mark", "start", "before", "bytes"))):
-                for o in range(max(0, before - REACH), min(before, len(raw) - SPAN) + 1):
-                    d = xxhash.xxh3_128_intdigest(raw[o : o + SPAN])
-                    place = xxhash.xxh3_64_intdigest(repr((doc, mark, start + o)))
-                    parts.append((d >> 65, d & ((1 << 63) - 1), place >> 1, anchor, piece, o - before))
+            for anchor, piece, doc, mark, start, before, raw, wanted in zip(*(batch.column(c).to_pylist() for c in ("anchor", "piece", "doc_id", "mark", "start", "before", "bytes", "wanted"))):
+                for w in wanted:
+                    for low in range(w["low"], w["low"] + w["n"]):
+                        k = before + low
+                        place = xxhash.xxh3_64_intdigest(repr((doc, mark, start + k))) >> 1
+                        parts.append((*_two(raw[k : k + SPAN]), place, anchor, piece, low))
             if parts:
                 kinds = [pa.int64()] * 5 + [pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*parts), kinds)], ["w1", "w2", "place", "anchor", "piece", "low"])
 
 
+def _twice(rows: DataFrame, a: str, b: str, place: str) -> DataFrame:
+    """The digests (a, b) that occur at more than one place."""
+    return rows.groupBy(a, b).agg(F.min(place).alias("__p"), F.max(place).alias("__q")).filter("__p < __q").select(a, b)
+
+
+def full_groups(cut: DataFrame) -> DataFrame:
+    """(anchor, piece, low, high) of repeated windows in groups of any size, by digests and counts."""
+    cells = staged(cut.mapInArrow(_cells, CELLS), "cells")
+    live = cells.join(_twice(cells, "i1", "i2", "ip"), ["i1", "i2"], "left_semi")
+    live = staged(live.join(_twice(cells, "o1", "o2", "op").withColumn("done", F.lit(True)), ["o1", "o2"], "left"), "live-cells")
+    done, open_ = live.filter("done"), live.filter("done is null")
+    # a window of an open cell may have its like in a cell that is done: one example of each such cell is looked at
+    kept = ["anchor", "piece", "side", "low", "n"]
+    example = done.groupBy("o1", "o2", "i1", "i2").agg(F.min(F.struct(*kept)).alias("e")).join(open_.select("i1", "i2").distinct(), ["i1", "i2"], "left_semi").select("e.*")
+    wanted = open_.select(*kept).unionByName(example).groupBy("anchor", "piece", "side").agg(F.collect_list(F.struct("low", "n")).alias("wanted"))
+    windows = staged(cut.join(wanted, ["anchor", "piece", "side"]).mapInArrow(_windows, WINDOWS), "windows")
+    counted = windows.join(_twice(windows, "w1", "w2", "place"), ["w1", "w2"], "left_semi").select("anchor", "piece", "low", (F.col("low") + SPAN).alias("high"))
+    return done.select("anchor", "piece", "low", (F.col("low") + F.col("n") - 1 + SPAN).alias("high")).unionByName(counted)
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, low, high): byte spans of ``docs(doc_id, text, mark)`` that repeated windows cover."""
-    rows = staged(docs.mapInArrow(_hashes, "doc_id long, mark long, at int, before int, after int, anchor long, piece long, left int, right int"), "anchors")
+    rows = staged(docs.mapInArrow(_hashes, "doc_id long, mark long, at int, far int, near int, anchor long, piece long, left int, right int"), "anchors")
     pieces = rows.groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("copies"))
     shared = pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.sum("copies").alias("all")).filter(F.col("all") > 1).select("anchor", "kinds")
     known = pieces.join(shared, "anchor")
     again = staged(rows.join(known, ["anchor", "piece"]), "repeated")
-    whole = again.filter("copies > 1").select("doc_id", "mark", (F.col("at") - F.col("before")).alias("low"), (F.col("at") + F.col("after")).alias("high"))
+    whole = again.filter("copies > 1").select("doc_id", "mark", (F.col("at") - F.col("far")).alias("low"), (F.col("at") - F.col("near") + SPAN).alias("high"))
     # one example of each piece that has others with the same anchor, for each side it can share
-    kept = ["doc_id", "mark", "at", "before", "after", "left", "right"]
+    kept = ["doc_id", "mark", "at", "far", "near", "left", "right"]
     example = again.filter("kinds > 1").groupBy("anchor", "piece").agg(F.min(F.struct(*kept)).alias("e")).select("anchor", "piece", "e.*")
-    sides = example.select("anchor", "piece", "doc_id", "mark", "at", "before", "after", F.posexplode(F.array("left", "right")).alias("side", "key")).filter("key >= 0")
+    sides = example.select("anchor", "piece", "doc_id", "mark", "at", "far", "near", F.posexplode(F.array("left", "right")).alias("side", "key")).filter("key >= 0")
     sides = staged(sides, "examples")
     groups = sides.groupBy("side", "anchor", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("side", "anchor", "key", (F.col("n") > GROUP).alias("full"))
-    wanted = sides.join(groups, ["side", "anchor", "key"]).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("side", "anchor", "key", "piece", "at", "before", "after", "full")).alias("wanted"))
+    wanted = sides.join(groups, ["side", "anchor", "key"]).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("side", "anchor", "key", "piece", "at", "far", "near", "full")).alias("wanted"))
     own = docs.select(F.col("doc_id").alias("d"), F.col("mark").alias("m"), "text")
     cut = own.join(wanted, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("m") == F.col("mark"))).select("doc_id", "mark", "text", "wanted").mapInArrow(_cut_pieces, CUT)
     cut = staged(cut, "pieces")
     order = ["side", "anchor", "key"]
     blocks = cut.filter("not full").repartition(*order).sortWithinPartitions(*order, "piece", "doc_id").mapInArrow(_blocks, "anchor long, piece long, low int, high int")
-    windows = staged(cut.filter("full").mapInArrow(_windows, "w1 long, w2 long, place long, anchor long, piece long, low int"), "windows")
-    twice = windows.groupBy("w1", "w2").agg(F.min("place").alias("p"), F.max("place").alias("q")).filter("p < q").select("w1", "w2")
-    counted = windows.join(twice, ["w1", "w2"], "left_semi").select("anchor", "piece", "low", (F.col("low") + SPAN).alias("high"))
-    found = blocks.unionByName(counted).distinct()
+    found = blocks.unionByName(full_groups(cut.filter("full"))).distinct()
     partly = again.filter("kinds > 1 and copies = 1").select("anchor", "piece", "doc_id", "mark", "at").join(found, ["anchor", "piece"])
     return whole.unionByName(partly.select("doc_id", "mark", (F.col("at") + F.col("low")).alias("low"), (F.col("at") + F.col("high")).alias("high")))
 
