@@ -2,8 +2,8 @@
 
 The vocabulary has no piece in which the white-space marker follows another character, so no piece crosses the
 start of a marked word (a run of markers and the characters up to the next marker). Each distinct marked word is
-therefore segmented once, kept in a table of at most TABLE words per worker, and a text's ids are read from the
-table by position. A vocabulary with crossing pieces, and a text that holds the marker itself, go through the
+therefore segmented once, kept in a table that each worker has, and the ids of a slice of texts are read from
+the table by position. A vocabulary with crossing pieces, and a text that holds the marker itself, go through the
 library whole. Decoding uses the same table: a word's pieces decode on their own, since byte pieces of one
 character never lie in two words.
 """
@@ -19,10 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from inkmill.llm.common import documents, id_and_text, slices, texts
+from inkmill.llm.word_table import Ragged, WordTable
 
 MARK = "▁"
-#: Marked words that a worker keeps; a full table is emptied.
-TABLE = 400_000
 WORD = re.compile(r" +[^ ]*")
 
 
@@ -34,59 +33,44 @@ class PieceCodec:
 
         self.sp = sentencepiece.SentencePieceProcessor(model_file=model)
         sp, pieces = self.sp, [self.sp.id_to_piece(i) for i in range(self.sp.get_piece_size())]
-        self.bos, self.eos, self.mark = sp.bos_id(), sp.eos_id(), sp.piece_to_id(MARK)
+        self.bos, self.eos, self.mark = np.array([sp.bos_id()], np.uint32), np.array([sp.eos_id()], np.uint32), sp.piece_to_id(MARK)
         # The shortcut needs words that no piece joins and a normaliser that changes nothing but spaces.
         self.splits = not any(MARK in p.lstrip(MARK) for p in pieces) and sp.encode("a  b c") == [*sp.encode("a"), *sp.encode(" b"), *sp.encode("c")]
-        self.clear()
+        self.ids, self.exact = Ragged(np.uint32), Ragged(np.bool_)
+        self.table = WordTable(self._learn, lambda: (self.ids.clear(), self.exact.clear()))
 
-    def clear(self) -> None:
-        self.at: dict[str, int] = {}
-        self.ids = np.zeros(1 << 20, np.uint32)
-        self.start = np.zeros(TABLE + 1, np.int64)
-        self.exact = np.zeros(TABLE, bool)
-
-    def _add(self, words: list[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         """words as they stand after the first of their markers."""
-        n, found = len(self.at), [ids or [self.mark] for ids in self.sp.encode(words, num_threads=1)]
-        ends = self.start[n] + np.cumsum([len(ids) for ids in found])
-        if ends[-1] > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), int(ends[-1])), np.uint32)])
-        self.ids[self.start[n] : ends[-1]] = np.fromiter(chain.from_iterable(found), np.uint32)
-        self.start[n + 1 : n + 1 + len(words)] = ends
-        self.exact[n : n + len(words)] = [a == b for a, b in zip(self.sp.decode(found, num_threads=1), words)]
-        self.at.update(zip(words, range(n, n + len(words))))
-
-    def encode(self, texts: list[str]):
+        ids = [i or [self.mark] for i in self.sp.encode(words, num_threads=1)]
+        self.ids.extend(ids)
+        same = np.array([a == b for a, b in zip(self.sp.decode(ids, num_threads=1), words)], np.bool_)
+        self.exact.append(same, np.ones(len(same), np.int64))
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, bool]]:
         """(ids as uint32, decodes to the text itself) for each text; the flag may be False where it does."""
+        words, sizes = [], []
         for text in texts:
             if not text or not self.splits or MARK in text:
-                yield np.array(self.sp.encode(text, add_bos=True, add_eos=True), np.uint32), False
-                continue
-            if "  " in text or text[0] == " " or text[-1] == " ":
-                words = [w[1:] for w in WORD.findall(" " + text)]
+                sizes.append(0)
+            elif "  " in text or text[0] == " " or text[-1] == " ":
+                words.append([w[1:] for w in WORD.findall(" " + text)])
+                sizes.append(len(words[-1]))
+            else:
+                words.append(text.split(" "))
+                sizes.append(len(words[-1]))
+        k = self.table.numbers(list(chain.from_iterable(words)))
+        del words
+        ids, ends = self.ids.joined(k)
+        exact = self.exact.flat[k]
+        out, at, low = [], 0, 0
+        for text, n in zip(texts, sizes):
+            if n:
+                high = int(ends[at + n - 1])
+                out.append((np.concatenate([self.bos, ids[low:high], self.eos]), bool(exact[at : at + n].all())))
+                at, low = at + n, high
             else:
-                words = text.split(" ")
-            yield self._joined(words)
-
-    def _joined(self, words: list[str]):
-        out, exact = [np.array([self.bos], np.uint32)], True
-        for at in range(0, len(words), TABLE // 4):
-            some = words[at : at + TABLE // 4]
-            index = list(map(self.at.get, some))
-            if None in index:
-                new = list(dict.fromkeys(w for w, k in zip(some, index) if k is None))
-                if len(self.at) + len(new) > TABLE:
-                    self.clear()
-                    new = list(dict.fromkeys(some))
-                self._add(new)
-                index = list(map(self.at.get, some))
-            k = np.array(index, np.int64)
-            n = self.start[k + 1] - self.start[k]
-            first = np.cumsum(n) - n
-            out.append(self.ids[np.repeat(self.start[k] - first, n) + np.arange(n.sum())])
-            exact = exact and bool(self.exact[k].all())
-        out.append(np.array([self.eos], np.uint32))
-        return np.concatenate(out), exact
+                out.append((np.array(self.sp.encode(text, add_bos=True, add_eos=True), np.uint32), False))
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         return self.sp.decode(ids.tolist())
@@ -106,7 +90,7 @@ def encode_decode(docs: DataFrame, model: str, keep: bool = False) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256, and with keep also ids and decoded.
 
     Null text counts as empty: its ids are begin and end. doc_id may be null or repeat; rows come out as they
-    go in, and an empty table gives none. Long texts are joined in blocks of TABLE / 4 words.
+    go in, and an empty table gives none.
     """
 
     def mapped(batches):
