@@ -26,6 +26,8 @@ BITS = 18
 K1, B = 1.2, 0.75
 #: A shard ends with the document that brings it to either.
 SHARD_DOCS, SHARD_TOKENS = 1024, 1 << 21
+#: A word in one of DENSE documents of a shard, or more, is scored by a matrix product.
+DENSE = 16
 #: Fixed value: the split pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: A run of white space longer than this goes through the tokenizers library, whose matcher has no depth limit.
@@ -66,24 +68,30 @@ class ByteCodec:
         if any(s in text for s in self.special) or LONG_WHITE in text:
             ids = self.slow.encode(text, add_special_tokens=False).ids
         else:
-            ids = self.fast.encode_to_numpy(text, disallowed_special=())
+            ids = self.fast.encode_ordinary(text)
         out = np.empty(len(ids) + 1, self.kind)
         out[:-1], out[-1] = ids, END
         return out
 
     def terms(self, ids: np.ndarray) -> np.ndarray:
-        """Bucket of each word."""
+        """Bucket of each word, in order of buckets: the words' ids, END left out, are mixed and summed."""
         ids = ids[:-1]
         if not len(ids):
             return np.zeros(0, np.int64)
         starts = self.starts[ids]
         starts[0] = True
-        first = np.flatnonzero(starts)
-        place = np.arange(len(ids), dtype=np.uint32) - np.repeat(first, np.diff(first, append=len(ids))).astype(np.uint32)
-        h = np.add.reduceat(self.mixed[ids] * (place * np.uint32(0x9E3779B2) + np.uint32(1)), first, dtype=np.uint32)
+        h = np.add.reduceat(self.mixed[ids], np.flatnonzero(starts), dtype=np.uint32)
         h ^= h >> np.uint32(15)
         h *= np.uint32(0x85EBCA6B)
-        return (h >> np.uint32(32 - BITS)).astype(np.int64)
+        h >>= np.uint32(32 - BITS)
+        h.sort()
+        return h.astype(np.int64)
+
+
+def runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a sorted array and how often each occurs."""
+    first = np.flatnonzero(np.diff(x, prepend=-1))
+    return x[first], np.diff(first, append=len(x))
 
 
 @lru_cache(1)
@@ -102,7 +110,7 @@ def _tokenised(path: str):
                 ids, keys = [], []
                 for text in texts(batch):
                     mine = c.ids(text)
-                    terms = np.unique(c.terms(mine))
+                    terms, _ = runs(c.terms(mine))
                     seen[terms] += 1
                     ids.append(mine.tobytes())
                     keys.append(int((terms.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(1)).min()) if len(terms) else 0)
@@ -124,7 +132,7 @@ class Shard:
 
     def __init__(self, docs: list[tuple[object, np.ndarray]], c: ByteCodec, idf: np.ndarray, mean: float):
         self.docs = docs
-        found = [np.unique(c.terms(ids), return_counts=True) for _, ids in docs]
+        found = [runs(c.terms(ids)) for _, ids in docs]
         n = np.array([len(t) for t, _ in found], np.int64)
         self.owner = np.repeat(np.arange(len(docs)), n)
         term = np.concatenate([t for t, _ in found])
@@ -132,6 +140,15 @@ class Shard:
         size = np.array([len(ids) for _, ids in docs])
         norm = K1 * (1 - B + B * size / max(mean, 1))
         weight = idf[term] * tf * (K1 + 1) / (tf + norm[self.owner])
+        # words of many documents are columns of a matrix, the others have postings
+        common = np.flatnonzero(np.bincount(term, minlength=1 << BITS) * DENSE >= len(docs))
+        column = np.full(1 << BITS, -1, np.int32)
+        column[common] = np.arange(len(common))
+        dense = column[term] >= 0
+        self.matrix = np.zeros((len(docs), len(common)), np.float32)
+        self.matrix[self.owner[dense], column[term[dense]]] = weight[dense]
+        self.owner, term, weight = self.owner[~dense], term[~dense], weight[~dense]
+        n = np.bincount(self.owner, minlength=len(docs))
         order = np.argsort(term, kind="stable")
         self.post, self.weight = self.owner[order], weight[order]
         sorted_terms = term[order]
@@ -148,7 +165,8 @@ class Shard:
         t = self.terms[doc]
         n = self.count[t]
         at = np.repeat(self.low[t] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return np.bincount(self.post[at], self.weight[at], minlength=len(self.docs))
+        rare = np.bincount(self.post[at], self.weight[at], minlength=len(self.docs))
+        return rare + self.matrix @ (self.matrix[doc] > 0).astype(np.float32)
 
     def packed(self):
         """(window, doc, start, length, offset) of each piece; windows count from 0 and all but the last are full."""
