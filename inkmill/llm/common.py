@@ -37,14 +37,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def slices(batch: pa.RecordBatch, column: str = "text"):
-    """Cut a batch so that each slice holds at most BATCH_ROWS rows and about BATCH_BYTES of ``column``."""
+def slices(batch: pa.RecordBatch | pa.Array, column: str = "text"):
+    """Cut a batch, or an array, so that each slice holds at most BATCH_ROWS rows and about BATCH_BYTES of ``column``."""
     import numpy as np
 
-    n = batch.num_rows
+    held = batch if isinstance(batch, pa.Array) else batch.column(column)
+    n = len(held)
     if not n:
         return
-    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(held), 0), dtype=np.int64)
     at = 0
     while at < n:
         end = at + max(1, int(np.searchsorted(np.cumsum(sizes[at : at + BATCH_ROWS]), BATCH_BYTES, "right")))

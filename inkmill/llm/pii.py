@@ -15,11 +15,13 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from inkmill.llm.common import documents, id_and_text, slices, texts
 
@@ -445,21 +447,21 @@ def redact(docs: DataFrame) -> DataFrame:
     """The documents, all columns, with personal data replaced in text and n_chars, where there, counted anew. Null stays null."""
     model = field()
 
-    def mapped(batches):
+    def new(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         find = tagger(model)
-        for whole in batches:
-            for batch in slices(whole):
-                some = batch.column("text").to_pylist()
+        for whole in parts:
+            out = []
+            for some in map(pa.Array.to_pylist, slices(whole)):
                 found = all_spans([t or "" for t in some], find)
-                new = [t if t is None else redacted(t, every) for t, (_, every) in zip(some, found)]
-                cols = dict(zip(batch.schema.names, batch.columns))
-                cols["text"] = pa.array(new, batch.schema.field("text").type)
-                if "n_chars" in cols:
-                    n = [old if t is None else len(t) for t, old in zip(new, cols["n_chars"].to_pylist())]
-                    cols["n_chars"] = pa.array(n, batch.schema.field("n_chars").type)
-                yield pa.RecordBatch.from_arrays(list(cols.values()), schema=batch.schema)
-
-    return docs.mapInArrow(mapped, docs.schema)
+                out += [t if t is None else redacted(t, every) for t, (_, every) in zip(some, found)]
+            yield pa.array(out, pa.string())
+
+    kinds = dict(docs.dtypes)
+    done = docs.withColumn("text", F.arrow_udf(new, "string")(F.col("text").cast("string")))
+    if "n_chars" in kinds:
+        n = F.coalesce(F.length("text").cast(kinds["n_chars"]), F.col("n_chars"))
+        done = done.withColumn("n_chars", n)
+    return done
 
 
 def op3_pii(spark, sf_dir: str) -> DataFrame:

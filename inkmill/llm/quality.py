@@ -9,6 +9,7 @@ products with the model, read per word from a table of distinct words.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ EPOCHS, ALPHA, BETA, L1, L2 = 4, 0.3, 1.0, 0.02, 0.01
 SCALE = 20.0
 THRESHOLD = 0.7
 #: Distinct words that a worker keeps; words turned to features at once.
-TABLE, BLOCK = 400_000, 1 << 17
+TABLE, BLOCK = 200_000, 1 << 17
 _MASK = (1 << BITS) - 1
 
 
@@ -166,18 +167,16 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = T
 
 
 def keep_good(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = THRESHOLD) -> DataFrame:
-    """The documents, all columns, whose score reaches the threshold."""
+    """The documents, all columns, whose score reaches the threshold. Only texts go to Python and only scores back."""
     w, bias = model
     shared = docs.sparkSession.sparkContext.broadcast(w)
 
-    def mapped(batches):
+    def scores(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words, weights = Words(), shared.value
-        for whole in batches:
-            for batch in slices(whole):
-                keep = [scored(text, words, weights, bias) >= threshold for text in texts(batch)]
-                yield batch.filter(pa.array(keep))
+        for whole in parts:
+            yield pa.array([scored(t or "", words, weights, bias) for some in slices(whole) for t in some.to_pylist()], pa.float64())
 
-    return docs.mapInArrow(mapped, docs.schema)
+    return docs.filter(F.arrow_udf(scores, "double")(F.col("text").cast("string")) >= threshold)
 
 
 def op6_quality(spark, sf_dir: str) -> DataFrame:

@@ -343,6 +343,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     sides = example.select("anchor", "piece", "doc_id", "mark", "at", "far", "near", F.posexplode(F.array("left", "right")).alias("side", "key")).filter("key >= 0")
     sides = staged(sides, "examples")
     groups = sides.groupBy("side", "anchor", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("side", "anchor", "key", (F.col("n") > GROUP).alias("full"))
+    groups = staged(groups, "groups")  # read back, both sides of the join are plain exchanges, which a hot group's rows can be split over
     wanted = sides.join(groups, ["side", "anchor", "key"]).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("side", "anchor", "key", "piece", "at", "far", "near", "full")).alias("wanted"))
     own = docs.select(F.col("doc_id").alias("d"), F.col("mark").alias("m"), "text")
     cut = own.join(wanted, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("m") == F.col("mark"))).select("doc_id", "mark", "text", "wanted").mapInArrow(_cut_pieces, CUT)
