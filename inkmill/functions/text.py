@@ -9,12 +9,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: The characters that count as white space, as a Java character class body. DuckDB's spelling is SPACE_RE2.
-SPACE = r"\t-\r\x1c-\x20\x85\xa0  -     　"
+SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACE_RE2 = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+#: The same characters.
+WHITE = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+#: A code point that no text holds, between the parts of a string that is taken apart again.
+CUT = "\uffff"
 
 # Fixed values.
 SENTENCE = r"""[^.!?…]+(?:[.!?…]+["'”’»)\]]*)?|[.!?…]+"""
-CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f​-‍⁠﻿]"
+CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f\u200b-\u200d\u2060\ufeff]"
 QUOTES = '"“”„‟'
 EMPTY_SLUG = "sach"
 
@@ -34,7 +38,7 @@ def count_words(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Without white space at both ends."""
-    return F.regexp_replace(col(c), rf"\A[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.btrim(col(c), F.lit(WHITE))
 
 
 def lines(c: Column | str) -> Column:
@@ -58,13 +62,9 @@ def sentences(c: Column | str) -> Column:
     """Sentences of a paragraph with their punctuation; a fragment of fewer than three letters or digits, or one
     that starts with an end mark, joins the sentence before it. Null gives null, blank text none."""
     parts = F.filter(F.transform(F.regexp_extract_all(col(c), F.lit(SENTENCE), F.lit(0)), strip), lambda s: s != "")
-
-    def step(done: Column, s: Column) -> Column:
-        small = (F.length(letters_and_digits(s)) < 3) | s.rlike(r"^[.!?…]")
-        last = F.concat(F.element_at(done, -1), F.lit(" "), s)
-        return F.when((F.size(done) > 0) & small, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(last))).otherwise(F.concat(done, F.array(s)))
-
-    return F.aggregate(parts, F.array().cast("array<string>"), step)
+    small = lambda s: s.rlike(r"^[.!?…]") | (F.length(letters_and_digits(s)) < 3)
+    marked = F.transform(parts, lambda s, i: F.concat(F.when((i > 0) & small(s), " ").otherwise(CUT), s))
+    return F.filter(F.split(F.array_join(marked, ""), CUT), lambda s: s != "")
 
 
 def squeeze_spaces(c: Column | str) -> Column:

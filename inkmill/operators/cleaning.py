@@ -101,8 +101,8 @@ def _case_classes() -> tuple[str, str]:
 
 def split_internal_capitals(c: Column | str) -> Column:
     """A space before a capital that follows a small letter, both up to U+024F."""
-    low, up = _case_classes()
-    return F.regexp_replace(col(c), f"(?<=[{low}])(?=[{up}])", " ")
+    low, up = r"[\p{IsLowercase}&&[A-\u024f]]", r"[\p{IsUppercase}&&[A-\u024f]]"
+    return F.regexp_replace(col(c), f"(?<={low})(?={up})", " ")
 
 
 def repair_glued_words(c: Column | str) -> Column:
@@ -120,7 +120,7 @@ def sanitize_prose(c: Column | str) -> Column:
         (rf"(?md)^[{SPACE}]*\|.*$", ""), (r"(?s)\{\{.*?\}\}", ""), (r"[*_]{2,}", ""), ("''+", lambda s: s), (r"\[\^[^\]]*\]", ""),
         (r"[ \t]+", " "), (r" ?\n ?", "\n"),
     ]
-    out = F.translate(col(c), " ", " ")
+    out = F.translate(col(c), "\u00a0", " ")
     for pattern, to in steps:
         if callable(to):
             out = F.replace(F.replace(out, F.lit("'''"), F.lit("")), F.lit("''"), F.lit(""))

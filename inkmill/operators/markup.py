@@ -26,7 +26,7 @@ FURNITURE_CLASSES = set(
 )
 ROOTS = [("div", "prp-pages-output"), ("div", "prp-page-body"), ("div", "poem"), ("div", "mw-parser-output"), ("article", None), ("body", None)]
 BLOCKS = set("p div section article li blockquote dt dd pre figcaption".split())
-INVISIBLE = regex.compile("[​-‏‪-‮⁠-⁤﻿­᠎]")
+INVISIBLE = regex.compile(r"[\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff\u00ad\u180e]")
 NOTE_MARK = regex.compile(r"[\[(]?\d+[\])]?")
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: A start tag closes open elements of these kinds.

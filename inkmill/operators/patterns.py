@@ -41,8 +41,8 @@ PARSER_REPORT = (
 )
 LONE_ARROW = rf"^[{SPACE}]*[←→↑↓⇐⇒‹›«»]+[{SPACE}]*$"
 PRINTED_NUMBER = rf"^[{SPACE}]*[\d$.,ivxlIVXL]{{1,8}}[{SPACE}]*$"
-HAN_ONLY = rf"^[{SPACE}　-鿿豈-﫿＀-￯]+$"
-RULE = rf"^[{SPACE}*_\-=~·—–─═]{{3,}}$"
+HAN_ONLY = rf"^[{SPACE}\u3000-\u9fff\u8c48-\ufaff\uff00-\uffef]+$"
+RULE = rf"^[{SPACE}*_\-=~·—–─═\ufffd]{{3,}}$"
 TITLE_PAGE = (
     rf"(?iu)^[{SPACE}]*(?:(?:\d+[{SPACE}]*'[{SPACE}]*|\d+[{SPACE}]*(?:e|ème|eme)[{SPACE}]*)?édition(?![\p{{L}}\p{{N}}_])|"
     rf"(?:première|premiere)[{SPACE}]+(?:fois|édition|edition)|transcrit[\p{{L}}\p{{N}}_]*|"

@@ -1,4 +1,639 @@
-"""Named queries and the SQL that checks them."""
+"""Named queries over the driver's tables, and the SQL that checks them.
+
+Rules that hardly occur in the generated documents also run over small constant relations, spelled once here and given
+to both engines. Queries without SQL are folds or parsers that SQL can't express; tests hold them against cases.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from inkmill.functions import numbers as N
+from inkmill.functions import text as T
+from inkmill.operators import books as B
+from inkmill.operators import chapters as K
+from inkmill.operators import cleaning as C
+from inkmill.operators import gloss as G
+from inkmill.operators import markup as M
+from inkmill.operators import patterns as P
+from inkmill.operators import quality as Q
+from inkmill.operators import rights as R
+from inkmill.operators import translate as X
+from inkmill.operators import wikitext as W
+from inkmill.sources import files as S
+from inkmill.sources import wiki as WS
+from inkmill.streaming.clean_stream import cleaned
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(fn: Query) -> Query:
+        QUERIES[fn.__name__] = fn
+        if sql is not None:
+            SQL[fn.__name__] = sql
+        return fn
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def quoted(s: str | None) -> str:
+    return "NULL" if s is None else "'" + s.replace("'", "''") + "'"
+
+
+def values(rows: list[str | None]) -> str:
+    """A constant relation (id, text) in SQL; ids are negative so that they meet no document's."""
+    return "(VALUES " + ", ".join(f"({-i - 1}, {quoted(s)})" for i, s in enumerate(rows)) + ") AS v(doc_id, text)"
+
+
+def given(spark: SparkSession, rows: list[str | None]) -> DataFrame:
+    return spark.createDataFrame([(-i - 1, s) for i, s in enumerate(rows)], "doc_id long, text string")
+
+
+def texts(spark: SparkSession, sf_dir: str, rows: list[str | None]) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "text").unionByName(given(spark, rows))
+
+
+def texts_sql(rows: list[str | None]) -> str:
+    return f"(SELECT doc_id, text FROM documents UNION ALL SELECT * FROM {values(rows)})"
+
+
+SP = T.SPACE_RE2
+#: White space off both ends, in SQL.
+STRIP = lambda x: f"regexp_replace({x}, '^[{SP}]+|[{SP}]+$', '', 'g')"
+WORDS = lambda x: f"len(list_filter(regexp_split_to_array({x}, '[{SP}]+'), lambda w: w <> ''))"
+LINES = lambda x: f"string_split({x}, chr(10))"
+#: Letters, and letters with digits, in SQL patterns.
+L, A, AW = r"\p{L}", r"\p{L}\p{N}", r"\p{L}\p{N}_"
+
+
+def re2(java: str) -> str:
+    """A Java pattern in the spelling of DuckDB, where it uses nothing that is only Java's."""
+    out = java.replace(T.SPACE, SP).replace("(?iu)", "(?i)").replace(r"\z", "$")
+    for code in ("3000", "9fff", "8c48", "faff", "ff00", "ffef", "fffd", "200b", "200d", "2060", "feff"):
+        out = out.replace(f"\\u{code}", f"\\x{{{code}}}")
+    return out.replace(r"(?![\p{L}\p{N}_])", r"(?:[^\p{L}\p{N}_]|$)").replace("'", "''")
+
+
+# --- words, sentences, spaces ----------------------------------------------------------------------------------------
+
+SPACES = ["một hai ba", "  x\t\ty  \n\n\n z ", "", "\n\na\n \n\nb\n", "a b　c"]
+
+
+@query(f"SELECT doc_id, {WORDS('text')}::BIGINT AS n_words FROM {texts_sql(SPACES)}")
+def word_count(spark, sf_dir):
+    return texts(spark, sf_dir, SPACES).select("doc_id", T.count_words("text").cast("long").alias("n_words"))
+
+
+@query(f"SELECT lang, count(*) AS n_docs, sum({WORDS('text')})::BIGINT AS n_words, sum(len({LINES('text')}))::BIGINT AS n_lines, sum(strlen(text))::BIGINT AS n_bytes FROM documents GROUP BY lang")
+def doc_stats(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("lang", T.count_words("text").alias("w"), F.size(T.lines("text")).alias("l"), F.octet_length("text").alias("b"))
+    return rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("w").alias("n_words"), F.sum("l").alias("n_lines"), F.sum("b").alias("n_bytes"))
+
+
+SENTENCES = ["Một. 1. Hai! ... \"Ba?\" x", "Không có dấu", "… a b c d. (e f g.) h", "A1. b2c3. d"]
+PIECES = f"list_filter(list_transform(regexp_extract_all(p, '{re2(T.SENTENCE)}'), lambda s: {STRIP('s')}), lambda s: s <> '')"
+GLUE = f"list_reduce(list_transform({PIECES}, lambda s: [s]), lambda d, s: CASE WHEN len(regexp_replace(s[1], '[^{A}]', '', 'g')) < 3 OR regexp_matches(s[1], '^[.!?…]') THEN list_append(d[1:len(d)-1], d[len(d)] || ' ' || s[1]) ELSE list_concat(d, s) END)"
+_LINES_OF = lambda source: f"SELECT doc_id, unnest({LINES('text')}) AS p, generate_subscripts({LINES('text')}, 1) AS line_no FROM {source}"
+
+
+@query(f"SELECT doc_id, (line_no - 1)::BIGINT AS line_no, list_aggregate(CASE WHEN len({PIECES}) = 0 THEN [] ELSE {GLUE} END, 'string_agg', '¦') AS said FROM ({_LINES_OF(texts_sql(SENTENCES))}) WHERE len({PIECES}) > 0")
+def sentence_lines(spark, sf_dir):
+    rows = texts(spark, sf_dir, SENTENCES).select("doc_id", F.posexplode(T.lines("text")).alias("line_no", "p"))
+    rows = rows.select("doc_id", F.col("line_no").cast("long").alias("line_no"), T.sentences("p").alias("s"))
+    return rows.filter(F.size("s") > 0).select("doc_id", "line_no", F.array_join("s", "¦").alias("said"))
+
+
+@query(f"SELECT role, count(*) AS n_turns, sum(len(CASE WHEN len({PIECES.replace('(p,', '(text,')}) = 0 THEN [] ELSE {GLUE.replace('(p,', '(text,')} END))::BIGINT AS n_sentences FROM conversations GROUP BY role")
+def sentence_stats(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("role", F.size(T.sentences("text")).alias("n"))
+    return rows.groupBy("role").agg(F.count(F.lit(1)).alias("n_turns"), F.sum(F.coalesce("n", F.lit(0))).alias("n_sentences"))
+
+
+SQUEEZE = f"regexp_replace(regexp_replace(array_to_string(list_transform({LINES('text')}, lambda s: regexp_replace({STRIP('s')}, '[{SP}]+', ' ', 'g')), chr(10)), '\\n{{3,}}', chr(10)||chr(10), 'g'), '^\\n+|\\n+$', '', 'g')"
+
+
+@query(f"SELECT doc_id, {SQUEEZE} AS text FROM {texts_sql(SPACES)}")
+def collapse_spaces(spark, sf_dir):
+    return texts(spark, sf_dir, SPACES).select("doc_id", T.squeeze_spaces("text").alias("text"))
+
+
+CONTROLS = ["a\x07b​c﻿\td\ne", "“x” „y‟ \"z\"   w"]
+
+
+@query(f"SELECT doc_id, regexp_replace(translate(regexp_replace(text, '{re2(T.CONTROL)}', '', 'g'), '{T.QUOTES}', ''), '[ \\t]{{2,}}', ' ', 'g') AS text FROM {texts_sql(CONTROLS)}")
+def strip_marks(spark, sf_dir):
+    return texts(spark, sf_dir, CONTROLS).select("doc_id", T.strip_quotes(T.strip_control("text")).alias("text"))
+
+
+# --- keys ------------------------------------------------------------------------------------------------------------
+
+NAMES = ["Truyện Kiều (Đoạn Trường)", "Đại Đồng phong cảnh phú", "Lục Vân Tiên", "!!", "Chương 10", "Chương 2", "ÀÉÎõü ỹ"]
+FOLD = "replace(strip_accents(lower(name)), 'đ', 'd')"
+ALL_NAMES = f"(SELECT n_name AS name FROM nation UNION ALL SELECT p_name FROM part UNION ALL SELECT s_name FROM supplier UNION ALL SELECT text FROM {values(NAMES)})"
+
+
+def names(spark, sf_dir):
+    rows = [table(spark, sf_dir, t).select(F.col(c).alias("name")) for t, c in (("nation", "n_name"), ("part", "p_name"), ("supplier", "s_name"))]
+    return rows[0].unionAll(rows[1]).unionAll(rows[2]).unionAll(given(spark, NAMES).select("text"))
+
+
+@query(
+    f"SELECT DISTINCT name, CASE WHEN s = '' THEN '{T.EMPTY_SLUG}' ELSE s END AS slug, trim(regexp_replace(f, '[^a-z0-9]+', ' ', 'g')) AS title_key, regexp_replace(f, '[^{A}]', '', 'g') AS compact_key, "
+    f"regexp_replace(regexp_replace(lower(name), '([0-9]+)', '{'0' * 20}\\1', 'g'), '[0-9]*([0-9]{{20}})', '\\1', 'g') AS natural_key "
+    f"FROM (SELECT name, {FOLD} AS f, regexp_replace(regexp_replace({FOLD}, '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS s FROM {ALL_NAMES})"
+)
+def name_keys(spark, sf_dir):
+    keys = names(spark, sf_dir).select("name", T.slugify("name").alias("slug"), T.title_key("name").alias("title_key"), T.compact_key("name").alias("compact_key"), T.natural_key("name").alias("natural_key"))
+    return keys.distinct()
+
+
+@query(
+    f"SELECT name, row_number() OVER (ORDER BY regexp_replace(regexp_replace(lower(name), '([0-9]+)', '{'0' * 20}\\1', 'g'), '[0-9]*([0-9]{{20}})', '\\1', 'g'), name) AS ord FROM (SELECT DISTINCT s_name AS name FROM supplier)"
+)
+def natural_order(spark, sf_dir):
+    """A rank over all rows is one partition by nature; suppliers' distinct names are few."""
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name")).distinct()
+    return rows.withColumn("ord", F.row_number().over(Window.orderBy(T.natural_key("name"), "name")).cast("long"))
+
+
+URLS = ["https://vi.wikisource.org/wiki/Truy%E1%BB%87n_Ki%E1%BB%81u", "Foo_Bar#part", "https://x.org/wiki/A+B?x=1#y"]
+_PATH = r"regexp_replace(CASE WHEN contains(url, '://') THEN regexp_extract(url, '://[^/?#]*([^?#]*)', 1) ELSE url END, '^.*?/wiki/', '')"
+
+
+@query(f"SELECT url, trim(regexp_extract(trim(replace(url_decode({_PATH}), '_', ' ')), '^[^#]*')) AS title FROM (SELECT DISTINCT url FROM (SELECT url FROM pages UNION ALL SELECT text FROM {values(URLS)}))")
+def url_titles(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").select("url").unionAll(given(spark, URLS).select("text")).distinct()
+    return rows.select("url", T.title_from_url("url").alias("title"))
+
+
+# --- numbers ---------------------------------------------------------------------------------------------------------
+
+
+def small_sql(n: str) -> str:
+    """The reading of 0 to 999 in SQL."""
+    unit = "[" + ", ".join(map(quoted, N.DIGITS)) + "]"
+    of = lambda k: f"{unit}[({k})::BIGINT + 1]"
+    ten = lambda m: f"CASE WHEN {m} < 10 THEN {of(m)} ELSE (CASE WHEN {m} < 20 THEN 'mười' ELSE {of(f'{m} // 10')} || ' mươi' END) || (CASE WHEN {m} % 10 = 0 THEN '' WHEN {m} % 10 = 1 AND {m} > 20 THEN ' mốt' WHEN {m} % 10 = 5 THEN ' lăm' ELSE ' ' || {of(f'{m} % 10')} END) END"
+    rest = f"({n} % 100)"
+    return f"(CASE WHEN {n} < 100 THEN {ten(n)} ELSE {of(f'{n} // 100')} || ' trăm' || (CASE WHEN {rest} = 0 THEN '' WHEN {rest} < 10 THEN ' lẻ ' || {of(rest)} ELSE ' ' || ({ten(rest)}) END) END)"
+
+
+_LOW, _HIGH = small_sql("(n % 1000)"), small_sql("(n // 1000 % 1000)")
+READ = f"CASE WHEN n < 1000 THEN {_LOW} ELSE {_HIGH} || ' nghìn' || (CASE WHEN n % 1000 = 0 THEN '' WHEN n % 1000 < 100 THEN ' không lẻ ' || {_LOW} ELSE ' ' || {_LOW} END) END"
+
+
+@query(f"SELECT n, {READ} AS words FROM (SELECT DISTINCT n FROM (SELECT p_size::BIGINT AS n FROM part UNION ALL SELECT l_orderkey % 1000000 FROM lineitem UNION ALL SELECT unnest([0, 5, 15, 21, 105, 999, 1000, 2024, 999999])))")
+def int_to_words(spark, sf_dir):
+    n = table(spark, sf_dir, "part").select(F.col("p_size").cast("long").alias("n")).unionAll(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey") % 1000000))
+    n = n.unionAll(spark.createDataFrame([(k,) for k in (0, 5, 15, 21, 105, 999, 1000, 2024, 999999)], "n long")).distinct()
+    return n.select("n", N.int_to_viet(F.col("n")).alias("words"))
+
+
+ROMANS = ["I", "IV", "XX", "mcmxciv", "IIX", "ABC", "", "XLII", "MMXXIV"]
+_VALUE = "[1, 5, 10, 50, 100, 500, 1000][strpos('IVXLCDM', {})]"
+
+
+@query(
+    "SELECT text AS roman, (CASE WHEN regexp_matches(upper(text), '^[IVXLCDM]+$') THEN (SELECT sum(CASE WHEN v < coalesce(m, 0) THEN -v ELSE v END) FROM (SELECT v, max(v) OVER (ORDER BY i DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m "
+    f"FROM (SELECT i, {_VALUE.format('substr(upper(text), i::INT, 1)')} AS v FROM range(1, length(text) + 1) r(i)))) ELSE 0 END)::INT AS n FROM {values(ROMANS)}"
+)
+def roman_numerals(spark, sf_dir):
+    return given(spark, ROMANS).select(F.col("text").alias("roman"), N.roman_to_int(F.col("text")).cast("int").alias("n"))
+
+
+# --- lines -----------------------------------------------------------------------------------------------------------
+
+FURNITURE_LINES = [
+    "NewPP limit report\nCâu văn.\n←\n12\n2$00\n金 雲 翹 傳\n———\n* * *\nprix 2$\nédition 3\nPremière phrase.\nzh:x\ntotalement\ntotal 3\n  \nvi\nCPU time usage: 1",
+    "12\n- 13 -\nTrang 14\npage 3\n1234 5\nHead A\nx.\nHead A\ny.\nHead A\nz.\nHead A\nw.\nHead A\nv.",
+]
+_FURNITURE = " OR ".join(f"regexp_matches(s, '{re2(p)}')" for p in P.FURNITURE)
+
+
+@query(f"SELECT doc_id, array_to_string(list_filter({LINES('text')}, lambda s: NOT ({_FURNITURE})), chr(10)) AS text FROM {texts_sql(FURNITURE_LINES)}")
+def furniture_drop(spark, sf_dir):
+    return texts(spark, sf_dir, FURNITURE_LINES).select("doc_id", C.drop_furniture_lines("text").alias("text"))
+
+
+_HEAD = f"CASE WHEN {STRIP('s')} <> '' AND length({STRIP('s')}) <= 80 AND {WORDS('s')} <= 8 AND NOT regexp_matches({STRIP('s')}, '{re2(P.RUNNING_HEAD_ENDS)}') THEN {STRIP('s')} END"
+
+
+@query(
+    f"WITH l AS (SELECT doc_id, unnest({LINES('text')}) AS s, generate_subscripts({LINES('text')}, 1) AS i FROM {texts_sql(FURNITURE_LINES)}), "
+    f"k AS (SELECT doc_id, s, i, {_HEAD} AS h FROM l WHERE NOT regexp_matches(s, '{re2(P.PAGE_NUMBER)}')), "
+    "c AS (SELECT *, CASE WHEN h IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY doc_id, h) END AS n FROM k) "
+    "SELECT doc_id, string_agg(s, chr(10) ORDER BY i) AS text FROM c WHERE n < 5 GROUP BY doc_id"
+)
+def page_number_drop(spark, sf_dir):
+    rows = texts(spark, sf_dir, FURNITURE_LINES).select("doc_id", C.drop_page_number_lines("text").alias("text"), F.size(F.filter(T.lines("text"), lambda s: ~C.is_page_number(s))).alias("n"))
+    return rows.filter((F.col("n") > 0) & (F.col("text") != "") | F.col("text").contains("\n") | ((F.col("text") == "") & (F.col("n") == 1))).select("doc_id", "text")
+
+
+@query(f"SELECT doc_id, h AS head, count(*) AS n FROM (SELECT doc_id, {_HEAD} AS h FROM (SELECT doc_id, unnest({LINES('text')}) AS s FROM {texts_sql(FURNITURE_LINES)})) WHERE h IS NOT NULL GROUP BY ALL HAVING count(*) >= 5")
+def running_heads(spark, sf_dir):
+    return C.running_heads(texts(spark, sf_dir, FURNITURE_LINES), "doc_id", "text")
+
+
+HEADINGS = ["== Một ==\n=== Hai ===\n# Ba\n### Bốn #\nvăn\n==x==", "CHƯƠNG MỘT\n../II\nAB\nHEAD OF THE PAGE\nNot This One\nABC def"]
+_UPPER, _LETTERS = "length(regexp_replace(s, '[^\\p{Lu}]', '', 'g'))", "length(regexp_replace(s, '[^\\p{L}]', '', 'g'))"
+_CAPS = (
+    f"{WORDS('s')} BETWEEN 1 AND 8 AND length(s) <= 80 AND NOT contains(s, '/') AND NOT regexp_matches(s, '^[{SP}]*[.#|\\[*]') AND {_LETTERS} >= 2 AND {_UPPER} * 5 >= {_LETTERS} * 4 "
+    f"AND len(list_filter(regexp_split_to_array(s, '[{SP}]+'), lambda w: length(regexp_replace(w, '[^{AW}]', '', 'g')) >= 3)) > 0"
+)
+
+
+@query(f"SELECT doc_id, s AS line, count(*) AS n FROM (SELECT doc_id, unnest({LINES('text')}) AS s FROM {texts_sql(HEADINGS)}) WHERE {_CAPS} GROUP BY ALL")
+def caps_headings(spark, sf_dir):
+    rows = texts(spark, sf_dir, HEADINGS).select("doc_id", F.explode(T.lines("text")).alias("line")).filter(C.is_caps_heading("line"))
+    return rows.groupBy("doc_id", "line").agg(F.count(F.lit(1)).alias("n"))
+
+
+_WIKI = " UNION ALL ".join(f"SELECT doc_id, {k - 1} AS level, {STRIP(f'''regexp_extract(s, '^[{SP}]*={{{{{k}}}}}[{SP}]*([^=].*?[^{SP}]|[^={SP}])[{SP}]*={{{{{k}}}}}[{SP}]*$', 1)''')} AS title FROM h".replace("{{", "{").replace("}}", "}") for k in range(2, 7))
+
+
+@query(
+    f"WITH h AS (SELECT doc_id, unnest({LINES('text')}) AS s FROM {texts_sql(HEADINGS)}), "
+    f"m AS (SELECT doc_id, length(regexp_extract(s, '^(#{{1,6}})[{SP}]+.*[^{SP}][{SP}]*#*[{SP}]*$', 1)) AS level, {STRIP(f'''regexp_extract(s, '^#{{1,6}}[{SP}]+(.*[^{SP}])[{SP}]*#*[{SP}]*$', 1)''')} AS title FROM h) "
+    f"SELECT doc_id, level::INT AS level, title FROM (SELECT * FROM m UNION ALL {_WIKI}) WHERE level > 0 AND title <> ''"
+)
+def headings(spark, sf_dir):
+    rows = texts(spark, sf_dir, HEADINGS).select("doc_id", F.explode(T.lines("text")).alias("line")).select("doc_id", C.parse_heading("line").alias("h"))
+    return rows.filter("h is not null").select("doc_id", "h.level", "h.title")
+
+
+CAPITALS = ["TúyKiều và KimTrọng đi", "aB cD", "Chương ơƯ ỳA"]
+_LOWER, _UP = C._case_classes()
+_CAP_ONCE = lambda x: f"regexp_replace({x}, '([{_LOWER}])([{_UP}])', '\\1 \\2', 'g')"
+
+
+@query(f"SELECT doc_id, {_CAP_ONCE(_CAP_ONCE('text'))} AS text FROM {texts_sql(CAPITALS)}")
+def internal_capitals(spark, sf_dir):
+    return texts(spark, sf_dir, CAPITALS).select("doc_id", C.split_internal_capitals("text").alias("text"))
+
+
+@query(f"SELECT doc_id, {'replace(' * len(P.GLUED)}text{''.join(f', {quoted(k)}, {quoted(v)})' for k, v in P.GLUED.items())} AS text FROM {texts_sql(list(P.GLUED)[:20])}")
+def glued_words(spark, sf_dir):
+    return texts(spark, sf_dir, list(P.GLUED)[:20]).select("doc_id", C.repair_glued_words("text").alias("text"))
+
+
+MARKUP = ["a<ref name=x/>b <ref>c\nd</ref> e", "![i](u) [t](v) [w][x] **b** ''i'' {{t\nu}} [^1] z", "x\n | row |\ny \n  z\t\tw", "<p>q</p> r\n12\nTúyKiều"]
+_CLEAN = [
+    (r"(?i)<ref[^>]*?/>", ""), (r"(?is)<ref[^>]*>.*?</ref>", ""), (r"<[^>]+>", ""), (r"!\[[^\]]*\]\([^)]*\)", ""), (r"\[([^\]]*)\]\([^)]*\)", r"\1"),
+    (r"\[([^\]]*)\]\[[^\]]*\]", r"\1"), (rf"(?m)^[{SP}]*\|.*$", ""), (r"(?s)\{\{.*?\}\}", ""), (r"[*_]{2,}", ""), ("'''", ""), ("''", ""), (r"\[\^[^\]]*\]", ""),
+    (r"[ \t]+", " "), (r" ?\n ?", "\n"),
+]
+_SANITIZED = "replace(text, chr(160), ' ')"
+for _p, _to in _CLEAN:
+    _SANITIZED = f"regexp_replace({_SANITIZED}, {quoted(_p)}, {'chr(10)' if _to == chr(10) else quoted(_to)}, 'g')"
+_SANITIZED = _CAP_ONCE(_CAP_ONCE(f"array_to_string(list_filter({LINES(_SANITIZED)}, lambda s: NOT ({_FURNITURE})), chr(10))"))
+_SANITIZED = "replace(" * len(P.GLUED) + _SANITIZED + "".join(f", {quoted(k)}, {quoted(v)})" for k, v in P.GLUED.items())
+
+
+@query(f"SELECT doc_id, {_SANITIZED} AS text FROM {texts_sql(MARKUP)}")
+def sanitize(spark, sf_dir):
+    return texts(spark, sf_dir, MARKUP).select("doc_id", C.sanitize_prose("text").alias("text"))
+
+
+@query(
+    f"WITH c AS (SELECT doc_id, {_SANITIZED} AS t FROM documents), l AS (SELECT doc_id, unnest({LINES('t')}) AS p FROM c) "
+    f"SELECT doc_id, count(*) FILTER ({STRIP('p')} <> '') AS n_lines_kept, sum(len(CASE WHEN len({PIECES}) = 0 THEN [] ELSE {GLUE} END))::BIGINT AS n_sentences, sum({WORDS('p')})::BIGINT AS n_words FROM l GROUP BY doc_id"
+)
+def clean_document_stats(spark, sf_dir):
+    """Cleaned lines, sentences and words of every document; the flagship."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", T.lines(C.sanitize_prose("text")).alias("l"))
+    n = lambda f: F.aggregate(F.transform("l", f), F.lit(0).cast("long"), lambda a, b: a + b)
+    return rows.select(
+        "doc_id", n(lambda s: F.when(T.strip(s) != "", 1).otherwise(0)).alias("n_lines_kept"), n(lambda s: F.size(T.sentences(s))).alias("n_sentences"), n(T.count_words).alias("n_words")
+    )
+
+
+@query(f"SELECT doc_id, regexp_extract(text, {quoted(P.FORBIDDEN)}) AS found FROM {texts_sql(MARKUP)} WHERE regexp_matches(text, {quoted(P.FORBIDDEN)})")
+def forbidden_markup(spark, sf_dir):
+    rows = texts(spark, sf_dir, MARKUP).filter(C.has_forbidden_markup("text"))
+    return rows.select("doc_id", F.regexp_extract("text", P.FORBIDDEN, 0).alias("found"))
+
+
+APPARATUS = ["Mục lục", "1. Ghi chú.", "Ghi chú dài ra", "Chương 1", "Lời nói đầu", "TOC", "", "Contents 2"]
+_BARE = STRIP(f"regexp_replace(text, '^[^{L}]+', '')")
+
+
+@query(
+    f"SELECT doc_id, c <> '' AND length(c) <= 60 AND regexp_matches(c, '(?i)^(?:{P.NON_CHAPTER})') AND regexp_replace(regexp_replace(c, '(?i)^(?:{P.NON_CHAPTER})', ''), '[ .:\\-–—]', '', 'g') = '' AS front FROM (SELECT doc_id, {_BARE} AS c FROM {texts_sql(APPARATUS)})"
+)
+def front_titles(spark, sf_dir):
+    return texts(spark, sf_dir, APPARATUS).select("doc_id", C.is_non_chapter_title("text").alias("front"))
+
+
+# --- reading text ----------------------------------------------------------------------------------------------------
+
+READINGS = [
+    "A & B & C R&D", "4-6 tháng, 12-13/4 và 1-2", "A- B+ xA- A-b", "P P &P Px", "Chương I: Mở Phần XIV. Bài viết chương XXI", "TP.HCM và STP. tr. 5 NXB USDx USD",
+    "- Ý\n1. Đọc\n4) Viết\na) Đọc\n1. Thứ nhất, x", "12\nTrang 3\ntr. 4\nvăn",
+]
+_AMP = lambda x: f"regexp_replace({x}, '([{A}])[ \\t]*&[ \\t]*([{A}])', '\\1 và \\2', 'g')"
+_RANGE = lambda x: f"regexp_replace({x}, '(^|[^0-9.,/:-])([0-9]{{1,2}})[ \\t]*[-–][ \\t]*([0-9]{{1,2}})($|[^0-9/.,:-]|[.,](?:\\s|$))', '\\1\\2 đến \\3\\4', 'g')"
+
+
+@query(f"SELECT doc_id, {_RANGE(_RANGE(_AMP(_AMP(_AMP('text')))))} AS text FROM {texts_sql(READINGS)}")
+def ampersands_and_ranges(spark, sf_dir):
+    return texts(spark, sf_dir, READINGS).select("doc_id", G.small_ranges(G.ampersands("text")).alias("text"))
+
+
+_END = rf"([{SP},.;:!?)\]→]|$)"
+_GRADES = f"regexp_replace(regexp_replace(text, '(^|[^{AW}])([A-Z])-{_END}', '\\1\\2 trừ\\3', 'g'), '(^|[^{AW}])([A-Z])\\+{_END}', '\\1\\2 cộng\\3', 'g')"
+_LONE = lambda x: f"regexp_replace({x}, '(^|[^{AW}&])P([^{AW}&]|$)', '\\1Pê\\2', 'g')"
+
+
+@query(f"SELECT doc_id, {_LONE(_LONE(_GRADES))} AS text FROM {texts_sql(READINGS)}")
+def grades_and_letters(spark, sf_dir):
+    return texts(spark, sf_dir, READINGS).select("doc_id", G.lone_p(G.grade_signs("text")).alias("text"))
+
+
+_ROMANS = "text"
+for _n in range(1, 21):
+    _ROMANS = f"regexp_replace({_ROMANS}, '(?i)({G.ROMAN_HEADS})[{SP}]+{G._roman(_n)}([{SP}.,:;)\\]!?]|$)', '\\1 {N.viet(_n)}\\2', 'g')"
+
+
+@query(f"SELECT doc_id, {_ROMANS} AS text FROM {values(READINGS)}")
+def heading_romans(spark, sf_dir):
+    return given(spark, READINGS).select("doc_id", G.heading_romans("text").alias("text"))
+
+
+_ABBREVIATED = "text"
+for _k in sorted(G.ABBREVIATIONS, key=len, reverse=True):
+    _key = _k.replace(".", r"\.")
+    _ABBREVIATED = f"regexp_replace({_ABBREVIATED}, '(^|[^{AW}]){_key}" + ("" if "." in _k else f"([^{L}]|$)") + f"', '\\1{G.ABBREVIATIONS[_k]}" + ("" if "." in _k else "\\2") + "', 'g')"
+
+
+@query(f"SELECT doc_id, {_ABBREVIATED} AS text FROM {texts_sql(READINGS)}")
+def abbreviations(spark, sf_dir):
+    return texts(spark, sf_dir, READINGS).select("doc_id", G.abbreviations("text").alias("text"))
+
+
+_ORDINALS = "[" + ", ".join(quoted(N.ordinal(n)) for n in range(100)) + "]"
+_NUMBERED = rf"^[{SP}]*([0-9]{{1,2}})[.)][{SP}]+({L}[^\n]*)$"
+_BULLET = rf"^[{SP}]*(?:[-–—•●▪◦○∙·+*]|[a-zA-ZđĐ]\))[{SP}]+([^{SP}][^\n]*)$"
+
+
+@query(
+    f"SELECT doc_id, array_to_string(list_transform({LINES('text')}, lambda s: CASE WHEN regexp_matches(s, '{_NUMBERED}') THEN CASE WHEN regexp_matches(regexp_extract(s, '{_NUMBERED}', 2), '(?i)^(?:thứ[{SP}]|đầu tiên|trước hết|cuối cùng|sau cùng)') "
+    f"THEN regexp_extract(s, '{_NUMBERED}', 2) ELSE 'Thứ ' || {_ORDINALS}[regexp_extract(s, '{_NUMBERED}', 1)::INT + 1] || ', ' || regexp_extract(s, '{_NUMBERED}', 2) END WHEN regexp_matches(s, '{_BULLET}') THEN regexp_extract(s, '{_BULLET}', 1) ELSE s END), chr(10)) AS text FROM {texts_sql(READINGS)}"
+)
+def list_markers(spark, sf_dir):
+    return texts(spark, sf_dir, READINGS).select("doc_id", G.list_markers("text").alias("text"))
+
+
+@query(f"SELECT doc_id, array_to_string(list_filter({LINES('text')}, lambda s: NOT regexp_matches(s, '{re2(P.SCRIPT_PAGE_NUMBER)}')), chr(10)) AS text FROM {texts_sql(READINGS)}")
+def script_page_numbers(spark, sf_dir):
+    return texts(spark, sf_dir, READINGS).select("doc_id", G.drop_script_page_numbers("text").alias("text"))
+
+
+TOLD = ["Mưa lớn -> ngập: đọc sách/tạp chí, 300 triệu/năm", "Có 3 người, 10:30, 5%: CEO và 4P", "1.6. Lập kế hoạch", "http://a.b/c 12/09/2026"]
+
+
+@query()
+def reading_script(spark, sf_dir):
+    """All seventeen steps; without SQL, as three of them look at what a match says."""
+    return texts(spark, sf_dir, [*READINGS, *TOLD]).select("doc_id", G.normalize_script("text").alias("text"))
+
+
+@query()
+def reading_titles(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), F.col("p_name").alias("text")).unionByName(given(spark, READINGS))
+    return rows.select("doc_id", G.normalize_title("text").alias("title"))
+
+
+# --- chapters --------------------------------------------------------------------------------------------------------
+
+
+@query()
+def wrapped_lines(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", K.join_wrapped_lines("text").alias("text"))
+
+
+@query()
+def markdown_text(spark, sf_dir):
+    return texts(spark, sf_dir, ["# A\n> q\n- b\n1. c\nT\n---\n```\ncode\n```\nz"]).select("doc_id", K.parse_markdown("text").alias("text"))
+
+
+def _sections(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", K.detect_chapters("text").alias("sections"))
+
+
+@query()
+def detected_chapters(spark, sf_dir):
+    return K.explode_sections(_sections(spark, sf_dir)).drop("text")
+
+
+@query()
+def structured_chapters(spark, sf_dir):
+    """Lines as sections, folded forward, split and merged: all the folds in a row."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.transform(T.lines("text"), lambda s, i: F.struct(F.format_string("%d", i + 1).alias("title"), s.alias("text"), F.lit(1).alias("level"))).alias("lines"))
+    rows = rows.withColumn("folded", K.merge_short_sections("lines", 40)).withColumn("s", K.structure_chapters("folded", 400, 150, "Văn"))
+    return K.explode_sections(rows.select("doc_id", F.col("s.sections").alias("sections"))).drop("text")
+
+
+@query()
+def packed_paragraphs(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(K.split_text_by_words("text", 200, 50)).alias("pos", "chunk"))
+    return rows.select("doc_id", F.col("pos").cast("long").alias("pos"), T.count_words("chunk").alias("n_words"), F.sha2("chunk", 256).alias("sha256"))
+
+
+BATCHED = ["aa\n\nbb\n\ncc", "x" * 9 + "\n\ny", "", "\n\n", "a\n\n\n\nb"]
+
+
+@query()
+def text_batches(spark, sf_dir):
+    return given(spark, BATCHED).select("doc_id", F.array_join(X.batch_text("text", 6), "¦").alias("batches"))
+
+
+@query(
+    f"SELECT doc_id, count(*) AS n_lines, count(*) FILTER (next_blank) AS before_blank, max(line_no)::BIGINT AS last_line, coalesce(sum(run) FILTER (line_no % 10 = 0), 0)::BIGINT AS words_at_tens FROM (SELECT doc_id, line_no, coalesce(lead(p) OVER w = '', false) AS next_blank, sum({WORDS('p')}) OVER w AS run FROM ({_LINES_OF('documents')}) WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)) GROUP BY doc_id"
+)
+def line_windows(spark, sf_dir):
+    """Next lines, running sums and numbering over each document's lines."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(T.lines("text")).alias("k", "p")).withColumn("line_no", F.col("k") + 1)
+    w = Window.partitionBy("doc_id").orderBy("line_no")
+    rows = rows.select("doc_id", "line_no", F.coalesce(F.lead("p").over(w) == "", F.lit(False)).alias("next_blank"), F.sum(T.count_words("p")).over(w).alias("run"))
+    return rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if("next_blank").alias("before_blank"), F.max("line_no").cast("long").alias("last_line"), F.coalesce(F.sum(F.when(F.col("line_no") % 10 == 0, F.col("run"))), F.lit(0)).alias("words_at_tens"))
+
+
+@query(f"SELECT lang, median(n)::DOUBLE AS middle, min(n)::BIGINT AS smallest, arg_max(n, doc_id)::BIGINT AS last, arg_max(doc_id, n * 1000000000 - doc_id) AS longest FROM (SELECT lang, doc_id, {WORDS('text')} AS n FROM documents) GROUP BY lang")
+def length_stats(spark, sf_dir):
+    """Medians, the last of a group, and the longest with ties to the first."""
+    rows = table(spark, sf_dir, "documents").select("lang", "doc_id", T.count_words("text").cast("long").alias("n"))
+    return rows.groupBy("lang").agg(F.median("n").alias("middle"), F.min("n").alias("smallest"), F.max_by("n", "doc_id").alias("last"), F.max_by("doc_id", F.struct("n", (-F.col("doc_id")).alias("d"))).alias("longest"))
+
+
+def _chapters(spark, sf_dir) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id")).alias("slug"), F.lit(1).alias("pos"), F.concat(F.lit("Chương "), F.col("lang")).alias("title"), "text")
+    rows = B.chapters_of(rows).withColumnRenamed("chapter_slug", "source_path")
+    return rows
+
+
+@query()
+def rendered_chapters(spark, sf_dir):
+    return _chapters(spark, sf_dir)
+
+
+@query()
+def corpus_violations(spark, sf_dir):
+    return Q.violations(_chapters(spark, sf_dir))
+
+
+@query()
+def chapter_stats(spark, sf_dir):
+    return Q.chapter_stats(_chapters(spark, sf_dir))
+
+
+# --- markup ----------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT value, count(*) AS n FROM (SELECT unnest(regexp_extract_all(html, 'class=\"([^\"]*)\"', 1)) AS value FROM pages) GROUP BY value")
+def class_frequency(spark, sf_dir):
+    return M.attribute_frequency(table(spark, sf_dir, "pages"), "html")
+
+
+@query("SELECT tag, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(html), '<([a-z][a-z0-9]*)', 1)) AS tag FROM pages) GROUP BY tag")
+def tag_frequency(spark, sf_dir):
+    return M.tag_frequency(table(spark, sf_dir, "pages"), "html")
+
+
+@query()
+def html_sections(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").select("page_id", F.posexplode(M.html_sections("html")).alias("pos", "s"))
+    return rows.select("page_id", "pos", "s.title", T.count_words("s.text").alias("n_words"))
+
+
+WIKI_PAGES = [
+    "{{đầu đề|tác giả=Nguyễn Du|phần={{nowrap|Chương 4}}}}\n{{văn|{{drop cap|B}}ắt đầu <ref>x</ref> [[A|b]] '''c''' {{x|{{y}}}}}}\n== Ghi chú ==\nz",
+    "{|\n| a || b\n|-\n! c\n|}\n=== Hai ===\nmột hai ba bốn năm sáu\n==== sâu ====\nbảy tám", "{{open", "<!-- x --> plain &amp; text\n----\n* item",
+]
+
+
+@query()
+def wiki_text(spark, sf_dir):
+    return texts(spark, sf_dir, WIKI_PAGES).select("doc_id", W.strip_wikitext("text").alias("text"))
+
+
+@query()
+def wiki_sections(spark, sf_dir):
+    rows = texts(spark, sf_dir, WIKI_PAGES).select("doc_id", F.posexplode(W.wikitext_sections("text")).alias("pos", "s"))
+    return rows.select("doc_id", "pos", "s.title", "s.level", T.count_words("s.text").alias("n_words"))
+
+
+@query()
+def wiki_works(spark, sf_dir):
+    """Pages of a work, index and front matter dropped with notes."""
+    rows = table(spark, sf_dir, "documents").select(F.col("source").alias("work"), F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("title"), F.col("text").alias("wikitext"), F.lit("").alias("html"))
+    return WS.work_sections(WS.page_sections(rows)).select("work", "title", "pos", "section.title", "kept", "note").toDF("work", "page", "pos", "title", "kept", "note")
+
+
+@query(f"SELECT doc_id, length(text) < 400 OR regexp_matches(text, '(?i)<\\s*pages(?:[^{AW}]|$)|\\{{\\{{\\s*(?:pages|đầu đơn|Image)(?:[^{AW}]|$)') AS stub FROM {texts_sql(['<pages index=x/>' + 'y' * 400, 'z' * 400])}")
+def stub_pages(spark, sf_dir):
+    return texts(spark, sf_dir, ["<pages index=x/>" + "y" * 400, "z" * 400]).select("doc_id", W.is_stub("text").alias("stub"))
+
+
+# --- rights ----------------------------------------------------------------------------------------------------------
+
+LICENSES = ["public-domain", "Public Domain", " CC0-1.0 ", "cc_by_4.0", "CC BY  SA 4.0", "all rights reserved", "", None, "CC BY-NC 4.0", "PDM"]
+_KEY = f"replace(replace(lower({STRIP(chr(99) + chr(111) + 'alesce(text, ' + chr(39) * 2 + ')')}), '_', ' '), '  ', ' ')"
+_CANON = f"coalesce(map {{{', '.join(f'{quoted(k)}: {quoted(v)}' for k, v in R.ALIASES.items())}}}[{_KEY}], {_KEY})"
+_OK = "(" + ", ".join(map(quoted, R.ALLOWED)) + ")"
+
+
+@query(f"SELECT doc_id, {_CANON} AS canonical, {_CANON} IN {_OK} AS allowed FROM {values(LICENSES)}")
+def license_gate(spark, sf_dir):
+    return given(spark, LICENSES).select("doc_id", R.normalize_license("text").alias("canonical"), R.is_allowed("text").alias("allowed"))
+
+
+@query(f"SELECT d.source, count(*) AS n FROM documents d SEMI JOIN (SELECT 'src' || (-doc_id) AS source FROM {values(LICENSES)} WHERE {_CANON} IN {_OK}) a ON d.source = a.source GROUP BY d.source")
+def allowed_sources(spark, sf_dir):
+    gate = given(spark, LICENSES).select(F.concat(F.lit("src"), (-F.col("doc_id")).cast("string")).alias("source"), F.col("text").alias("license"))
+    allowed = R.allowed_only(gate).select("source")
+    return table(spark, sf_dir, "documents").join(allowed, "source", "left_semi").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"SELECT d.source, count(*) AS n FROM documents d ANTI JOIN (SELECT 'src' || (-doc_id) AS source FROM {values(LICENSES)} WHERE {_CANON} IN {_OK}) a ON d.source = a.source GROUP BY d.source")
+def blocked_sources(spark, sf_dir):
+    gate = given(spark, LICENSES).select(F.concat(F.lit("src"), (-F.col("doc_id")).cast("string")).alias("source"), F.col("text").alias("license"))
+    return table(spark, sf_dir, "documents").join(R.allowed_only(gate).select("source"), "source", "left_anti").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+
+
+DENIED_TEXTS = ["By Lewis Carroll", "H. G. Wells and Mary Shelley", "Nguyễn Du", "ngô tất tố"]
+
+
+@query(f"SELECT doc_id, array_to_string(list_filter([{', '.join(map(quoted, R.DENIED))}], lambda p: contains(lower(text), p)), ',') AS denied FROM {texts_sql(DENIED_TEXTS)} WHERE len(list_filter([{', '.join(map(quoted, R.DENIED))}], lambda p: contains(lower(text), p))) > 0")
+def denied_authors(spark, sf_dir):
+    return texts(spark, sf_dir, DENIED_TEXTS).select("doc_id", F.array_join(R.denied_patterns("text"), ",").alias("denied")).filter("denied <> ''")
+
+
+DATES = ["1765–1820", "1894 - 1945", "d. 1931", "no year", "(1837-1898)", "died 1955 or 1960"]
+
+
+@query(f"SELECT doc_id, coalesce(nullif(list_last(regexp_extract_all(text, '(1[0-9]{{3}}|20[0-2][0-9])')), ''), '-1')::INT AS year FROM {values(DATES)}")
+def last_years(spark, sf_dir):
+    return given(spark, DATES).select("doc_id", F.coalesce(R.last_year("text"), F.lit(-1)).alias("year"))
+
+
+AUTHORS = [("a", "Nguyễn Trãi", "Đặng Trần Côn", None, ""), ("b", "Nguyễn Du", "Nguyễn Du", None, "1765–1820"), ("c", "X", "", 1900, ""), ("d", "X", "", None, "")]
+
+
+@query("SELECT * FROM (VALUES ('a', 1780, true), ('b', 1820, false), ('c', 1900, false), ('d', -1, false)) AS t(slug, death_year, mismatch)")
+def author_death_years(spark, sf_dir):
+    rows = spark.createDataFrame(AUTHORS, "slug string, author string, source_author string, author_death_year int, author_dates string")
+    return R.resolved_death_year(rows).select("slug", F.coalesce("death_year", F.lit(-1)).alias("death_year"), "mismatch")
+
+
+
+@query(
+    "SELECT CASE WHEN quality IS NULL THEN 'rights-blocked' WHEN lang <> 'en' THEN 'wrong-language' WHEN length(text) < 500 THEN 'empty' ELSE 'ok' END AS status, count(*) AS n "
+    "FROM (SELECT d.lang, d.text, l.quality FROM documents d LEFT JOIN labels l USING (doc_id) WHERE NOT (l.quality IS NOT NULL AND d.lang <> 'en' AND length(text) < 500)) GROUP BY status"
+)
+def status_tally(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left").filter(~(F.col("quality").isNotNull() & (F.col("lang") != "en") & (F.length("text") < 500)))
+    none = F.lit(None)
+    facts = rows.select(
+        F.when(F.col("quality").isNull(), "unknown").otherwise("cc0").alias("license"), F.lit(True).alias("has_source"), F.lit(False).alias("offline"),
+        F.when(F.length("text") < 500, 0).otherwise(1).alias("n_sections"), none.cast("int").alias("death_year"), F.lit(False).alias("needs_death_year"), F.lit(False).alias("translate_failed"),
+        F.col("lang").alias("language"), F.lit("en").alias("wanted_language"), F.lit(False).alias("dry_run"), none.cast("string").alias("error"),
+    )
+    return B.status_tally(facts.withColumn("status", B.build_status(facts)))
+
+
+@query()
+def translated_documents(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("role").alias("title"), "text")
+    return X.translate_sections(rows, X.build_engine("off")).select("conv_id", "turn", "title", "text", "translate_mode")
+
+
+@query()
+def pdf_outline(spark, sf_dir):
+    """Documents as pages of a line each, sliced at every tenth page."""
+    pages = T.lines("text")
+    marks = F.transform(F.sequence(F.lit(0), F.size(pages) - 1, F.lit(10)), lambda i: F.struct(i.cast("int").alias("page"), F.format_string("Phần %d", i).alias("title"), F.lit(1).alias("level")))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(S.outline_sections(pages, marks)).alias("pos", "s"))
+    return rows.select("doc_id", "pos", "s.title", T.count_words("s.text").alias("n_words"))
+
+
+@query()
+def pdf_cleaned(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", S.pdf_text("text").alias("text"))
+
+
+@query()
+def stream_cleaning(spark, sf_dir):
+    """The streaming transformation over the whole table as one batch; tests run it as a stream."""
+    return cleaned(table(spark, sf_dir, "documents"))
+
 
-QUERIES: dict = {}
-SQL: dict = {}
