@@ -27,6 +27,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(c: Column, fn) -> Column:
+    """``fn`` of a value that is computed once, however often ``fn`` uses it, and that lambdas inside may use."""
+    return F.get(F.transform(F.array(c), fn), F.lit(0))
+
+
 def words(c: Column | str) -> Column:
     """White-space tokens; none for null."""
     return F.filter(F.split(F.coalesce(col(c), F.lit("")), f"[{SPACE}]+"), lambda w: w != "")

@@ -7,7 +7,7 @@ from functools import cache, reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkmill.functions.text import SPACE, col, count_words, is_shouted, keep_lines, lines, per_line, squeeze_spaces, strip, words
+from inkmill.functions.text import SPACE, col, count_words, is_shouted, keep_lines, let, lines, per_line, squeeze_spaces, strip, words
 from inkmill.operators import patterns as P
 
 __all__ = ["is_shouted", "squeeze_spaces"]
@@ -65,8 +65,8 @@ def drop_furniture_lines(c: Column | str) -> Column:
 def head_key(line: Column | str) -> Column:
     """What could be a running head: at most 80 characters and 8 words without an end mark; else null."""
     s = strip(line)
-    fits = (s != "") & (F.length(s) <= P.RUNNING_HEAD_CHARS) & (count_words(s) <= P.RUNNING_HEAD_WORDS) & ~s.rlike(P.RUNNING_HEAD_ENDS)
-    return F.when(fits, s)
+    short = (s != "") & (F.length(s) <= P.RUNNING_HEAD_CHARS)
+    return F.when(short & ~s.rlike(P.RUNNING_HEAD_ENDS) & (count_words(s) <= P.RUNNING_HEAD_WORDS), s)
 
 
 def is_page_number(line: Column) -> Column:
@@ -77,14 +77,20 @@ def drop_page_number_lines(c: Column | str, min_repeats: int = P.RUNNING_HEAD_RE
     """Without page numbers, then without running heads: short lines that repeat at least ``min_repeats`` times.
 
     Counting is one sort of the candidate heads: a head that stands again min_repeats - 1 places on occurs often
-    enough. Lambdas look only at their arguments, so the text may come from a Python function."""
-    kept = F.filter(lines(c), lambda s: ~is_page_number(s))
-    heads = F.array_sort(F.array_compact(F.transform(kept, head_key)))
-    n = F.greatest(F.size(heads) - (min_repeats - 1), F.lit(0))
-    pairs = F.zip_with(F.slice(heads, F.lit(1), n), F.slice(heads, F.lit(min_repeats), n), lambda a, b: F.when(a == b, a))
-    noisy = F.array_distinct(F.array_compact(pairs))
-    quiet = F.zip_with(kept, F.array_repeat(noisy, F.size(kept)), lambda s, z: F.when(~F.coalesce(F.array_contains(z, head_key(s)), F.lit(False)), s))
-    return F.array_join(F.when(F.size(noisy) == 0, kept).otherwise(F.array_compact(quiet)), "\n")
+    enough."""
+
+    def noisy(heads: Column) -> Column:
+        n = F.greatest(F.size(heads) - (min_repeats - 1), F.lit(0))
+        pairs = F.zip_with(F.slice(heads, F.lit(1), n), F.slice(heads, F.lit(min_repeats), n), lambda a, b: F.when(a == b, a))
+        return F.array_distinct(F.array_compact(pairs))
+
+    def quiet(kept: Column) -> Column:
+        found = noisy(F.array_sort(F.array_compact(F.transform(kept, head_key))))
+        # the heads go along with each line, as a lambda's own argument is computed once
+        left = F.zip_with(kept, F.array_repeat(found, F.size(kept)), lambda s, z: F.when(~F.coalesce(F.array_contains(z, head_key(s)), F.lit(False)), s))
+        return F.when(F.size(found) == 0, kept).otherwise(F.array_compact(left))
+
+    return F.array_join(let(F.filter(lines(c), lambda s: ~is_page_number(s)), quiet), "\n")
 
 
 def running_heads(df: DataFrame, key: str, text: str, min_repeats: int = P.RUNNING_HEAD_REPEATS) -> DataFrame:
