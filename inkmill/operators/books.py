@@ -12,16 +12,27 @@ from inkmill.operators.rights import is_allowed, normalize_license
 
 CHAPTER = "struct<index: int, slug: string, title: string, source_path: string, audio_path: string, duration_sec: double, word_count: int>"
 _TEXT_FIELDS = "slug title author translator language source_language source_format source_path source_url license license_url rights_note summary narrator text_path".split()
-BOOK = ", ".join([f"{k} string" for k in _TEXT_FIELDS] + [f"chapters array<{CHAPTER}>", "cover_path string", "m4b_path string", "status string"])
+BOOK_FIELDS = [*((k, "string") for k in _TEXT_FIELDS), ("chapters", f"array<{CHAPTER}>"), *((k, "string") for k in ("cover_path", "m4b_path", "status"))]
 #: Further keys that writers add and plain readers ignore.
-EXTRA = (
-    "author_dates string, author_death_year int, translator_dates string, license_basis string, wikisource_title string, wikisource_url string, "
-    "verified struct<bytes: bigint, subpages: int, checked: string, note: string>, expect_chapters int, min_chapter_words int, notes string, source_page string, "
-    "source_revision bigint, source_revision_timestamp string, source_revision_user string, source_pages array<string>, source_author string, "
-    "source_translator string, rights_gate string, translate_mode string"
-)
-MANIFEST = f"book struct<{BOOK.replace(' string', ': string').replace('chapters array', 'chapters: array')}>, stage string, created_at string, notes array<string>"
-CATALOG = ", ".join(f"{k} string" for k in _TEXT_FIELDS) + ", " + EXTRA
+EXTRA_FIELDS = [
+    *((k, "string") for k in "author_dates translator_dates license_basis wikisource_title wikisource_url notes source_page source_revision_timestamp".split()),
+    *((k, "string") for k in "source_revision_user source_author source_translator rights_gate translate_mode".split()),
+    ("author_death_year", "int"), ("expect_chapters", "int"), ("min_chapter_words", "int"), ("source_revision", "bigint"), ("source_pages", "array<string>"),
+    ("verified", "struct<bytes: bigint, subpages: int, checked: string, note: string>"),
+]
+
+
+def ddl(fields: list[tuple[str, str]]) -> str:
+    return ", ".join(f"{k} {kind}" for k, kind in fields)
+
+
+def nested(fields: list[tuple[str, str]]) -> str:
+    return "struct<" + ", ".join(f"{k}: {kind}" for k, kind in fields) + ">"
+
+
+BOOK, EXTRA = ddl(BOOK_FIELDS), ddl(EXTRA_FIELDS)
+MANIFEST = ddl([("book", nested(BOOK_FIELDS)), ("stage", "string"), ("created_at", "string"), ("notes", "array<string>")])
+CATALOG_FIELDS = [*((k, "string") for k in _TEXT_FIELDS), *EXTRA_FIELDS]
 STATUSES = ["draft", "extracted", "translated", "narrated", "packaged"]
 BLOCKED = "blocked-no-vi-source"
 DEFAULTS = {"language": "vi", "source_language": "en", "source_format": "pdf", "status": "draft"}

@@ -194,7 +194,7 @@ def extract_file(spark: SparkSession, path: str, license_id: str, min_words: int
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     """Entries of {"books": [...]} files; a catalog without entries is an error."""
-    rows = spark.read.schema(f"books array<struct<{B.CATALOG.replace(' string', ': string').replace(' int,', ': int,').replace(' bigint', ': bigint').replace(' struct<', ': struct<').replace(' array<', ': array<')}>>").option("multiLine", True).json(path)
+    rows = spark.read.schema(f"books array<{B.nested(B.CATALOG_FIELDS)}>").option("multiLine", True).json(path)
     found = rows.select(F.inline("books"))
     if found.isEmpty():
         raise ValueError(f"{path} has no books")

@@ -92,8 +92,9 @@ def fetch_pages(wanted: DataFrame, transport: Transport = http_transport, interv
                 found, error = client.page(title), None
             except (OSError, RuntimeError) as e:
                 found, error = {"title": ""}, str(e)
-            rows.append({"language": pdf["language"].iloc[0], "requested": title, "error": error} | found)
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in PAGE.split(", ")]).astype({"pageid": "Int64", "revid": "Int64"})
+            rows.append({"language": pdf["language"].iloc[0], "requested": title, "error": error, "subpages": [], "links": [], "pageid": None, "revid": None} | found)
+        out = pd.DataFrame(rows, columns=[c.split()[0] for c in PAGE.split(", ")]).astype({"pageid": "Int64", "revid": "Int64"})
+        return out.astype(object).where(out.notna(), None)
 
     return wanted.select("language", "title").distinct().groupBy("language").applyInPandas(over, PAGE)
 
