@@ -443,18 +443,33 @@ def structured_chapters(spark, sf_dir):
     return K.explode_sections(rows.select("doc_id", F.col("s.sections").alias("sections"))).drop("text")
 
 
-@query()
+_STRIPPED = STRIP("text")
+
+
+@query(
+    f"WITH RECURSIVE d AS (SELECT doc_id, {_STRIPPED} AS t, {WORDS('text')} AS w, list_filter(list_transform({LINES(_STRIPPED)}, lambda s: {STRIP('s')}), lambda s: s <> '') AS ls FROM documents WHERE {_STRIPPED} <> ''), "
+    f"l AS (SELECT doc_id, i, s, {WORDS('s')} AS n, regexp_matches(s, {quoted(K.SENTENCE_END)}) AS e FROM (SELECT doc_id, unnest(ls) AS s, generate_subscripts(ls, 1) AS i FROM d WHERE w > 200 AND len(ls) > 1)), "
+    "f(doc_id, i, pos, size, held) AS (SELECT doc_id, i, 0, n, NOT (n >= 160 AND e) FROM l WHERE i = 1 UNION ALL SELECT l.doc_id, l.i, CASE WHEN f.held AND f.size + l.n <= 200 THEN f.pos ELSE f.pos + 1 END, "
+    "CASE WHEN f.held AND f.size + l.n <= 200 THEN f.size + l.n ELSE l.n END, CASE WHEN f.held AND f.size + l.n > 200 THEN true ELSE NOT ((CASE WHEN f.held THEN f.size ELSE 0 END) + l.n >= 160 AND l.e) END FROM f JOIN l ON l.doc_id = f.doc_id AND l.i = f.i + 1), "
+    f"w AS (SELECT doc_id, list_filter(regexp_split_to_array(t, '[{SP}]+'), lambda x: x <> '') AS ws FROM d WHERE w > 200 AND len(ls) = 1), "
+    "c AS (SELECT doc_id, 0 AS pos, t AS chunk FROM d WHERE w <= 200 UNION ALL SELECT f.doc_id, f.pos, string_agg(l.s, chr(10) ORDER BY l.i) FROM f JOIN l USING (doc_id, i) GROUP BY f.doc_id, f.pos "
+    "UNION ALL SELECT doc_id, k, array_to_string(ws[k * 200 + 1 : k * 200 + 200], ' ') FROM (SELECT doc_id, ws, unnest(range(0, (len(ws) + 199) // 200)) AS k FROM w)) "
+    f"SELECT doc_id, pos::BIGINT AS pos, {WORDS('chunk')}::BIGINT AS n_words, sha256(chunk) AS sha256 FROM c"
+)
 def packed_paragraphs(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(K.split_text_by_words("text", 200, 50)).alias("pos", "chunk"))
-    return rows.select("doc_id", F.col("pos").cast("long").alias("pos"), T.count_words("chunk").alias("n_words"), F.sha2("chunk", 256).alias("sha256"))
+    return rows.select("doc_id", F.col("pos").cast("long").alias("pos"), T.count_words("chunk").cast("long").alias("n_words"), F.sha2("chunk", 256).alias("sha256"))
 
 
 BATCHED = ["aa\n\nbb\n\ncc", "x" * 9 + "\n\ny", "", "\n\n", "a\n\n\n\nb"]
 
 
-@query()
+_BATCHES = "list_reduce(list_transform(string_split(text, chr(10) || chr(10)), lambda p: [p]), lambda d, s: CASE WHEN length(d[len(d)]) + 2 + length(s[1]) <= 6 THEN list_append(d[1:len(d)-1], d[len(d)] || chr(10) || chr(10) || s[1]) ELSE list_concat(d, s) END)"
+
+
+@query(f"SELECT doc_id, coalesce(array_to_string(list_filter({_BATCHES}, lambda b: {STRIP('b')} <> ''), '¦'), '') AS batches FROM {texts_sql(BATCHED)}")
 def text_batches(spark, sf_dir):
-    return given(spark, BATCHED).select("doc_id", F.array_join(X.batch_text("text", 6), "¦").alias("batches"))
+    return texts(spark, sf_dir, BATCHED).select("doc_id", F.array_join(X.batch_text("text", 6), "¦").alias("batches"))
 
 
 @query(
@@ -481,7 +496,17 @@ def _chapters(spark, sf_dir) -> DataFrame:
     return rows
 
 
-@query()
+RENDERED = (
+    f"WITH c AS (SELECT doc_id, lang, {_SANITIZED} AS t FROM documents WHERE {STRIP('text')} <> ''), "
+    f"q AS (SELECT doc_id, unnest(string_split_regex(t, '\\n[{SP}]*\\n')) AS q, generate_subscripts(string_split_regex(t, '\\n[{SP}]*\\n'), 1) AS qi FROM c), "
+    f"l AS (SELECT doc_id, qi, unnest({LINES(STRIP('q'))}) AS z, generate_subscripts({LINES(STRIP('q'))}, 1) AS li FROM q WHERE {STRIP('q')} <> ''), "
+    f"s AS (SELECT doc_id, qi, li, array_to_string({GLUE}, chr(10)) AS said FROM (SELECT *, {STRIP('z')} AS p FROM l) WHERE p <> ''), "
+    "r AS (SELECT doc_id, qi, string_agg(said, chr(10) ORDER BY li) AS para FROM s GROUP BY ALL), b AS (SELECT doc_id, string_agg(para, chr(10) || chr(10) ORDER BY qi) AS body FROM r GROUP BY doc_id), "
+    "m AS (SELECT 'd' || c.doc_id AS slug, 1::INT AS index, 'chuong-01' AS source_path, 'Chương ' || c.lang AS title, '# Chương ' || c.lang || coalesce(chr(10) || chr(10) || body, '') || chr(10) AS markdown FROM c LEFT JOIN b USING (doc_id)) "
+)
+
+
+@query(f"{RENDERED} SELECT *, {WORDS('markdown')}::INT AS word_count FROM m")
 def rendered_chapters(spark, sf_dir):
     return _chapters(spark, sf_dir)
 
@@ -491,7 +516,7 @@ def corpus_violations(spark, sf_dir):
     return Q.violations(_chapters(spark, sf_dir))
 
 
-@query()
+@query(f"{RENDERED} SELECT slug, count(*) AS n, sum({WORDS('markdown')})::BIGINT AS total, min({WORDS('markdown')})::INT AS smallest, median({WORDS('markdown')})::DOUBLE AS middle, arg_max({WORDS('markdown')}, index)::INT AS last FROM m GROUP BY slug")
 def chapter_stats(spark, sf_dir):
     return Q.chapter_stats(_chapters(spark, sf_dir))
 
@@ -611,13 +636,21 @@ def status_tally(spark, sf_dir):
     return B.status_tally(facts.withColumn("status", B.build_status(facts)))
 
 
-@query()
+_PLAIN = SQUEEZE.replace("string_split(text,", f"string_split(regexp_replace(text, '{re2(T.CONTROL)}', '', 'g'),")
+
+
+@query(f"SELECT conv_id, turn, role AS title, {STRIP(_PLAIN)} AS text, 'off' AS translate_mode FROM conversations")
 def translated_documents(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("role").alias("title"), "text")
     return X.translate_sections(rows, X.build_engine("off")).select("conv_id", "turn", "title", "text", "translate_mode")
 
 
-@query()
+_PAGES = f"(SELECT doc_id, unnest({LINES('text')}) AS p, generate_subscripts({LINES('text')}, 1) - 1 AS i FROM documents)"
+
+
+@query(
+    f"SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1)::INT AS pos, 'Phần ' || k AS title, {WORDS('t')}::INT AS n_words FROM (SELECT doc_id, i // 10 * 10 AS k, string_agg(p, chr(10) ORDER BY i) AS t FROM {_PAGES} GROUP BY ALL) WHERE {WORDS('t')} >= 5"
+)
 def pdf_outline(spark, sf_dir):
     """Documents as pages of a line each, sliced at every tenth page."""
     pages = T.lines("text")
@@ -631,7 +664,12 @@ def pdf_cleaned(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", S.pdf_text("text").alias("text"))
 
 
-@query()
+@query(
+    f"WITH c AS (SELECT doc_id, {_SANITIZED} AS t FROM documents), l AS (SELECT doc_id, unnest({LINES('t')}) AS s, generate_subscripts({LINES('t')}, 1) AS i FROM c), "
+    f"k AS (SELECT doc_id, s, i, {_HEAD} AS h FROM l WHERE NOT regexp_matches(s, '{re2(P.PAGE_NUMBER)}')), "
+    "n AS (SELECT *, CASE WHEN h IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY doc_id, h) END AS n FROM k), o AS (SELECT doc_id, string_agg(s, chr(10) ORDER BY i) AS text FROM n WHERE n < 5 GROUP BY doc_id) "
+    f"SELECT c.doc_id, coalesce(text, '') AS text, {WORDS("coalesce(text, '')")}::INT AS n_words FROM c LEFT JOIN o USING (doc_id)"
+)
 def stream_cleaning(spark, sf_dir):
     """The streaming transformation over the whole table as one batch; tests run it as a stream."""
     return cleaned(table(spark, sf_dir, "documents"))
