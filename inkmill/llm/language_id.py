@@ -8,12 +8,15 @@ most letters, its score that language's share of the letters.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.llm.common import documents, held_out, slices, texts
+from inkmill.llm.word_table import WordTable
 
 #: Documents of each language that the fit uses, in expectation, at most: those with the smallest hash of doc_id.
 FIT_DOCS = 1500
@@ -22,7 +25,7 @@ BITS, ORDERS = 16, (1, 2, 3, 4)
 WEIGHT, SWITCH = 0.35, 6.0
 #: A language has a script if this share of its letters is in it.
 SHARE = 0.01
-TABLE, BLOCK = 300_000, 1 << 17
+BLOCK = 1 << 17
 UNKNOWN = "und"
 #: First code points of script ranges, fixed by the Unicode blocks, and the script from there on.
 RANGES = [
@@ -95,39 +98,35 @@ class Model:
 
 
 class Labeller:
+    """Labels for slices of texts, with a table of the words met so far."""
+
     def __init__(self, model: Model):
-        self.model, self.at = model, {}
-        self.known = np.zeros((TABLE, len(model.langs)), np.float32)
-        self.letters = np.zeros(TABLE, np.int64)
-
-    def words(self, words: list[str]) -> np.ndarray:
-        index = list(map(self.at.get, words))
-        if None in index:
-            new = list(dict.fromkeys(w for w, k in zip(words, index) if k is None))
-            if len(self.at) + len(new) > TABLE:
-                self.at.clear()
-                new = list(dict.fromkeys(words))
-            n = len(self.at)
-            self.known[n : n + len(new)], self.letters[n : n + len(new)] = self.model.scores(new)
-            self.at.update(zip(new, range(n, n + len(new))))
-            index = list(map(self.at.get, words))
-        return np.array(index, np.int64)
-
-    def read(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """(scores, letters) of a text's words, a block at a time."""
-        words, parts = text.split(), []
+        self.model = model
+        self.forget()
+        self.table = WordTable(self.learn, self.forget)
+
+    def forget(self) -> None:
+        self.known, self.letters, self.n = np.zeros((1 << 14, len(self.model.langs)), np.float32), np.zeros(1 << 14, np.int64), 0
+
+    def learn(self, words: list[str]) -> None:
         for at in range(0, len(words), BLOCK):
-            k = self.words(words[at : at + BLOCK])
-            parts.append((self.known[k], self.letters[k]))
-        if not parts:
-            return np.zeros((0, len(self.model.langs)), np.float32), np.zeros(0, np.int64)
-        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+            scores, letters = self.model.scores(words[at : at + BLOCK])
+            end = self.n + len(letters)
+            if end > len(self.letters):
+                more = len(self.letters) + len(letters)
+                self.known = np.concatenate([self.known, np.zeros((more, self.known.shape[1]), np.float32)])
+                self.letters = np.concatenate([self.letters, np.zeros(more, np.int64)])
+            self.known[self.n : end], self.letters[self.n : end] = scores, letters
+            self.n = end
 
     def label(self, some: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """(language of each word, letters of each word) for each text, all texts in one Viterbi run."""
-        read = [self.read(t) for t in some]
-        path = viterbi([r[0] for r in read])
-        return [(p, r[1]) for p, r in zip(path, read)]
+        words = [t.split() for t in some]
+        cuts = np.cumsum([len(w) for w in words])[:-1]
+        k = self.table.numbers(list(chain.from_iterable(words)))
+        del words
+        path = viterbi(np.split(self.known[k], cuts))
+        return list(zip(path, np.split(self.letters[k], cuts)))
 
 
 def viterbi(scores: list[np.ndarray], switch: float = SWITCH) -> list[np.ndarray]:
