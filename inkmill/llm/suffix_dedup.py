@@ -36,7 +36,8 @@ SPAN, GRAM = 400, 64
 REACH = SPAN - GRAM  # bytes to either side of an anchor that a window can hold
 HALF = REACH // 2
 GROUP, CELL = 24, 16
-BLOCK = 1 << 18
+#: Bytes in one suffix array, and in one task.
+BLOCK, TASK = 1 << 18, 1 << 21
 #: Bytes whose anchors are found at once.
 CHUNK = 1 << 21
 
@@ -349,7 +350,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     cut = own.join(wanted, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("m") == F.col("mark"))).select("doc_id", "mark", "text", "wanted").mapInArrow(_cut_pieces, CUT)
     cut = staged(cut, "pieces")
     order = ["side", "anchor", "key"]
-    blocks = cut.filter("not full").repartition(*order).sortWithinPartitions(*order, "piece", "doc_id").mapInArrow(_blocks, "anchor long, piece long, low int, high int")
+    size = cut.filter("not full").agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // TASK + 1)
+    blocks = cut.filter("not full").repartition(parts, *order).sortWithinPartitions(*order, "piece", "doc_id").mapInArrow(_blocks, "anchor long, piece long, low int, high int")
     found = blocks.unionByName(full_groups(cut.filter("full"))).distinct()
     partly = again.filter("kinds > 1 and copies = 1").select("anchor", "piece", "doc_id", "mark", "at").join(found, ["anchor", "piece"])
     return whole.unionByName(partly.select("doc_id", "mark", (F.col("at") + F.col("low")).alias("low"), (F.col("at") + F.col("high")).alias("high")))
