@@ -118,20 +118,35 @@ def repair_glued_words(c: Column | str) -> Column:
     return out
 
 
+def _guarded(has_mark, passes: list[tuple[str, str]]):
+    """A function of a column that runs the passes where the mark is."""
+
+    def run(s: Column) -> Column:
+        done = s
+        for pattern, to in passes:
+            done = F.regexp_replace(done, pattern, to)
+        return F.when(has_mark(s), done).otherwise(s)
+
+    return run
+
+
 def sanitize_prose(c: Column | str) -> Column:
     """Prose without tags, references, images, link targets, tables, templates, emphasis, notes and furniture."""
-    steps = [
-        (r"(?iu)<ref[^>]*?/>", ""), (r"(?isu)<ref[^>]*>.*?</ref>", ""), (r"<[^>]+>", ""),
-        (r"!\[[^\]]*\]\([^)]*\)", ""), (r"\[([^\]]*)\]\([^)]*\)", "$1"), (r"\[([^\]]*)\]\[[^\]]*\]", "$1"),
-        (rf"(?md)^[{SPACE}]*\|.*$", ""), (r"(?s)\{\{.*?\}\}", ""), (r"[*_]{2,}", ""), ("''+", lambda s: s), (r"\[\^[^\]]*\]", ""),
-        (r"[ \t]+", " "), (r" ?\n ?", "\n"),
+    # each group of passes runs only over texts that hold its mark; looking for that costs next to nothing
+    groups = [
+        (lambda s: s.contains("<"), [(r"(?iu)<ref[^>]*?/>", ""), (r"(?isu)<ref[^>]*>.*?</ref>", ""), (r"<[^>]+>", "")]),
+        (lambda s: s.contains("["), [(r"!\[[^\]]*\]\([^)]*\)", ""), (r"\[([^\]]*)\]\([^)]*\)", "$1"), (r"\[([^\]]*)\]\[[^\]]*\]", "$1")]),
+        (lambda s: s.contains("|"), [(rf"(?md)^[{SPACE}]*\|.*$", "")]),
+        (lambda s: s.contains("{{"), [(r"(?s)\{\{.*?\}\}", "")]),
+        (lambda s: s.contains("*") | s.contains("_"), [(r"[*_]{2,}", "")]),
+        (lambda s: s.contains("''"), [("'{3}", ""), ("'{2}", "")]),
+        (lambda s: s.contains("[^"), [(r"\[\^[^\]]*\]", "")]),
+        (lambda s: s.contains("  ") | s.contains("\t"), [(r"[ \t]+", " ")]),
+        (lambda s: s.contains(" \n") | s.contains("\n "), [(r" ?\n ?", "\n")]),
     ]
     out = F.translate(col(c), "\u00a0", " ")
-    for pattern, to in steps:
-        if callable(to):
-            out = F.replace(F.replace(out, F.lit("'''"), F.lit("")), F.lit("''"), F.lit(""))
-        else:
-            out = F.regexp_replace(out, pattern, to)
+    for has_mark, passes in groups:
+        out = let(out, _guarded(has_mark, passes))
     return repair_glued_words(split_internal_capitals(drop_furniture_lines(out)))
 
 

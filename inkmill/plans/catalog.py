@@ -42,8 +42,16 @@ def query(sql: str | None = None):
     return add
 
 
+#: Tables whose texts are worth more work than reading them.
+TEXT_TABLES = {"documents", "pages", "conversations"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; texts in fewer files than there are cores are dealt to all of them, as a file of one row group is one
+    task. With more files, as in any large table, rows stay where they are read."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if name in TEXT_TABLES and len(df.inputFiles()) < cores else df
 
 
 def quoted(s: str | None) -> str:
