@@ -33,8 +33,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def read_texts(spark: SparkSession, path: str) -> DataFrame:
+    """A table of texts; with fewer files than cores its rows are dealt to all of them, as a file of one row group is
+    one task. With more files, as in any large table, rows stay where they are read."""
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return read_texts(spark, f"{sf_dir}/documents.parquet")
 
 
 def slices(batch: pa.RecordBatch | pa.Array, column: str = "text"):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import slices
+from inkmill.llm.common import read_texts, slices
 
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*+>"
@@ -327,4 +327,4 @@ def extract(pages: DataFrame) -> DataFrame:
 
 
 def op5_page_text(spark, sf_dir: str) -> DataFrame:
-    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return extract(read_texts(spark, f"{sf_dir}/pages.parquet"))
