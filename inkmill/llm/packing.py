@@ -26,6 +26,8 @@ BITS = 18
 K1, B = 1.2, 0.75
 #: A shard ends with the document that brings it to either.
 SHARD_DOCS, SHARD_TOKENS = 1024, 1 << 21
+#: ids that a task packs, about.
+TASK_IDS = 1 << 23
 #: A word in one of DENSE documents of a shard, or more, is scored by a matrix product.
 DENSE = 16
 #: Fixed value: the split pattern of the byte-level vocabulary.
@@ -149,7 +151,7 @@ class Shard:
         self.matrix[self.owner[dense], column[term[dense]]] = weight[dense]
         self.owner, term, weight = self.owner[~dense], term[~dense], weight[~dense]
         n = np.bincount(self.owner, minlength=len(docs))
-        order = np.argsort(term, kind="stable")
+        order = np.argsort(term << 32 | self.owner)  # one of a kind, so any sort will do
         self.post, self.weight = self.owner[order], weight[order]
         sorted_terms = term[order]
         head = np.flatnonzero(np.diff(sorted_terms, prepend=-1))
@@ -245,7 +247,8 @@ def pack(docs: DataFrame, path: str, keep: bool = False) -> DataFrame:
     df[at[at >= 0]] = n[at >= 0]
     idf = np.log1p((total - df + 0.5) / (df + 0.5))
     stats = docs.sparkSession.sparkContext.broadcast((idf, length / max(total, 1)))  # 2**BITS numbers
-    ranged = rows.filter("bucket is null").select("doc_id", "ids", "key").repartitionByRange("key", "doc_id").sortWithinPartitions("key", "doc_id")
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(length) // TASK_IDS + 1)
+    ranged = rows.filter("bucket is null").select("doc_id", "ids", "key").repartitionByRange(parts, "key", "doc_id").sortWithinPartitions("key", "doc_id")
     more = ", ids binary" if keep else ""
     return ranged.mapInArrow(_packed(path, stats, keep), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + more)
 
