@@ -66,6 +66,17 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [t or "" for t in batch.column(column).to_pylist()]
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added until no column of ``docs`` has them."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """Only the two columns that an operator reads; further columns, whatever their names, don't matter."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import documents, id_and_text, staged
+from inkmill.llm.common import documents, fresh, id_and_text, staged
 
 WHITE = r"[\x20\x09-\x0D]+"
 #: Runs merged per round: 2**FAN_BITS.
@@ -32,7 +32,8 @@ def digests(docs: DataFrame, leaf_bits: int) -> DataFrame:
             F.unhex(F.sha2("norm", 256)).alias("digest"),
             F.octet_length("norm").alias("n_bytes"),
             F.xxhash64("norm").alias("mark"),
-            F.pmod(F.hash("doc_id"), F.lit(1 << leaf_bits)).alias("run"),
+            # a row's leaf doesn't depend on its doc_id, so repeated rows are spread as well
+            F.pmod(F.hash(F.monotonically_increasing_id()), F.lit(1 << leaf_bits)).alias("run"),
         )
     )
 
@@ -41,45 +42,46 @@ def exact_dedup(docs: DataFrame, leaf_bits: int | None = None) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     Null text counts as empty. A null doc_id is larger than any other: it stays only where its whole group
-    has none. Of repeated rows (same doc_id, equal text) exactly one is kept. An empty table gives no rows.
+    has none. Of repeated rows (same doc_id, equal text) exactly one is kept. An empty table gives no rows. Texts of
+    any length count whole; further columns are not read.
     leaf_bits: the tree has 2**leaf_bits leaves; by default about two leaves per shuffle partition.
     """
     spark = docs.sparkSession
     if leaf_bits is None:
         leaf_bits = max(6, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length() + 1)
     rows = staged(digests(docs, leaf_bits), "digests")
-    levels = [rows.groupBy(*KEY, "run").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))]
+    least = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "run")
+    levels = [rows.groupBy(*KEY, "run").agg(F.min(least).alias("keep"), F.count(F.lit(1)).alias("group_size"))]
     bits, steps = leaf_bits, []
     while bits > 0:
         step = min(FAN_BITS, bits)
         bits -= step
         steps.append(step)
         merged = levels[-1].groupBy(*KEY, F.shiftright("run", step).alias("run"))
-        levels.append(merged.agg(F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")))
+        levels.append(merged.agg(F.min("keep").alias("keep"), F.sum("group_size").alias("group_size")))
     won = levels.pop()
     for step in reversed(steps):
         below = levels.pop().select(*KEY, "run", F.shiftright("run", step).alias("above"))
-        won = below.join(won.withColumnRenamed("run", "above"), [*KEY, "above"]).select(*KEY, "run", "keep_id", "group_size")
+        won = below.join(won.withColumnRenamed("run", "above"), [*KEY, "above"]).select(*KEY, "run", "keep", "group_size")
     same = Window.partitionBy(*KEY, "run", "doc_id").orderBy("doc_id")
     joined = rows.join(won, [*KEY, "run"]).withColumn("copy", F.row_number().over(same))
     return joined.select(
         "doc_id",
-        "keep_id",
+        F.col("keep.doc_id").alias("keep_id"),
         "group_size",
-        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
+        (F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("run") == F.col("keep.run")) & (F.col("copy") == 1)).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    kept = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha"))
-    sha = F.unhex(F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), WHITE, " "), 256))
-    keyed = docs.withColumns({"__sha": sha, "__id": F.col("doc_id").cast("long")})
-    right = kept.withColumnsRenamed({"__sha": "__rsha", "__id": "__rid"})
-    stay = keyed.join(right, (F.col("__sha") == F.col("__rsha")) & F.col("__id").eqNullSafe(F.col("__rid")), "left_semi")
-    once = Window.partitionBy("__sha", "__id").orderBy("__sha")
-    return stay.withColumn("__n", F.row_number().over(once)).filter("__n = 1").select(docs.columns)
+    """The documents that stay, with all their columns, whatever their names; nulls, repeats and empty tables as above."""
+    none, at, sha = key = fresh(docs, "none", "at", "sha")
+    kept = exact_dedup(docs).filter("kept").select(F.col("doc_id").isNull().alias(none), F.coalesce("doc_id", F.lit(0)).alias(at), F.unhex("text_sha256").alias(sha))
+    doc_id, norm = F.col("doc_id").cast("long"), F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), WHITE, " ")
+    keyed = docs.withColumns({none: doc_id.isNull(), at: F.coalesce(doc_id, F.lit(0)), sha: F.unhex(F.sha2(norm, 256))})
+    # repeated rows are one before anything is dealt
+    return keyed.dropDuplicates(key).join(kept, key, "left_semi").select(docs.columns)
 
 
 def op2_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -18,10 +18,10 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import documents, id_and_text, slices, staged, texts
+from inkmill.llm.common import documents, fresh, id_and_text, slices, staged, texts
 from inkmill.llm.components import components
 
 WORDS, SEED, RADIUS, PARTS, BUCKET = 3, 42, 2, 3, 32
@@ -175,17 +175,17 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all columns: of each component the row with the smallest doc_id.
 
     Null ids come after all others; among rows of one doc_id the hash of the text decides; of rows that agree in
-    both, one stays.
+    both, one stays. Further columns may have any name.
     """
     rows, rooted = _rooted(docs)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
     # the least row of a fingerprint, then of a component: copies meet as one row
     least = rows.groupBy("fp").agg(F.min(order).alias("e")).join(rooted, "fp").groupBy("root").agg(F.min("e").alias("e"))
-    stay = least.select(F.col("e.doc_id").alias("__rid"), F.col("e.mark").alias("__rmark"))
-    keyed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__mark": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
-    left = keyed.join(stay, F.col("__id").eqNullSafe(F.col("__rid")) & (F.col("__mark") == F.col("__rmark")), "left_semi")
-    once = Window.partitionBy("__id", "__mark").orderBy("__mark")
-    return left.withColumn("__n", F.row_number().over(once)).filter("__n = 1").select(docs.columns)
+    none, at, mark = key = fresh(docs, "none", "at", "mark")
+    stay = least.select(F.col("e.none").alias(none), F.coalesce("e.doc_id", F.lit(0)).alias(at), F.col("e.mark").alias(mark))
+    doc_id = F.col("doc_id").cast("long")
+    keyed = docs.withColumns({none: doc_id.isNull(), at: F.coalesce(doc_id, F.lit(0)), mark: F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    return keyed.dropDuplicates(key).join(stay, key, "left_semi").select(docs.columns)
 
 
 def op10_simhash(spark, sf_dir: str) -> DataFrame:

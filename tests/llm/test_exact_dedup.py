@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from inkmill.llm import near_copies, simhash
 from inkmill.llm.exact_dedup import drop_copies, exact_dedup
 
 
@@ -45,3 +46,19 @@ def test_empty_and_clashing(make, spark):
 def test_no_python_in_the_plan(make):
     plan = exact_dedup(make([(1, "a")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+@pytest.mark.parametrize("drop", [drop_copies, near_copies.drop_near_copies, simhash.drop_near_copies])
+def test_columns_of_any_name(make, drop):
+    docs = make([(1, "a b c"), (2, "a b c"), (2, "a b c"), (3, "x y z"), (None, None)]).selectExpr("*", "doc_id AS none", "text AS at", "7 AS sha", "8 AS mark", "'k' AS `__sha`", "doc_id AS NONE_")
+    kept = drop(docs)
+    assert kept.columns == docs.columns
+    found = kept.collect()
+    assert sorted((r.doc_id or 0) for r in found) == [0, 1, 3]
+    for r in found:
+        assert (r["none"], r["at"], r["sha"], r["mark"], r["__sha"], r["NONE_"]) == (r.doc_id, r.text, 7, 8, "k", r.doc_id)
+
+
+def test_repeated_rows_are_spread(make):
+    out = exact_dedup(make([(5, "same")] * 400), 5).collect()
+    assert len(out) == 400 and sum(r.kept for r in out) == 1 and {(r.keep_id, r.group_size) for r in out} == {(5, 400)}
