@@ -1,6 +1,7 @@
 """Operators that learn or rank: quality, language, packing; and pages and the pipeline."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -204,11 +205,88 @@ def test_extraction(spark):
     assert got[1][0].text == "T & x\nOne two\nThree é"
     assert got[2][0].text == "" and got[8][0].text == "" and [r.text for r in got[5]] == ["a\nb"] * 2
     assert got[6][0].text == got[7][0].text == "one two three four\nz"  # copies are no template
-    near = [D.Page((i, ""), "p", f"/{i}", D.lines(PLAIN.format(n=i))) for i in (1, 2)]
-    assert D.main_text(near[0], [near[1]]) == "Own text number 1 of this very page, long enough"
+    assert got[3][0].text == "Own text number 1 of this very page, long enough"
     assert D.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_names_in_doubt(spark):
+    """A name that only in part is that of an advert or the like is decided by differencing, inside articles too."""
+    page = "<article><h1>T{n}</h1><p class=share-price>Price {n}</p><p class=share-price>Price today</p><p id=related-work>Other works</p><div class=social-share>Tell all</div><p>Body number {n} is the longest line here</p></article>"
+    rows = [(n, f"http://a.x/news/{n}", page.format(n=n)) for n in range(4)]
+    got = {r.page_id: r.text for r in D.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {n: f"T{n}\nPrice {n}\nBody number {n} is the longest line here" for n in range(4)}
+    one = D.extract(spark.createDataFrame(rows[:1], "page_id long, url string, html string")).first().text
+    assert one == "T0\nPrice 0\nPrice today\nOther works\nBody number 0 is the longest line here"
+
+
+def site(seed):
+    """Pages of a few hosts in which templates, copies and near copies stand side by side; most without an article."""
+    r = random.Random(seed)
+    said = lambda k: " ".join(f"w{r.randrange(300)}" for _ in range(k))
+    rows = []
+    for h in range(3):
+        top, foot = [said(3), said(2), said(20)], [said(4)]
+        n = 0
+        for _ in range(r.randrange(8, 25)):
+            body = [said(r.randrange(3, 15)) for _ in range(r.randrange(1, 9))]
+            for copy in range(r.choice([1, 1, 1, 2, 5, 14])):
+                if copy and r.random() < 0.5:
+                    body[0] = said(4)
+                html = "".join(f"<p>{x}</p>" for x in (top + body + foot))
+                rows.append((len(rows), f"http://h{h}.x/p/{n}", html if r.random() < 0.9 else f"<article>{html}</article>"))
+                n += 1
+    r.shuffle(rows)
+    return rows + rows[:2] + [(900, None, "<p>x</p>"), (901, "http://h0.x/q", None), (902, "http://h0.x/p", "")]
+
+
+def slow_pairs(rows):
+    """Shared lines of each page, by looking through the whole sorted list for its pair."""
+    pages = []
+    for i, u, h in rows:
+        m = re.match(r"[a-z][a-z0-9+.-]*://([^/?#:]*)[^/?#]*([^?#]*)", (u or "").lower())
+        path = re.sub(r"[0-9]+", lambda d: d[0].zfill(9), m[2]) if m else ""
+        pages.append((m[1] if m else "", path, u or "", i, [x.text for x in D.lines(h or "")]))
+    pages.sort(key=lambda p: p[:4])
+    longest = lambda p: max(p[4], key=len, default="")
+    out = {}
+    for k, p in enumerate(pages):
+        near = []
+        for side, some in enumerate((pages[:k][::-1], pages[k + 1 :])):
+            some = [q for q in some if q[0] == p[0] and p[0]]
+            if not side:  # behind, a run of equal pages is one
+                some = [q for j, q in enumerate(some) if not j or some[j - 1][4] != q[4]]
+            picked, seen = [], [p[4]]
+            for q in some[: D.LOOK]:
+                if q[4] not in seen and len(picked) < D.REACH:
+                    picked.append(q)
+                    seen.append(q[4])
+            other = next((q for q in some if longest(q) != longest(p)), None)
+            if other and other[4] not in seen:
+                picked.append(other)
+            near += [(-D._affinity(q[1], p[1]), d, side, q) for d, q in enumerate(picked)]
+        best, whole = None, sum(map(len, p[4]))
+        for *_, q in sorted(near, key=lambda x: x[:3]):
+            found = [i for i, _ in D.common(p[4], q[4])]
+            size = sum(len(p[4][i]) for i in found)
+            if best is None or size < best[0]:
+                best = (size, found)
+            if 2 * size <= whole:
+                best = (size, found)
+                break
+        out[p[3]] = set(best[1]) if best and best[0] < whole else set()
+    return out
+
+
+@pytest.mark.parametrize("seed, part_rows", [(1, 10**6), (1, 60), (2, 30), (3, 45)])
+def test_pages_against_the_whole_list(spark, seed, part_rows):
+    rows = site(seed)
+    pairs = slow_pairs(rows)
+    wanted = {i: D.main_text(D.lines(h or ""), s) for (i, _, h), s in ((row, pairs[row[0]]) for row in rows)}
+    got = D.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3), part_rows).collect()
+    assert len(got) == len(rows) and {r.page_id: r.text for r in got} == wanted
+    assert sum(len(t.split("\n")) < len(D.lines(h or "")) for (i, _, h), t in ((row, wanted[row[0]]) for row in rows)) > len(rows) // 2
+
+
 def test_broken_markup():
     for html in ("<" * 20_000, "<a b='" * 3000, "<p" * 5000, "<!--" * 5000, "<script>" * 3000, "<div>" * 3000 + "x", "</p>" * 3000):
         D.lines(html)
