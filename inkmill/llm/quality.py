@@ -16,11 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import documents, held_out, slices, texts
+from inkmill.llm.common import documents, held_out, slices, staged, texts
 
 BITS = 18
 #: Labelled rows that the fit uses at most: those with the smallest hash of doc_id among the rows it may learn from.
 FIT_ROWS = 6000
+#: Features that the fit uses at most, summed over those rows; what comes after them in order of the hash is left out.
+FIT_FEATURES = 1 << 24
 EPOCHS, ALPHA, BETA, L1, L2 = 4, 0.3, 1.0, 0.02, 0.01
 SCALE = 20.0
 THRESHOLD = 0.7
@@ -115,15 +117,16 @@ def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> tuple[np.ndarray
     return weights(np.arange(size)).astype(np.float32), bias
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[np.ndarray, float]:
-    """The model from at most ``rows`` labelled documents, none of them held out.
+def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, most: int = FIT_FEATURES) -> tuple[np.ndarray, float]:
+    """The model from at most ``rows`` labelled documents with at most ``most`` features, none of them held out.
 
-    A doc_id with several labels counts by their mean; null ids and null labels teach nothing. Without any
-    label the model is the constant one half."""
+    A doc_id with several labels counts by their mean; null ids and null labels teach nothing. Of rows with one doc_id
+    one counts, that with the least hash of its text. Without any label the model is the constant one half."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
-    known = known.groupBy(F.col("doc_id").cast("long").alias("__id")).agg((F.avg("quality") >= 0.5).cast("int").alias("y"))
-    chosen = known.select("__id", "y", F.xxhash64("__id").alias("order")).orderBy("order", "__id").limit(rows)
-    some = docs.select(F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "__id")
+    known = known.groupBy(F.col("doc_id").cast("long").alias("id")).agg((F.avg("quality") >= 0.5).cast("int").alias("y"))
+    chosen = known.select("id", "y", F.xxhash64("id").alias("order")).orderBy("order", "id").limit(rows)
+    some = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "id")
+    some = some.groupBy("id", "y", "order").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def mapped(batches):
         words = Words()
@@ -131,12 +134,16 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[np.nd
             for batch in slices(whole):
                 got = [features(t, words) for t in texts(batch)]
                 at, x = ([g[k].tobytes() for g in got] for k in (0, 1))
-                yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("y"), pa.array(at), pa.array(x)], ["id", "y", "at", "x"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "y", "order")), pa.array([len(g[0]) for g in got], pa.int64()), pa.array(at), pa.array(x)], ["id", "y", "order", "n", "at", "x"])
 
-    got = some.select("__id", "y", "text").mapInArrow(mapped, "id long, y int, at binary, x binary").collect()
-    got.sort(key=lambda r: (r.id, bytes(r.at)))
-    if not got:
+    found = staged(some.select("id", "y", "order", "text").mapInArrow(mapped, "id long, y int, order long, n long, at binary, x binary"), "features")
+    sizes = sorted((r.order, r.id, r.n) for r in found.select("order", "id", "n").collect())  # at most ``rows``
+    taken = int(np.searchsorted(np.cumsum([n for *_, n in sizes]), most, "right"))
+    if not taken:
         return np.zeros(1 << BITS, np.float32), 0.0
+    last = F.struct(F.lit(sizes[taken - 1][0]).alias("order"), F.lit(sizes[taken - 1][1]).alias("id"))
+    got = found.filter(F.struct("order", "id") <= last).select("id", "y", "at", "x").collect()
+    got.sort(key=lambda r: r.id)
     return fit_ftrl([(np.frombuffer(r.at, np.int32), np.frombuffer(r.x, np.float32), r.y) for r in got])
 
 
@@ -150,7 +157,11 @@ def scored(text: str, words: Words, weights: np.ndarray, bias: float) -> float:
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted. Null text counts as empty and gets the bias alone."""
+    """One row per document: doc_id, held_out, score, predicted.
+
+    Null text counts as empty; it and texts without words get the bias alone. Texts of any length are read whole, in
+    blocks; repeated rows and null ids come out as they go in, equal texts with equal scores; an empty table gives no
+    rows. Further columns, whatever their names, are not read."""
     w, bias = model
     shared = docs.sparkSession.sparkContext.broadcast(w)  # 2**BITS floats, whatever the input
 
@@ -167,7 +178,10 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = T
 
 
 def keep_good(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = THRESHOLD) -> DataFrame:
-    """The documents, all columns, whose score reaches the threshold. Only texts go to Python and only scores back."""
+    """The documents, all columns, whose score reaches the threshold. Only texts go to Python and only scores back.
+
+    Null and wordless texts count by the bias; repeated rows stay or go together; an empty table gives no rows. Columns
+    of any name pass unchanged."""
     w, bias = model
     shared = docs.sparkSession.sparkContext.broadcast(w)
 
