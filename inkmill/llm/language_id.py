@@ -20,6 +20,8 @@ from inkmill.llm.word_table import WordTable
 
 #: Documents of each language that the fit uses, in expectation, at most: those with the smallest hash of doc_id.
 FIT_DOCS = 1500
+#: Languages that the fit learns at most: those of most documents, ties by name. A dirty column has more values.
+FIT_LANGUAGES = 128
 BITS, ORDERS = 16, (1, 2, 3, 4)
 #: Weight of an n-gram's log-probability (n-grams overlap) and the cost of a switch between languages.
 WEIGHT, SWITCH = 0.35, 6.0
@@ -90,11 +92,11 @@ class Model:
         for i in range(len(self.langs)):
             out[:, i] = np.bincount(owner, self.log[bucket, i], minlength=len(words))
         out[n == 0] = 0
-        out -= out.max(1, keepdims=True, initial=-np.inf) if len(self.langs) else 0
-        # the languages learned with the word's main script; where there are none, all stay candidates
+        # only the languages learned with the word's main script are candidates; where there are none, all are
         allowed = self.has.T[by.argmax(1)]
         allowed[(n == 0) | ~allowed.any(1)] = True
-        return np.where(allowed, out, out - 50), n
+        out = np.where(allowed, out, -np.inf).astype(np.float32)
+        return (out - out.max(1, keepdims=True) if len(self.langs) else out), n
 
 
 class Labeller:
@@ -166,18 +168,20 @@ def viterbi(scores: list[np.ndarray], switch: float = SWITCH) -> list[np.ndarray
     return found
 
 
-def fit(docs: DataFrame, per_language: int = FIT_DOCS) -> Model:
-    """Counts over a sample of about ``per_language`` documents of each language, none of them held out.
+def fit(docs: DataFrame, per_language: int = FIT_DOCS, languages: int = FIT_LANGUAGES) -> Model:
+    """Counts over a sample of about ``per_language`` documents of each of at most ``languages`` languages, none of them
+    held out.
 
     Null lang or text teaches nothing; without any row the model knows no language. Counting is done where the
     texts are; the driver gets one row for each language and bucket, at most 2**BITS for each language."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()}
     langs = sorted(sizes)
     if not langs:
         return Model([], np.zeros((0, 1 << BITS)), np.zeros((0, len(SCRIPTS))))
-    cut = F.element_at(F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(int(1_000_000 * min(1.0, per_language / sizes[k]))))]), F.col("lang"))
+    cut = F.try_element_at(F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(int(1_000_000 * min(1.0, per_language / sizes[k]))))]), F.col("lang"))
+    # a language that isn't learned has no cut, and its rows go
     some = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < cut)
     width = (1 << BITS) + len(SCRIPTS)
 
@@ -207,8 +211,10 @@ def identify(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score, and with spans the runs of words of one language.
 
     A null text or one without letters is und with score 0, as is every text where no language was learned.
-    Ties between languages go to the one first by name. spans: array of (first word, last word, lang)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # languages * 2**BITS floats, whatever the input
+    Ties between languages go to the one first by name. Texts of any length are read whole; repeated rows and null ids
+    come out as they go in, equal texts with equal labels; an empty table gives no rows. Further columns, whatever their
+    names, are not read. spans: array of (first word, last word, lang)."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most FIT_LANGUAGES * 2**BITS floats
 
     def mapped(batches):
         reader = Labeller(shared.value)
