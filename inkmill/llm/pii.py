@@ -4,10 +4,9 @@ Base spans are leftmost, non-overlapping matches per kind, found in linear time.
 tokens from word-shape features of the token and its two neighbours; it is trained on a small labelled table that
 ``labelled_table`` builds by rule, and decoded by Viterbi in numpy batches.
 
-A token without digit, @, = or + is plain. After training, the weight of O for plain tokens is raised, if need be,
-until it outweighs every other label by more than any transition can give back (personal data of these kinds
-always holds such a character). Plain tokens are then O on the best path, so the chain falls apart at them, and
-Viterbi need only run over the stretches between, all of a batch at once: the result is that of decoding every token.
+Every token gets its scores from the trained weights. Where O outweighs every other label by more than any two
+transitions can give back, O is on the best path whatever stands beside it, so the chain falls apart there; Viterbi runs
+over the stretches between, all of a batch at once, and its result is that of decoding every token.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ import random
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.llm.common import documents, id_and_text, slices, texts
+from inkmill.llm.word_table import WordTable
 
 KINDS = ["email", "ip", "card", "phone", "secret"]
 LABELS = ["O", "B-email", "B-ip", "B-card", "I-card", "B-phone", "I-phone", "B-secret"]
-#: Characters that make a token worth a look, and those that separate tokens.
-MARKS, WHITE = "0123456789@=+", " \t\n\x0b\x0c\r"
+#: Characters that personal data often has, a feature; tokens are what stands between white space.
+MARKS = "0123456789@=+"
+_TOKEN = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]")
@@ -135,6 +137,12 @@ def labelled_table(rows: int = 600, seed: int = 7) -> list[list[tuple[str, str]]
     return out
 
 
+#: Words that stand before secrets.
+SAID = {"token", "key", "secret", "password", "="}
+#: Tokens whose scores are held at once.
+BLOCK = 1 << 18
+
+
 def _bucket(n: int) -> str:
     return next(str(b) for b in (0, 1, 2, 3, 4, 9, 14, 15, 16, 19, 23, 10**9) if n <= b)
 
@@ -145,7 +153,7 @@ def shape(token: str) -> tuple[str, ...]:
     runs = re.sub(r"[0-9]+", lambda m: "d" + _bucket(len(m.group())), re.sub(r"[^\W\d_]+", lambda m: "X" if m.group().isupper() else "x", core))
     alnum, n = sum(c.isalnum() for c in core), sum(c in "0123456789" for c in core)
     lower = core.lower()
-    said = lower if lower in ("token", "key", "secret", "password", "=") else ""
+    said = lower if lower in SAID else ""
     return (
         "r=" + (runs if len(runs) <= 24 else "long"),
         f"d={_bucket(n)}",
@@ -182,7 +190,8 @@ class Field:
                 x += rate * g / np.sqrt(s)
             w[0] = 0
         self.w, self.t = w, t
-        self._set_apart()
+        # what a label can win over O by the transitions to its two neighbours
+        self.gain = (t - t[:, :1]).max(0) + (t - t[:1]).max(1)
 
     def _features(self, tokens: list[str], i: int, grow: bool = False) -> list[int]:
         out = []
@@ -227,19 +236,6 @@ class Field:
         s = shape(token)
         return np.array([self.w[[self.index.get((role, f), 0) for f in s]].sum(0) for role in range(3)])
 
-    def _set_apart(self) -> None:
-        """Raise O for plain tokens until it beats each label y, whatever the neighbours and transitions."""
-        low = np.zeros(len(LABELS))  # the least margin of O over each label before that
-        for role in range(3):
-            groups: dict[str, list[np.ndarray]] = {}
-            for (r, f), i in self.index.items():
-                if r == role and not (role == 0 and f == "any=True"):
-                    groups.setdefault(f.split("=")[0], [np.zeros(len(LABELS))]).append(self.w[i])
-            low += np.sum([np.min([w[0] - w for w in ws], axis=0) for ws in groups.values()], axis=0)
-        gain = (self.t - self.t[:, :1]).max(0) + (self.t - self.t[:1]).max(1)
-        self.w[self.index[(0, "any=False")], 0] += max(0.0, float((gain - low)[1:].max()) + 1e-6)
-        self.apart = True
-
     def viterbi(self, e: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Best labels for stretches laid out one after another in e; each starts after O and ends before O."""
         order = np.argsort(-lengths, kind="stable")
@@ -274,88 +270,104 @@ def field() -> Field:
     return Field(labelled_table())
 
 
-_CLASS = np.zeros(129, np.int8)
-_CLASS[[ord(c) for c in MARKS]] = 1
-_CLASS[[ord(c) for c in WHITE]] = 2
+_ASIDE = ".,;:!?\"'"
 
 
 class Tagger:
     """Spans of the field for batches of texts."""
 
-    def __init__(self, model: Field, table: int = 200_000):
-        self.model, self.table, self.at = model, table, {}
-        self.known = np.zeros((table, 3, len(LABELS)))
+    def __init__(self, model: Field):
+        self.model = model
         self.edge = np.array([model.w[model.index.get((role, "edge"), 0)] for role in range(3)])
+        self.alike: dict[tuple, np.ndarray] = {}
+        self.forget()
+        self.words = WordTable(self.learn, self.forget)
+
+    def forget(self) -> None:
+        self.known, self.n = np.zeros((1 << 14, 3, len(LABELS))), 0
+
+    def scores(self, token: str) -> np.ndarray:
+        """Tokens of letters only, but for marks around them, are alike if they agree in case, length and a few words."""
+        core = token.strip(_ASIDE)
+        if not core.isalpha():
+            return self.model.scores(token)
+        lower = core.lower()
+        key = core.isupper(), min(len(core), 24), lower if lower in SAID else ""
+        if key not in self.alike:
+            self.alike[key] = self.model.scores(token)
+        return self.alike[key]
+
+    def learn(self, words: list[str]) -> None:
+        end = self.n + len(words)
+        if end > len(self.known):
+            self.known = np.concatenate([self.known, np.zeros((len(self.known) + len(words), *self.known.shape[1:]))])
+        for i, w in enumerate(words, self.n):
+            self.known[i] = self.scores(w)
+        self.n = end
+
+    def labels(self, some: list[list[str]]) -> np.ndarray:
+        """The label of each token of each text, one after another."""
+        sizes = np.array([len(t) for t in some], np.int64)
+        first = (np.cumsum(sizes) - sizes)[sizes > 0]
+        total = int(sizes.sum())
+        out = np.zeros(total, np.int64)
+        if not total:
+            return out
+        k = self.words.numbers(list(chain.from_iterable(some)))
+        last = np.append(first[1:], total) - 1
+        starts, ends = np.zeros(total, bool), np.zeros(total, bool)
+        starts[first], ends[last] = True, True
+        open_ = np.zeros(total, bool)
+        # a block at a time, for the scores of all tokens would be many times the text
+        for at in range(0, total, BLOCK):
+            open_[at : at + BLOCK] = ~self._closed(self._weighed(k, starts, ends, np.arange(at, min(total, at + BLOCK))))
+        if not open_.any():
+            return out
+        heads = open_ & (starts | ~np.append(False, open_[:-1]))
+        at = np.flatnonzero(open_)
+        lengths = np.diff(np.append(np.flatnonzero(heads[at]), len(at)))
+        # stretches of one text after another, as many at once as fit a block; a longer one goes alone
+        cuts = np.searchsorted(np.cumsum(lengths), np.arange(BLOCK, len(at) + BLOCK, BLOCK), "right")
+        low = row = 0
+        for high in np.unique(np.append(cuts, len(lengths))):
+            if n := int(lengths[low:high].sum()):
+                here = at[row : row + n]
+                out[here] = self.model.viterbi(self._weighed(k, starts, ends, here), lengths[low:high])
+                low, row = high, row + n
+        return out
+
+    def _weighed(self, k: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Scores of the tokens at ``at``: as themselves and as their neighbours have it."""
+        before, after = k[np.maximum(at - 1, 0)], k[np.minimum(at + 1, len(k) - 1)]
+        e = self.known[k[at], 0]
+        e += np.where(starts[at, None], self.edge[1], self.known[before, 1])
+        e += np.where(ends[at, None], self.edge[2], self.known[after, 2])
+        return e
 
-    def _index(self, tokens: list[str]) -> np.ndarray:
-        new = [t for t in dict.fromkeys(tokens) if t not in self.at]
-        if len(self.at) + len(new) > self.table:
-            self.at, new = {}, list(dict.fromkeys(tokens))
-            if len(new) > self.table:
-                self.table, self.known = len(new), np.zeros((len(new), 3, len(LABELS)))
-        for t in new:
-            self.known[len(self.at)] = self.model.scores(t)
-            self.at[t] = len(self.at)
-        return np.array([self.at[t] for t in tokens], np.int64)
-
-    def stretches(self, text: str):
-        """(token bounds, (first, last) of each stretch); stretches hold every token that is not plain."""
-        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        kind = _CLASS[np.minimum(code, 128)]
-        marks = np.flatnonzero(kind == 1)
-        if self.model.apart and not len(marks):
-            return None, None
-        white = np.concatenate([[True], kind == 2, [True]])
-        edge = np.flatnonzero(white[1:] != white[:-1])
-        bounds = edge.reshape(-1, 2)
-        n = len(bounds)
-        if not n:
-            return None, None
-        if not self.model.apart:
-            return bounds, np.array([[0, n]])
-        hot = np.unique(np.searchsorted(bounds[:, 0], marks, "right") - 1)
-        near = np.zeros(n + 3, bool)
-        near[hot + 1] = True
-        flags = np.concatenate([[False], near[1 : n + 1], [False]])
-        return bounds, np.flatnonzero(flags[1:] != flags[:-1]).reshape(-1, 2)
+    def _closed(self, e: np.ndarray) -> np.ndarray:
+        """Where O is on every best path."""
+        return (e[:, :1] - e[:, 1:] > self.model.gain[1:]).all(1)
 
     def spans(self, some: list[str]) -> list[list[tuple[int, int, int]]]:
         """(kind, start, end) that the field finds in each text and that keep to their kind's form."""
-        where, tokens, sizes = [], [], []
-        for k, text in enumerate(some):
-            bounds, runs = self.stretches(text)
-            for a, b in runs if runs is not None else ():
-                near = range(max(0, a - 1), min(len(bounds), b + 1))  # with the neighbours that features look at
-                where.append((k, a, b, bounds, near.start, a == 0, b == len(bounds), len(tokens)))
-                tokens += [text[bounds[i, 0] : bounds[i, 1]] for i in near]
-                sizes.append(b - a)
+        tokens = [_TOKEN.findall(t) for t in some]
+        labels = self.labels(tokens)
         found: list[list[tuple[int, int, int]]] = [[] for _ in some]
-        if not where:
-            return found
-        known = self.known[ids] if len(ids := self._index(tokens)) else None
-        e = np.zeros((sum(sizes), len(LABELS)))
-        at = 0
-        for (k, a, b, bounds, first, starts, stops, offset), n in zip(where, sizes):
-            own = offset + a - first
-            e[at : at + n] = known[own : own + n, 0]
-            e[at : at + n] += np.concatenate([self.edge[1:2], known[own : own + n - 1, 1]]) if starts else known[own - 1 : own + n - 1, 1]
-            e[at : at + n] += np.concatenate([known[own + 1 : own + n, 2], self.edge[2:3]]) if stops else known[own + 1 : own + n + 1, 2]
-            at += n
-        labels = self.model.viterbi(e, np.array(sizes))
-        at = 0
-        for (k, a, b, bounds, *_), n in zip(where, sizes):
-            mine, i = labels[at : at + n], 0
-            at += n
-            while i < n:
+        ends = np.cumsum([len(t) for t in tokens])
+        hit = np.flatnonzero(labels)
+        for k in np.unique(np.searchsorted(ends, hit, "right")).tolist():
+            mine = labels[ends[k] - len(tokens[k]) : ends[k]]
+            bounds = [m.span() for m in _TOKEN.finditer(some[k])]
+            for i in np.flatnonzero(mine).tolist():
                 name = LABELS[mine[i]]
+                if name[0] != "B":
+                    continue
                 j = i + 1
-                if name[0] == "B":
-                    while j < n and LABELS[mine[j]] == "I" + name[1:]:
-                        j += 1
-                    kind = KINDS.index(name[2:])
-                    if span := _trimmed(some[k], int(bounds[a + i, 0]), int(bounds[a + j - 1, 1]), kind):
-                        found[k].append((kind, *span))
-                i = j
+                while j < len(mine) and LABELS[mine[j]] == "I" + name[1:]:
+                    j += 1
+                kind = KINDS.index(name[2:])
+                if span := _trimmed(some[k], bounds[i][0], bounds[j - 1][1], kind):
+                    found[k].append((kind, *span))
         return found
 
 
