@@ -5,8 +5,8 @@ from __future__ import annotations
 from inkmill.functions.text import SPACE
 
 # Headings.
-CHAPTER_WORDS = "chương chuong phần phan mục muc bài bai thi chuyện chuyen chapter part book cuốn cuon".split()
-CHAPTER = rf"(?iu)^[{SPACE}]*(?:{'|'.join(CHAPTER_WORDS)})[{SPACE}]*(?:[0-9]+|[ivxlcdm]+|[a-z])(?![\p{{L}}\p{{N}}_])[^\n]*$"
+CHAPTER_WORDS = "chương|chuong|phần|phan|mục|muc|bài|bai|thi|chuyện|chuyen|chapter|part|book|cuốn|cuon"
+CHAPTER = rf"(?iu)^[{SPACE}]*(?:{CHAPTER_WORDS})[{SPACE}]*(?:[0-9]+|[ivxlcdm]+|[a-z])(?![\p{{L}}\p{{N}}_])[^\n]*$"
 BARE_NUMBER = rf"(?iu)^[{SPACE}]*(?:[0-9]{{1,3}}|[ivxlcdm]{{1,7}})[.):]?[{SPACE}]*$"
 WIKI_HEADING = rf"^[{SPACE}]*(={{2,6}})[{SPACE}]*(.*?[^{SPACE}])[{SPACE}]*\1[{SPACE}]*$"
 MARKDOWN_HEADING = rf"^(#{{1,6}})[{SPACE}]+(.*[^{SPACE}])[{SPACE}]*#*[{SPACE}]*$"
@@ -43,12 +43,23 @@ LONE_ARROW = rf"^[{SPACE}]*[←→↑↓⇐⇒‹›«»]+[{SPACE}]*$"
 PRINTED_NUMBER = rf"^[{SPACE}]*[\d$.,ivxlIVXL]{{1,8}}[{SPACE}]*$"
 HAN_ONLY = rf"^[{SPACE}\u3000-\u9fff\u8c48-\ufaff\uff00-\uffef]+$"
 RULE = rf"^[{SPACE}*_\-=~·—–─═\ufffd]{{3,}}$"
+#: No letter, digit or underscore follows.
+_END = r"(?![\p{L}\p{N}_])"
 TITLE_PAGE = (
-    rf"(?iu)^[{SPACE}]*(?:(?:\d+[{SPACE}]*'[{SPACE}]*|\d+[{SPACE}]*(?:e|ème|eme)[{SPACE}]*)?édition(?![\p{{L}}\p{{N}}_])|"
-    rf"(?:première|premiere)[{SPACE}]+(?:fois|édition|edition)|transcrit[\p{{L}}\p{{N}}_]*|"
-    rf"(?:avec[{SPACE}]+des[{SPACE}]+notes|des[{SPACE}]+notes[{SPACE}]+explicatives|(?:illustrations?|figures?|gravures?)[{SPACE}]+(?:de|du|par)|"
-    r"prix|exemplaires?|tirage|catalogue|revu|corrigé|corrige|augmenté|augmente|imprimerie|librairie|presses|éditeur|editeur|poème|poeme)(?![\p{L}\p{N}_])|"
-    rf"tous[{SPACE}]+droits[{SPACE}]+réservés|(?:zh|ja|ko|en|fr|ru):[^{SPACE}]+)"
+    rf"(?iu)^[{SPACE}]*(?:"
+    rf"(?:\d+[{SPACE}]*'[{SPACE}]*|\d+[{SPACE}]*(?:e|ème|eme)[{SPACE}]*)?édition{_END}"
+    rf"|(?:première|premiere)[{SPACE}]+(?:fois|édition|edition)"
+    r"|transcrit[\p{L}\p{N}_]*"
+    rf"|avec[{SPACE}]+des[{SPACE}]+notes{_END}"
+    rf"|des[{SPACE}]+notes[{SPACE}]+explicatives{_END}"
+    rf"|(?:illustrations?|figures?|gravures?)[{SPACE}]+(?:de|du|par){_END}"
+    rf"|prix{_END}|exemplaires?{_END}|tirage{_END}|catalogue{_END}"
+    rf"|revu{_END}|corrigé{_END}|corrige{_END}|augmenté{_END}|augmente{_END}"
+    rf"|imprimerie{_END}|librairie{_END}|presses{_END}|éditeur{_END}|editeur{_END}"
+    rf"|poème{_END}|poeme{_END}"
+    rf"|tous[{SPACE}]+droits[{SPACE}]+réservés"
+    rf"|(?:zh|ja|ko|en|fr|ru):[^{SPACE}]+"
+    r")"
 )
 FURNITURE = [PARSER_REPORT, LONE_ARROW, PRINTED_NUMBER, HAN_ONLY, RULE, TITLE_PAGE]
 RUNNING_HEAD_CHARS, RUNNING_HEAD_WORDS, RUNNING_HEAD_REPEATS = 80, 8, 5

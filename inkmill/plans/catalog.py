@@ -197,26 +197,44 @@ def small_sql(n: str) -> str:
 
 
 _LOW, _HIGH = small_sql("(n % 1000)"), small_sql("(n // 1000 % 1000)")
-READ = f"CASE WHEN n < 1000 THEN {_LOW} ELSE {_HIGH} || ' nghìn' || (CASE WHEN n % 1000 = 0 THEN '' WHEN n % 1000 < 100 THEN ' không lẻ ' || {_LOW} ELSE ' ' || {_LOW} END) END"
+_THOUSAND = f"{_HIGH} || ' nghìn' || (CASE WHEN n % 1000 = 0 THEN '' WHEN n % 1000 < 100 THEN ' không lẻ ' || {_LOW} ELSE ' ' || {_LOW} END)"
+_MILLION = small_sql("(n // 1000000 % 1000)")
+READ = (
+    f"CASE WHEN n < 1000 THEN {_LOW} WHEN n < 1000000 THEN {_THOUSAND} "
+    f"WHEN n < 1000000000 THEN {_MILLION} || ' triệu' || (CASE WHEN n % 1000000 = 0 THEN '' WHEN n % 1000000 < 1000 THEN ' ' || {_LOW} ELSE ' ' || {_THOUSAND} END) "
+    f"ELSE {small_sql('(n // 1000000000)')} || ' tỷ ' || {_MILLION} || ' triệu ' || {_HIGH} || ' nghìn ' || {_LOW} END"
+)
+COUNTS = [0, 5, 15, 21, 105, 999, 1000, 2024, 999999, 1000000, 1000005, 2000099, 7001000, 999999999, 1000000000, 999999999999]
+#: Order keys as they are, and spread over the millions and the billions.
+SPREAD = (1, 4999, 999983)
 
 
-@query(f"SELECT n, {READ} AS words FROM (SELECT DISTINCT n FROM (SELECT p_size::BIGINT AS n FROM part UNION ALL SELECT l_orderkey % 1000000 FROM lineitem UNION ALL SELECT unnest([0, 5, 15, 21, 105, 999, 1000, 2024, 999999])))")
+@query(f"SELECT n, {READ} AS words FROM (SELECT DISTINCT n FROM (SELECT p_size::BIGINT AS n FROM part UNION ALL SELECT l_orderkey * unnest({list(SPREAD)}) FROM lineitem UNION ALL SELECT unnest({COUNTS})))")
 def int_to_words(spark, sf_dir):
-    n = table(spark, sf_dir, "part").select(F.col("p_size").cast("long").alias("n")).unionAll(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey") % 1000000))
-    n = n.unionAll(spark.createDataFrame([(k,) for k in (0, 5, 15, 21, 105, 999, 1000, 2024, 999999)], "n long")).distinct()
+    keys = table(spark, sf_dir, "lineitem").select(F.explode(F.array(*[F.col("l_orderkey") * k for k in SPREAD])).alias("n"))
+    n = table(spark, sf_dir, "part").select(F.col("p_size").cast("long").alias("n")).unionAll(keys)
+    n = n.unionAll(spark.createDataFrame([(k,) for k in COUNTS], "n long")).distinct()
     return n.select("n", N.int_to_viet(F.col("n")).alias("words"))
 
 
 ROMANS = ["I", "IV", "XX", "mcmxciv", "IIX", "ABC", "", "XLII", "MMXXIV"]
-_VALUE = "[1, 5, 10, 50, 100, 500, 1000][strpos('IVXLCDM', {})]"
+_VALUE = lambda x, k: f"[1, 5, 10, 50, 100, 500, 1000][strpos('IVXLCDM', upper({x})[{k}])]"
+
+
+def roman_sql(x: str) -> str:
+    """The value of a string of roman numerals: a letter counts negative before any larger one."""
+    later = f"list_max(list_transform(range(k + 1, length({x}) + 1), lambda j: {_VALUE(x, 'j')}))"
+    return f"list_sum(list_transform(range(1, length({x}) + 1), lambda k: CASE WHEN {_VALUE(x, 'k')} < coalesce({later}, 0) THEN -{_VALUE(x, 'k')} ELSE {_VALUE(x, 'k')} END))::INT"
 
 
 @query(
-    "SELECT text AS roman, (CASE WHEN regexp_matches(upper(text), '^[IVXLCDM]+$') THEN (SELECT sum(CASE WHEN v < coalesce(m, 0) THEN -v ELSE v END) FROM (SELECT v, max(v) OVER (ORDER BY i DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m "
-    f"FROM (SELECT i, {_VALUE.format('substr(upper(text), i::INT, 1)')} AS v FROM range(1, length(text) + 1) r(i)))) ELSE 0 END)::INT AS n FROM {values(ROMANS)}"
+    f"SELECT roman, CASE WHEN regexp_matches(upper(roman), '^[IVXLCDM]+$') THEN {roman_sql('roman')} ELSE 0 END AS n "
+    f"FROM (SELECT DISTINCT roman FROM (SELECT unnest(string_split_regex(text, '[^{L}]+')) AS roman FROM documents UNION ALL SELECT text FROM {values(ROMANS)}))"
 )
 def roman_numerals(spark, sf_dir):
-    return given(spark, ROMANS).select(F.col("text").alias("roman"), N.roman_to_int(F.col("text")).cast("int").alias("n"))
+    """Values of all words of the documents; most are no numerals and have none."""
+    words = table(spark, sf_dir, "documents").select(F.explode(F.split("text", rf"[^\p{{L}}]+")).alias("roman"))
+    return words.unionAll(given(spark, ROMANS).select("text")).distinct().select("roman", N.roman_to_int(F.col("roman")).cast("int").alias("n"))
 
 
 # --- lines -----------------------------------------------------------------------------------------------------------
@@ -224,6 +242,7 @@ def roman_numerals(spark, sf_dir):
 FURNITURE_LINES = [
     "NewPP limit report\nCâu văn.\n←\n12\n2$00\n金 雲 翹 傳\n———\n* * *\nprix 2$\nédition 3\nPremière phrase.\nzh:x\ntotalement\ntotal 3\n  \nvi\nCPU time usage: 1",
     "12\n- 13 -\nTrang 14\npage 3\n1234 5\nHead A\nx.\nHead A\ny.\nHead A\nz.\nHead A\nw.\nHead A\nv.",
+    "12\n- 13 -\nTrang 14", "H\nH\nH\n7\nH\nH",
 ]
 _FURNITURE = " OR ".join(f"regexp_matches(s, '{re2(p)}')" for p in P.FURNITURE)
 
@@ -237,14 +256,14 @@ _HEAD = f"CASE WHEN {STRIP('s')} <> '' AND length({STRIP('s')}) <= 80 AND {WORDS
 
 
 @query(
-    f"WITH l AS (SELECT doc_id, unnest({LINES('text')}) AS s, generate_subscripts({LINES('text')}, 1) AS i FROM {texts_sql(FURNITURE_LINES)}), "
+    f"WITH t AS (SELECT * FROM {texts_sql(FURNITURE_LINES)}), l AS (SELECT doc_id, unnest({LINES('text')}) AS s, generate_subscripts({LINES('text')}, 1) AS i FROM t), "
     f"k AS (SELECT doc_id, s, i, {_HEAD} AS h FROM l WHERE NOT regexp_matches(s, '{re2(P.PAGE_NUMBER)}')), "
-    "c AS (SELECT *, CASE WHEN h IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY doc_id, h) END AS n FROM k) "
-    "SELECT doc_id, string_agg(s, chr(10) ORDER BY i) AS text FROM c WHERE n < 5 GROUP BY doc_id"
+    "c AS (SELECT *, CASE WHEN h IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY doc_id, h) END AS n FROM k), "
+    "o AS (SELECT doc_id, string_agg(s, chr(10) ORDER BY i) AS kept FROM c WHERE n < 5 GROUP BY doc_id) "
+    "SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(kept, '') END AS text FROM t LEFT JOIN o USING (doc_id)"
 )
 def page_number_drop(spark, sf_dir):
-    rows = texts(spark, sf_dir, FURNITURE_LINES).select("doc_id", C.drop_page_number_lines("text").alias("text"), F.size(F.filter(T.lines("text"), lambda s: ~C.is_page_number(s))).alias("n"))
-    return rows.filter((F.col("n") > 0) & (F.col("text") != "") | F.col("text").contains("\n") | ((F.col("text") == "") & (F.col("n") == 1))).select("doc_id", "text")
+    return texts(spark, sf_dir, FURNITURE_LINES).select("doc_id", C.drop_page_number_lines("text").alias("text"))
 
 
 @query(f"SELECT doc_id, h AS head, count(*) AS n FROM (SELECT doc_id, {_HEAD} AS h FROM (SELECT doc_id, unnest({LINES('text')}) AS s FROM {texts_sql(FURNITURE_LINES)})) WHERE h IS NOT NULL GROUP BY ALL HAVING count(*) >= 5")
@@ -346,7 +365,7 @@ def front_titles(spark, sf_dir):
 
 READINGS = [
     "A & B & C R&D", "4-6 tháng, 12-13/4 và 1-2", "A- B+ xA- A-b", "P P &P Px", "Chương I: Mở Phần XIV. Bài viết chương XXI", "TP.HCM và STP. tr. 5 NXB USDx USD",
-    "- Ý\n1. Đọc\n4) Viết\na) Đọc\n1. Thứ nhất, x", "12\nTrang 3\ntr. 4\nvăn",
+    "- Ý\n1. Đọc\n4) Viết\na) Đọc\n1. Thứ nhất, x", "12\nTrang 3\ntr. 4\nvăn", "Phần IIII, mục iix. Bài XXXL; Chương IPhần VII Chapter MM Phụ lục XX",
 ]
 _AMP = lambda x: f"regexp_replace({x}, '([{A}])[ \\t]*&[ \\t]*([{A}])', '\\1 và \\2', 'g')"
 _RANGE = lambda x: f"regexp_replace({x}, '(^|[^0-9.,/:-])([0-9]{{1,2}})[ \\t]*[-–][ \\t]*([0-9]{{1,2}})($|[^0-9/.,:-]|[.,](?:\\s|$))', '\\1\\2 đến \\3\\4', 'g')"
@@ -367,14 +386,17 @@ def grades_and_letters(spark, sf_dir):
     return texts(spark, sf_dir, READINGS).select("doc_id", G.lone_p(G.grade_signs("text")).alias("text"))
 
 
-_ROMANS = "text"
-for _n in range(1, 21):
-    _ROMANS = f"regexp_replace({_ROMANS}, '(?i)({G.ROMAN_HEADS})[{SP}]+{G._roman(_n)}([{SP}.,:;)\\]!?]|$)', '\\1 {N.viet(_n)}\\2', 'g')"
+_HEADED = f"(?i)(chương|phần|mục|bài|chapter|phụ lục)[{SP}]+([IVXLCDM]+)"
+_UP_TO_20 = "['một', 'hai', 'ba', 'bốn', 'năm', 'sáu', 'bảy', 'tám', 'chín', 'mười', 'mười một', 'mười hai', 'mười ba', 'mười bốn', 'mười lăm', 'mười sáu', 'mười bảy', 'mười tám', 'mười chín', 'hai mươi']"
 
 
-@query(f"SELECT doc_id, {_ROMANS} AS text FROM {values(READINGS)}")
+@query(
+    f"SELECT doc_id, array_to_string(list_transform(range(1, len(p) + 1), lambda i: p[i] || CASE WHEN i = len(p) THEN '' WHEN (i + 1 = len(p) AND p[i + 1] = '' OR regexp_matches(p[i + 1], '^[{SP}.,:;)\\]!?]')) "
+    f"AND {roman_sql('r[i]')} BETWEEN 1 AND 20 THEN h[i] || ' ' || {_UP_TO_20}[{roman_sql('r[i]')}] ELSE m[i] END), '') AS text FROM (SELECT doc_id, string_split_regex(text, '{_HEADED}') AS p, "
+    f"regexp_extract_all(text, '{_HEADED}', 0) AS m, regexp_extract_all(text, '{_HEADED}', 1) AS h, regexp_extract_all(text, '{_HEADED}', 2) AS r FROM {texts_sql(READINGS)})"
+)
 def heading_romans(spark, sf_dir):
-    return given(spark, READINGS).select("doc_id", G.heading_romans("text").alias("text"))
+    return texts(spark, sf_dir, READINGS).select("doc_id", G.heading_romans("text").alias("text"))
 
 
 _ABBREVIATED = "text"
@@ -585,9 +607,10 @@ _CANON = f"coalesce(map {{{', '.join(f'{quoted(k)}: {quoted(v)}' for k, v in R.A
 _OK = "(" + ", ".join(map(quoted, R.ALLOWED)) + ")"
 
 
-@query(f"SELECT doc_id, {_CANON} AS canonical, {_CANON} IN {_OK} AS allowed FROM {values(LICENSES)}")
+@query(f"SELECT doc_id, {_CANON} AS canonical, {_CANON} IN {_OK} AS allowed FROM (SELECT doc_id, source AS text FROM documents UNION ALL SELECT * FROM {values(LICENSES)})")
 def license_gate(spark, sf_dir):
-    return given(spark, LICENSES).select("doc_id", R.normalize_license("text").alias("canonical"), R.is_allowed("text").alias("allowed"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("text")).unionByName(given(spark, LICENSES))
+    return rows.select("doc_id", R.normalize_license("text").alias("canonical"), R.is_allowed("text").alias("allowed"))
 
 
 @query(f"SELECT d.source, count(*) AS n FROM documents d SEMI JOIN (SELECT 'src' || (-doc_id) AS source FROM {values(LICENSES)} WHERE {_CANON} IN {_OK}) a ON d.source = a.source GROUP BY d.source")
@@ -614,9 +637,9 @@ def denied_authors(spark, sf_dir):
 DATES = ["1765–1820", "1894 - 1945", "d. 1931", "no year", "(1837-1898)", "died 1955 or 1960"]
 
 
-@query(f"SELECT doc_id, coalesce(nullif(list_last(regexp_extract_all(text, '(1[0-9]{{3}}|20[0-2][0-9])')), ''), '-1')::INT AS year FROM {values(DATES)}")
+@query(f"SELECT doc_id, coalesce(list_last(list_filter(string_split_regex(text, '[^{AW}]+'), lambda w: regexp_full_match(w, '1[0-9]{{3}}|20[0-2][0-9]'))), '-1')::INT AS year FROM {texts_sql(DATES)}")
 def last_years(spark, sf_dir):
-    return given(spark, DATES).select("doc_id", F.coalesce(R.last_year("text"), F.lit(-1)).alias("year"))
+    return texts(spark, sf_dir, DATES).select("doc_id", F.coalesce(R.last_year("text"), F.lit(-1)).alias("year"))
 
 
 AUTHORS = [("a", "Nguyễn Trãi", "Đặng Trần Côn", None, ""), ("b", "Nguyễn Du", "Nguyễn Du", None, "1765–1820"), ("c", "X", "", 1900, ""), ("d", "X", "", None, "")]
@@ -629,18 +652,33 @@ def author_death_years(spark, sf_dir):
 
 
 
+_FACTS = "license string, has_source boolean, offline boolean, n_sections int, death_year int, needs_death_year boolean, translate_failed boolean, language string, wanted_language string, dry_run boolean, error string"
+#: One case of each outcome, and some that two rules would take.
+FACTS = [
+    ("all rights reserved", True, False, 1, None, False, False, "en", "en", False, None), ("cc0", False, True, 1, None, False, False, "en", "en", False, None),
+    ("cc0", False, False, 1, None, False, False, "en", "en", False, None), ("cc0", True, False, 1, None, False, False, "en", "en", False, "timeout"),
+    ("cc0", True, False, 0, None, True, False, "vi", "en", False, None), ("cc0", True, True, 1, None, True, True, "en", "en", True, None),
+    ("cc0", True, False, 1, 1820, True, True, "en", "en", True, None), ("cc0", True, False, 1, 1820, True, False, "vi", "en", True, None),
+    ("cc0", True, False, 1, None, False, False, "en", "en", True, None), ("Public Domain", True, False, 3, 1820, True, False, "en", "en", False, None),
+]
+_FACT_ROWS = ", ".join("(" + ", ".join(quoted(x) if isinstance(x, str) or x is None else str(x) for x in row) + ")" for row in FACTS)
+
+
 @query(
-    "SELECT CASE WHEN quality IS NULL THEN 'rights-blocked' WHEN lang <> 'en' THEN 'wrong-language' WHEN length(text) < 500 THEN 'empty' ELSE 'ok' END AS status, count(*) AS n "
-    "FROM (SELECT d.lang, d.text, l.quality FROM documents d LEFT JOIN labels l USING (doc_id) WHERE NOT (l.quality IS NOT NULL AND d.lang <> 'en' AND length(text) < 500)) GROUP BY status"
+    "SELECT CASE WHEN license NOT IN ('cc0', 'Public Domain') THEN 'rights-blocked' WHEN NOT has_source AND offline THEN 'offline' WHEN NOT has_source THEN 'no-source' WHEN error IS NOT NULL THEN 'error' WHEN n_sections = 0 THEN 'empty' "
+    "WHEN needs_death_year AND death_year IS NULL THEN 'unverifiable-author' WHEN translate_failed THEN 'translate-failed' WHEN language <> wanted_language THEN 'wrong-language' WHEN dry_run THEN 'dry-run' ELSE 'ok' END AS status, count(*) AS n "
+    f"FROM (SELECT * FROM (VALUES {_FACT_ROWS}) AS f({', '.join(x.split()[0] for x in _FACTS.split(', '))}) UNION ALL "
+    "SELECT CASE WHEN l.quality IS NULL THEN 'unknown' ELSE 'cc0' END, true, false, CASE WHEN length(d.text) < 500 THEN 0 ELSE 1 END, NULL, false, false, d.lang, 'en', false, NULL FROM documents d LEFT JOIN labels l USING (doc_id)) GROUP BY status"
 )
 def status_tally(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left").filter(~(F.col("quality").isNotNull() & (F.col("lang") != "en") & (F.length("text") < 500)))
+    rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     none = F.lit(None)
     facts = rows.select(
         F.when(F.col("quality").isNull(), "unknown").otherwise("cc0").alias("license"), F.lit(True).alias("has_source"), F.lit(False).alias("offline"),
         F.when(F.length("text") < 500, 0).otherwise(1).alias("n_sections"), none.cast("int").alias("death_year"), F.lit(False).alias("needs_death_year"), F.lit(False).alias("translate_failed"),
         F.col("lang").alias("language"), F.lit("en").alias("wanted_language"), F.lit(False).alias("dry_run"), none.cast("string").alias("error"),
     )
+    facts = facts.unionByName(spark.createDataFrame(FACTS, _FACTS))
     return B.status_tally(facts.withColumn("status", B.build_status(facts)))
 
 
