@@ -139,8 +139,8 @@ def labelled_table(rows: int = 600, seed: int = 7) -> list[list[tuple[str, str]]
 
 #: Words that stand before secrets.
 SAID = {"token", "key", "secret", "password", "="}
-#: Tokens whose scores are held at once.
-BLOCK = 1 << 18
+#: Tokens whose scores are held at once, and distinct tokens that a task keeps.
+BLOCK, TABLE = 1 << 17, 200_000
 
 
 def _bucket(n: int) -> str:
@@ -279,30 +279,32 @@ class Tagger:
     def __init__(self, model: Field):
         self.model = model
         self.edge = np.array([model.w[model.index.get((role, "edge"), 0)] for role in range(3)])
-        self.alike: dict[tuple, np.ndarray] = {}
+        #: scores of tokens that are alike, and where those of each kind are
+        self.known, self.alike = np.zeros((1 << 10, 3, len(LABELS))), {}
         self.forget()
-        self.words = WordTable(self.learn, self.forget)
+        self.words = WordTable(self.learn, self.forget, TABLE)
 
     def forget(self) -> None:
-        self.known, self.n = np.zeros((1 << 14, 3, len(LABELS))), 0
+        self.kind, self.n = np.zeros(TABLE, np.int32), 0
 
-    def scores(self, token: str) -> np.ndarray:
-        """Tokens of letters only, but for marks around them, are alike if they agree in case, length and a few words."""
+    def kind_of(self, token: str) -> int:
+        """Number of the scores of a token. Tokens of letters only, but for marks around them, are alike if they agree in
+        case, length and a few words, others if they agree in shape."""
         core = token.strip(_ASIDE)
-        if not core.isalpha():
-            return self.model.scores(token)
         lower = core.lower()
-        key = core.isupper(), min(len(core), 24), lower if lower in SAID else ""
+        key = (core.isupper(), min(len(core), 24), lower if lower in SAID else "") if core.isalpha() else shape(token)
         if key not in self.alike:
-            self.alike[key] = self.model.scores(token)
+            if len(self.alike) == len(self.known):
+                self.known = np.concatenate([self.known, np.zeros_like(self.known)])
+            self.known[len(self.alike)] = self.model.scores(token)
+            self.alike[key] = len(self.alike)
         return self.alike[key]
 
     def learn(self, words: list[str]) -> None:
         end = self.n + len(words)
-        if end > len(self.known):
-            self.known = np.concatenate([self.known, np.zeros((len(self.known) + len(words), *self.known.shape[1:]))])
-        for i, w in enumerate(words, self.n):
-            self.known[i] = self.scores(w)
+        if end > len(self.kind):  # the words of one slice are always held together
+            self.kind = np.concatenate([self.kind, np.zeros(end, np.int32)])
+        self.kind[self.n : end] = list(map(self.kind_of, words))
         self.n = end
 
     def labels(self, some: list[list[str]]) -> np.ndarray:
@@ -313,7 +315,8 @@ class Tagger:
         out = np.zeros(total, np.int64)
         if not total:
             return out
-        k = self.words.numbers(list(chain.from_iterable(some)))
+        numbers = self.words.numbers(list(chain.from_iterable(some)))
+        k = self.kind[numbers]  # only now: the table may have been emptied meanwhile
         last = np.append(first[1:], total) - 1
         starts, ends = np.zeros(total, bool), np.zeros(total, bool)
         starts[first], ends[last] = True, True
@@ -405,18 +408,6 @@ def all_spans(some: list[str], tagger: Tagger) -> list[tuple[list, list]]:
     return out
 
 
-_taggers: dict[bytes, Tagger] = {}
-
-
-def tagger(model: Field) -> Tagger:
-    """One per worker and model; the model is trained on the driver and sent with the task."""
-    key = hashlib.sha256(model.w.tobytes() + model.t.tobytes()).digest()
-    if key not in _taggers:
-        _taggers.clear()
-        _taggers[key] = Tagger(model)
-    return _taggers[key]
-
-
 def _said(spans) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
 
@@ -431,7 +422,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     model = field()
 
     def mapped(batches):
-        find = tagger(model)
+        find = Tagger(model)
         for whole in batches:
             for batch in slices(whole):
                 rows = []
@@ -460,7 +451,7 @@ def redact(docs: DataFrame) -> DataFrame:
     model = field()
 
     def new(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        find = tagger(model)
+        find = Tagger(model)
         for whole in parts:
             out = []
             for some in map(pa.Array.to_pylist, slices(whole)):

@@ -46,15 +46,15 @@ class Ragged:
 class WordTable:
     """Numbers of distinct words; ``learn(words)`` is called for new ones, in order, ``forget()`` when it is emptied."""
 
-    def __init__(self, learn, forget):
-        self.learn, self.forget, self.at = learn, forget, {}
+    def __init__(self, learn, forget, limit: int | None = None):
+        self.learn, self.forget, self.limit, self.at = learn, forget, limit, {}
 
     def numbers(self, words: list[str]) -> np.ndarray:
         k = np.fromiter(map(self.at.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(k < 0)
         if len(missing):
             new = list(dict.fromkeys(map(words.__getitem__, missing.tolist())))
-            if len(self.at) + len(new) > LIMIT and self.at:
+            if len(self.at) + len(new) > (self.limit or LIMIT) and self.at:
                 self.at.clear()
                 self.forget()
                 return self.numbers(words)

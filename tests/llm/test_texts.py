@@ -137,9 +137,12 @@ def test_viterbi_and_stretches(field, monkeypatch):
             e[i] += field.scores(t[i - 1])[1] if i else tagger.edge[1]
             e[i] += field.scores(t[i + 1])[2] if i + 1 < len(t) else tagger.edge[2]
         whole += field.viterbi(e, np.array([len(t)])).tolist() if t else []
-    for block in (pii.BLOCK, 7):
+    for block, table in ((pii.BLOCK, pii.TABLE), (7, 50)):
         monkeypatch.setattr(pii, "BLOCK", block)
+        monkeypatch.setattr(pii, "TABLE", table)
+        tagger = pii.Tagger(field)
         assert tagger.labels(texts).tolist() == whole and any(whole)
+        assert np.concatenate([tagger.labels(texts[i : i + 9]) for i in range(0, len(texts), 9)]).tolist() == whole
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
