@@ -80,6 +80,7 @@ SP = T.SPACE_RE2
 STRIP = lambda x: f"regexp_replace({x}, '^[{SP}]+|[{SP}]+$', '', 'g')"
 WORDS = lambda x: f"len(list_filter(regexp_split_to_array({x}, '[{SP}]+'), lambda w: w <> ''))"
 LINES = lambda x: f"string_split({x}, chr(10))"
+GLUED = P.GLUED
 #: Letters, and letters with digits, in SQL patterns.
 L, A, AW = r"\p{L}", r"\p{L}\p{N}", r"\p{L}\p{N}_"
 
@@ -244,10 +245,10 @@ FURNITURE_LINES = [
     "12\n- 13 -\nTrang 14\npage 3\n1234 5\nHead A\nx.\nHead A\ny.\nHead A\nz.\nHead A\nw.\nHead A\nv.",
     "12\n- 13 -\nTrang 14", "H\nH\nH\n7\nH\nH",
 ]
-_FURNITURE = " OR ".join(f"regexp_matches(s, '{re2(p)}')" for p in P.FURNITURE)
+FURNITURE_SQL = " OR ".join(f"regexp_matches(s, '{re2(p)}')" for p in P.FURNITURE)
 
 
-@query(f"SELECT doc_id, array_to_string(list_filter({LINES('text')}, lambda s: NOT ({_FURNITURE})), chr(10)) AS text FROM {texts_sql(FURNITURE_LINES)}")
+@query(f"SELECT doc_id, array_to_string(list_filter({LINES('text')}, lambda s: NOT ({FURNITURE_SQL})), chr(10)) AS text FROM {texts_sql(FURNITURE_LINES)}")
 def furniture_drop(spark, sf_dir):
     return texts(spark, sf_dir, FURNITURE_LINES).select("doc_id", C.drop_furniture_lines("text").alias("text"))
 
@@ -319,20 +320,20 @@ _CLEAN = [
     (r"\[([^\]]*)\]\[[^\]]*\]", r"\1"), (rf"(?m)^[{SP}]*\|.*$", ""), (r"(?s)\{\{.*?\}\}", ""), (r"[*_]{2,}", ""), ("'''", ""), ("''", ""), (r"\[\^[^\]]*\]", ""),
     (r"[ \t]+", " "), (r" ?\n ?", "\n"),
 ]
-_SANITIZED = "replace(text, chr(160), ' ')"
+SANITIZED = "replace(text, chr(160), ' ')"
 for _p, _to in _CLEAN:
-    _SANITIZED = f"regexp_replace({_SANITIZED}, {quoted(_p)}, {'chr(10)' if _to == chr(10) else quoted(_to)}, 'g')"
-_SANITIZED = _CAP_ONCE(_CAP_ONCE(f"array_to_string(list_filter({LINES(_SANITIZED)}, lambda s: NOT ({_FURNITURE})), chr(10))"))
-_SANITIZED = "replace(" * len(P.GLUED) + _SANITIZED + "".join(f", {quoted(k)}, {quoted(v)})" for k, v in P.GLUED.items())
+    SANITIZED = f"regexp_replace({SANITIZED}, {quoted(_p)}, {'chr(10)' if _to == chr(10) else quoted(_to)}, 'g')"
+SANITIZED = _CAP_ONCE(_CAP_ONCE(f"array_to_string(list_filter({LINES(SANITIZED)}, lambda s: NOT ({FURNITURE_SQL})), chr(10))"))
+SANITIZED = "replace(" * len(P.GLUED) + SANITIZED + "".join(f", {quoted(k)}, {quoted(v)})" for k, v in P.GLUED.items())
 
 
-@query(f"SELECT doc_id, {_SANITIZED} AS text FROM {texts_sql(MARKUP)}")
+@query(f"SELECT doc_id, {SANITIZED} AS text FROM {texts_sql(MARKUP)}")
 def sanitize(spark, sf_dir):
     return texts(spark, sf_dir, MARKUP).select("doc_id", C.sanitize_prose("text").alias("text"))
 
 
 @query(
-    f"WITH c AS (SELECT doc_id, {_SANITIZED} AS t FROM documents), l AS (SELECT doc_id, unnest({LINES('t')}) AS p FROM c) "
+    f"WITH c AS (SELECT doc_id, {SANITIZED} AS t FROM documents), l AS (SELECT doc_id, unnest({LINES('t')}) AS p FROM c) "
     f"SELECT doc_id, count(*) FILTER ({STRIP('p')} <> '') AS n_lines_kept, sum(len(CASE WHEN len({PIECES}) = 0 THEN [] ELSE {GLUE} END))::BIGINT AS n_sentences, sum({WORDS('p')})::BIGINT AS n_words FROM l GROUP BY doc_id"
 )
 def clean_document_stats(spark, sf_dir):
@@ -386,26 +387,26 @@ def grades_and_letters(spark, sf_dir):
     return texts(spark, sf_dir, READINGS).select("doc_id", G.lone_p(G.grade_signs("text")).alias("text"))
 
 
-_HEADED = f"(?i)(chương|phần|mục|bài|chapter|phụ lục)[{SP}]+([IVXLCDM]+)"
-_UP_TO_20 = "['một', 'hai', 'ba', 'bốn', 'năm', 'sáu', 'bảy', 'tám', 'chín', 'mười', 'mười một', 'mười hai', 'mười ba', 'mười bốn', 'mười lăm', 'mười sáu', 'mười bảy', 'mười tám', 'mười chín', 'hai mươi']"
+HEADED = f"(?i)(chương|phần|mục|bài|chapter|phụ lục)[{SP}]+([IVXLCDM]+)"
+UP_TO_20 = "['một', 'hai', 'ba', 'bốn', 'năm', 'sáu', 'bảy', 'tám', 'chín', 'mười', 'mười một', 'mười hai', 'mười ba', 'mười bốn', 'mười lăm', 'mười sáu', 'mười bảy', 'mười tám', 'mười chín', 'hai mươi']"
 
 
 @query(
     f"SELECT doc_id, array_to_string(list_transform(range(1, len(p) + 1), lambda i: p[i] || CASE WHEN i = len(p) THEN '' WHEN (i + 1 = len(p) AND p[i + 1] = '' OR regexp_matches(p[i + 1], '^[{SP}.,:;)\\]!?]')) "
-    f"AND {roman_sql('r[i]')} BETWEEN 1 AND 20 THEN h[i] || ' ' || {_UP_TO_20}[{roman_sql('r[i]')}] ELSE m[i] END), '') AS text FROM (SELECT doc_id, string_split_regex(text, '{_HEADED}') AS p, "
-    f"regexp_extract_all(text, '{_HEADED}', 0) AS m, regexp_extract_all(text, '{_HEADED}', 1) AS h, regexp_extract_all(text, '{_HEADED}', 2) AS r FROM {texts_sql(READINGS)})"
+    f"AND {roman_sql('r[i]')} BETWEEN 1 AND 20 THEN h[i] || ' ' || {UP_TO_20}[{roman_sql('r[i]')}] ELSE m[i] END), '') AS text FROM (SELECT doc_id, string_split_regex(text, '{HEADED}') AS p, "
+    f"regexp_extract_all(text, '{HEADED}', 0) AS m, regexp_extract_all(text, '{HEADED}', 1) AS h, regexp_extract_all(text, '{HEADED}', 2) AS r FROM {texts_sql(READINGS)})"
 )
 def heading_romans(spark, sf_dir):
     return texts(spark, sf_dir, READINGS).select("doc_id", G.heading_romans("text").alias("text"))
 
 
-_ABBREVIATED = "text"
+ABBREVIATED = "text"
 for _k in sorted(G.ABBREVIATIONS, key=len, reverse=True):
     _key = _k.replace(".", r"\.")
-    _ABBREVIATED = f"regexp_replace({_ABBREVIATED}, '(^|[^{AW}]){_key}" + ("" if "." in _k else f"([^{L}]|$)") + f"', '\\1{G.ABBREVIATIONS[_k]}" + ("" if "." in _k else "\\2") + "', 'g')"
+    ABBREVIATED = f"regexp_replace({ABBREVIATED}, '(^|[^{AW}]){_key}" + ("" if "." in _k else f"([^{L}]|$)") + f"', '\\1{G.ABBREVIATIONS[_k]}" + ("" if "." in _k else "\\2") + "', 'g')"
 
 
-@query(f"SELECT doc_id, {_ABBREVIATED} AS text FROM {texts_sql(READINGS)}")
+@query(f"SELECT doc_id, {ABBREVIATED} AS text FROM {texts_sql(READINGS)}")
 def abbreviations(spark, sf_dir):
     return texts(spark, sf_dir, READINGS).select("doc_id", G.abbreviations("text").alias("text"))
 
@@ -448,7 +449,9 @@ def reading_titles(spark, sf_dir):
 
 @query()
 def wrapped_lines(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", K.join_wrapped_lines("text").alias("text"))
+    from inkmill.plans.records import WRAPPED
+
+    return texts(spark, sf_dir, WRAPPED).select("doc_id", K.join_wrapped_lines("text").alias("text"))
 
 
 @query()
@@ -527,7 +530,7 @@ def _chapters(spark, sf_dir) -> DataFrame:
 
 
 RENDERED = (
-    f"WITH c AS (SELECT doc_id, lang, {_SANITIZED} AS t FROM documents WHERE {STRIP('text')} <> ''), "
+    f"WITH c AS (SELECT doc_id, lang, {SANITIZED} AS t FROM documents WHERE {STRIP('text')} <> ''), "
     f"q AS (SELECT doc_id, unnest(string_split_regex(t, '\\n[{SP}]*\\n')) AS q, generate_subscripts(string_split_regex(t, '\\n[{SP}]*\\n'), 1) AS qi FROM c), "
     f"l AS (SELECT doc_id, qi, unnest({LINES(STRIP('q'))}) AS z, generate_subscripts({LINES(STRIP('q'))}, 1) AS li FROM q WHERE {STRIP('q')} <> ''), "
     f"s AS (SELECT doc_id, qi, li, array_to_string({GLUE}, chr(10)) AS said FROM (SELECT *, {STRIP('z')} AS p FROM l) WHERE p <> ''), "
@@ -642,10 +645,18 @@ def last_years(spark, sf_dir):
     return texts(spark, sf_dir, DATES).select("doc_id", F.coalesce(R.last_year("text"), F.lit(-1)).alias("year"))
 
 
-AUTHORS = [("a", "Nguyễn Trãi", "Đặng Trần Côn", None, ""), ("b", "Nguyễn Du", "Nguyễn Du", None, "1765–1820"), ("c", "X", "", 1900, ""), ("d", "X", "", None, "")]
+AUTHORS = [("a", "Nguyễn Trãi", "Đặng Trần Côn", None, ""), ("b", "Nguyễn Du", "Nguyễn Du", None, "1765–1820"), ("c", "X", "", 1900, ""), ("d", "X", "", None, ""), ("e", "Trương Vĩnh Ký", "", None, "1400-1500"), ("f", "X", " nguyễn du", None, "")]
+
+
+_KNOWN = "(VALUES ('Nguyễn Du', 1820), ('Nguyễn Trãi', 1442), ('Đặng Trần Côn', 1780), ('Trương Vĩnh Ký', 1898), ('Phan Phu Tiên', 1780), ('Đoàn Thị Điểm', 1823))"
+_AUTHOR_ROWS = ", ".join("(" + ", ".join(quoted(x) if isinstance(x, str) or x is None else str(x) for x in row) + ")" for row in AUTHORS)
+_DECLARED = "coalesce(y, CASE WHEN list_last(regexp_extract_all(dates, '1[0-9]{3}|20[0-2][0-9]'))::INT >= 1600 THEN list_last(regexp_extract_all(dates, '1[0-9]{3}|20[0-2][0-9]'))::INT END)"
 
 
-@query("SELECT * FROM (VALUES ('a', 1780, true), ('b', 1820, false), ('c', 1900, false), ('d', -1, false)) AS t(slug, death_year, mismatch)")
+@query(
+    f"SELECT slug, coalesce(d, CASE WHEN m THEN theirs END, own, theirs, -1) AS death_year, m AS mismatch FROM (SELECT *, d IS NULL AND theirs IS NOT NULL AND lower(trim(said)) <> lower(trim(author)) AS m FROM (SELECT a.*, {_DECLARED} AS d, t.died AS theirs, o.died AS own "
+    f"FROM (VALUES {_AUTHOR_ROWS}) AS a(slug, author, said, y, dates) LEFT JOIN {_KNOWN} AS t(name, died) ON t.name = said LEFT JOIN {_KNOWN} AS o(name, died) ON o.name = author))"
+)
 def author_death_years(spark, sf_dir):
     rows = spark.createDataFrame(AUTHORS, "slug string, author string, source_author string, author_death_year int, author_dates string")
     return R.resolved_death_year(rows).select("slug", F.coalesce("death_year", F.lit(-1)).alias("death_year"), "mismatch")
@@ -707,11 +718,13 @@ def pdf_outline(spark, sf_dir):
 
 @query()
 def pdf_cleaned(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", S.pdf_text("text").alias("text"))
+    from inkmill.plans.records import PDFS
+
+    return texts(spark, sf_dir, PDFS).select("doc_id", S.pdf_text("text").alias("text"))
 
 
 @query(
-    f"WITH c AS (SELECT doc_id, {_SANITIZED} AS t FROM documents), l AS (SELECT doc_id, unnest({LINES('t')}) AS s, generate_subscripts({LINES('t')}, 1) AS i FROM c), "
+    f"WITH c AS (SELECT doc_id, {SANITIZED} AS t FROM documents), l AS (SELECT doc_id, unnest({LINES('t')}) AS s, generate_subscripts({LINES('t')}, 1) AS i FROM c), "
     f"k AS (SELECT doc_id, s, i, {_HEAD} AS h FROM l WHERE NOT regexp_matches(s, '{re2(P.PAGE_NUMBER)}')), "
     "n AS (SELECT *, CASE WHEN h IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY doc_id, h) END AS n FROM k), o AS (SELECT doc_id, string_agg(s, chr(10) ORDER BY i) AS text FROM n WHERE n < 5 GROUP BY doc_id) "
     f"SELECT c.doc_id, coalesce(text, '') AS text, {WORDS("coalesce(text, '')")}::INT AS n_words FROM c LEFT JOIN o USING (doc_id)"
