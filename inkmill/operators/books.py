@@ -138,6 +138,20 @@ def parse_manifests(json: DataFrame, column: str = "json") -> DataFrame:
     return json.select(F.from_json(column, MANIFEST).alias("m")).select("m.*")
 
 
+def manifest_mismatches(manifest: DataFrame, books: DataFrame) -> DataFrame:
+    """Slugs of records that differ between the hand-off and the book itself, or are only in one of them."""
+    both = sorted(set(manifest.select("book.*").columns) & set(books.columns))
+    left, right = manifest.select("book.*").select(both), books.select(both)
+    return left.exceptAll(right).select("slug").unionByName(right.exceptAll(left).select("slug")).distinct()
+
+
+def extra_provenance(df: DataFrame) -> Column:
+    """The further keys of a record that say something, as a map."""
+    given = [(k, F.col(k).cast("string")) for k, kind in EXTRA_FIELDS if k in df.columns and not kind.startswith(("array", "struct"))]
+    every = F.create_map(*[x for k, c in given for x in (F.lit(k), c)])
+    return F.map_filter(every, lambda k, v: F.coalesce(strip(v), F.lit("")) != "")
+
+
 def chapter_files(manifest: DataFrame) -> DataFrame:
     return manifest.select(F.explode("book.chapters.source_path").alias("source_path"))
 

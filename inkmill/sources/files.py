@@ -1,4 +1,4 @@
-"""Local sources: text, markdown, wiki markup, EPUB and PDF pages, read by Spark's binary reader and sent by suffix."""
+"""Local sources: text, markdown, wiki markup, EPUB and PDF, read by Spark's binary reader and sent by suffix."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ import io
 import posixpath
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
+from pathlib import Path
 from urllib.parse import unquote
 from xml.etree import ElementTree
 
@@ -14,13 +16,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inkmill.functions.text import col, compact_key, count_words, natural_key, strip
+from inkmill.functions.text import col, compact_key, count_words, natural_key, slugify, strip
 from inkmill.operators import books as B
 from inkmill.operators import chapters as K
 from inkmill.operators import cleaning as C
 from inkmill.operators.markup import html_sections
 from inkmill.operators.rights import allowed_only, check_license
 from inkmill.operators.wikitext import STUB_SECTION_WORDS, wikitext_sections
+from inkmill.sources.pdf import read_pdfs
 
 # Fixed values.
 TEXT, MARKDOWN, WIKI = ["txt", "text"], ["md", "markdown"], ["wikitext", "wiki"]
@@ -165,31 +168,48 @@ def epub_sections(files: DataFrame, min_words: int = K.MIN_WORDS) -> DataFrame:
     return rows.select("path", "title", "language", "translator", F.struct("item", "k").alias("pos"), F.struct(named.alias("title"), F.col("section.text").alias("text"), F.col("section.level").alias("level")).alias("section"))
 
 
+def pdf_documents(files: DataFrame, min_words: int = K.MIN_WORDS) -> DataFrame:
+    """path, sections, error of PDF files: bookmarks where they give two sections, else detected chapters. A file
+    without text has the error that it is scanned."""
+    rows = read_pdfs(files)
+    found = pdf_sections(rows, "pages", "outline", min_words)
+    blank = F.size(F.filter("sections", lambda s: strip(s.text) != "")) == 0
+    error = F.coalesce("error", F.when(blank, F.concat(F.col("path"), F.lit(": no text; the pages are scanned"))))
+    return found.select("path", "sections", error.alias("error"))
+
+
 def extract_files(files: DataFrame, min_words: int = K.MIN_WORDS) -> DataFrame:
-    """Sections of text-like files: path, sections, source_format. Each branch reads only its own rows."""
+    """Sections of files: path, title, sections, source_format, error. Each branch reads only its own rows."""
     text = files.filter(F.col("suffix").isin([*TEXT, *MARKDOWN, *WIKI, "html"])).withColumn("text", decoded("content")).drop("content")
     of = lambda kinds: text.filter(F.col("suffix").isin(kinds))
+    epubs = epub_sections(files.filter("suffix = 'epub'"), min_words)
+    whole = F.transform(F.array_sort(F.collect_list(F.struct("pos", "section"))), lambda x: x.section)
     parts = [
         text_sections(of(TEXT), "text", min_words),
         markdown_sections(of(MARKDOWN), "text", min_words),
         of(WIKI).withColumn("sections", wikitext_sections("text", min_words)),
         of(["html"]).withColumn("sections", html_sections("text", min_words)),
+        epubs.groupBy("path", "title").agg(whole.alias("sections")).withColumn("suffix", F.lit("epub")),
+        pdf_documents(files.filter("suffix = 'pdf'"), min_words).withColumn("suffix", F.lit("pdf")),
     ]
-    picked = [p.select("path", stem("path").alias("title"), "sections", F.col("suffix").alias("source_format")) for p in parts]
-    return picked[0].unionByName(picked[1]).unionByName(picked[2]).unionByName(picked[3])
+    title = lambda p: F.coalesce(F.nullif(F.trim("title"), F.lit("")), stem("path")) if "title" in p.columns else stem("path")
+    error = lambda p: F.col("error") if "error" in p.columns else F.lit(None).cast("string")
+    picked = [p.select("path", title(p).alias("title"), "sections", F.col("suffix").alias("source_format"), error(p).alias("error")) for p in parts]
+    return reduce(DataFrame.unionByName, picked)
 
 
 def extract_file(spark: SparkSession, path: str, license_id: str, min_words: int = K.MIN_WORDS) -> DataFrame:
-    """One file, refused before it is read unless its licence is allowed; an unknown suffix is an error."""
+    """One file, refused before it is read unless its licence is allowed; an unknown suffix, and a PDF that can't be
+    read or has no text, are errors."""
     check_license(license_id)
     kind = path.rpartition(".")[2].lower()
     if kind not in FORMATS:
         raise ValueError(f"unsupported source format: {kind!r}")
     files = spark.read.format("binaryFile").load(path).select("path", suffix("path").alias("suffix"), "content")
-    if kind == "epub":
-        rows = epub_sections(files, min_words).groupBy("path", "title").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "section"))), lambda x: x.section).alias("sections"))
-        return rows.withColumn("source_format", F.lit("epub"))
-    return extract_files(files, min_words)
+    found = extract_files(files, min_words)
+    if kind == "pdf" and (bad := found.filter("error is not null").first()):
+        raise ValueError(bad.error)
+    return found.drop("error")
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
@@ -231,12 +251,46 @@ def write_chapters(chapters: DataFrame, path: str) -> None:
     chapters.write.mode("overwrite").partitionBy("slug").parquet(path)
 
 
+def _write_each(rows: DataFrame, root: str) -> None:
+    """rows(name, body): a file of its own for each, written by the tasks into a folder that all of them share."""
+
+    def over(part) -> None:
+        from pyarrow import fs
+
+        store, top = fs.FileSystem.from_uri(root if "://" in root else Path(root).absolute().as_uri())
+        for r in part:
+            store.create_dir(posixpath.dirname(f"{top}/{r.name}"), recursive=True)
+            with store.open_output_stream(f"{top}/{r.name}") as f:
+                f.write(r.body.encode("utf-8"))
+
+    rows.select("name", "body").foreachPartition(over)
+
+
+def write_chapter_files(chapters: DataFrame, root: str) -> None:
+    """chapters(slug, chapter_slug, markdown) as root/slug/text/chuong-NN.md."""
+    name = F.concat_ws("/", "slug", F.lit("text"), F.concat("chapter_slug", F.lit(".md")))
+    _write_each(chapters.select(name.alias("name"), F.col("markdown").alias("body")), root)
+
+
 def write_book_json(books: DataFrame, path: str) -> None:
     B.book_json(books).select("json").write.mode("overwrite").text(path)
 
 
+def write_book_files(books: DataFrame, root: str, notes: Column, created_at: str) -> None:
+    """root/slug/book.json and root/slug/manifest.json of each record."""
+    of = lambda rows, file: rows.select(F.concat("slug", F.lit(f"/{file}")).alias("name"), F.col("json").alias("body"))
+    _write_each(of(B.book_json(books), "book.json").unionByName(of(B.manifests(books, notes, created_at), "manifest.json")), root)
+
+
 def cache_sources(pages: DataFrame, path: str) -> None:
     """Fetched pages(slug, ord, page, wikitext, html, ...) for rebuilding without a network."""
     pages.write.mode("overwrite").partitionBy("slug").parquet(path)
 
 
+def cache_source_files(pages: DataFrame, root: str) -> None:
+    """pages(slug, ord, page, wikitext, revision) as root/slug/source/NN-page.wikitext, and source_meta.json beside them."""
+    name = F.format_string("%s/source/%02d-%s.wikitext", "slug", F.col("ord").cast("int"), slugify("page"))
+    meta = F.to_json(F.struct("slug", F.array_sort(F.collect_list(F.struct("ord", "page", "revision"))).alias("pages")))
+    texts = pages.select(name.alias("name"), F.coalesce("wikitext", F.lit("")).alias("body"))
+    books = pages.groupBy("slug").agg(meta.alias("body")).select(F.concat("slug", F.lit("/source/source_meta.json")).alias("name"), "body")
+    _write_each(texts.unionByName(books), root)

@@ -5,24 +5,30 @@
 
 from __future__ import annotations
 
+import difflib
 import json
+import os
 import time
 import urllib.parse
 import urllib.request
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from inkmill.functions.text import natural_key, title_key
+from inkmill.functions.text import natural_key, title_from_url, title_key
 from inkmill.operators.markup import html_sections
-from inkmill.operators.wikitext import PAGE_WORDS, PROBE_WORDS, SEARCH_SIMILARITY, TOTAL_WORDS, is_front_matter, is_placeholder_title, is_stub, similarity, wikitext_sections
+from inkmill.operators.rights import check_license
+from inkmill.operators.wikitext import PAGE_WORDS, PROBE_WORDS, SEARCH_SIMILARITY, TOTAL_WORDS, is_front_matter, is_placeholder_title, is_stub, name_key, similarity, wikitext_sections
 
 # Fixed values.
 ENDPOINTS = {lang: f"https://{lang}.wikisource.org/w/api.php" for lang in ("vi", "en", "fr")}
 AGENT = "inkmill/0.1 (public text corpus builder)"
 INTERVAL, RETRIES, TIMEOUT, BACKOFF, SEARCH_HITS = 0.34, 3, 30.0, 0.5, 8
+#: Set, no request leaves the machine.
+OFFLINE = "INKMILL_OFFLINE"
 RETRY_STATUS = {429, 500, 502, 503, 504}
 PAGE = "language string, requested string, title string, pageid long, revid long, timestamp string, user string, wikitext string, html string, subpages array<string>, links array<string>, error string"
 
@@ -30,6 +36,8 @@ Transport = Callable[[str, dict], dict]
 
 
 def http_transport(endpoint: str, params: dict) -> dict:
+    if os.environ.get(OFFLINE):
+        raise RuntimeError(f"the network is switched off by {OFFLINE}")
     request = urllib.request.Request(f"{endpoint}?{urllib.parse.urlencode(params)}", headers={"User-Agent": AGENT})
     with urllib.request.urlopen(request, timeout=TIMEOUT) as answer:  # noqa: S310
         return json.load(answer)
@@ -80,6 +88,20 @@ class Client:
         found = self.ask(action="query", list="search", srsearch=title, srnamespace="0", srlimit=str(SEARCH_HITS))
         return [h["title"] for h in found.get("query", {}).get("search", [])]
 
+    def exists(self, title: str) -> bool:
+        pages = self.ask(action="query", titles=title, redirects="1").get("query", {}).get("pages", [])
+        return bool(pages) and not pages[0].get("missing")
+
+    def resolve(self, title: str) -> str:
+        """The title itself if there is such a page, else the search hit that is most like it, else nothing."""
+        if not title.strip():
+            return ""
+        if self.exists(title):
+            return title
+        score = lambda hit: difflib.SequenceMatcher(None, name_key(title), name_key(hit)).ratio()
+        best = max(self.search(title), key=score, default="")
+        return best if best and score(best) >= SEARCH_SIMILARITY else ""
+
 
 def fetch_pages(wanted: DataFrame, transport: Transport = http_transport, interval: float = INTERVAL) -> DataFrame:
     """wanted(language, title) to rows of PAGE; a failure is a row with its error, a missing page one with no title."""
@@ -161,3 +183,31 @@ def probe(found: DataFrame) -> DataFrame:
     return rows.select("work", ((F.col("chapters") > 0) & (F.col("words") >= PROBE_WORDS)).alias("available"), "chapters", "words")
 
 
+def extract_works(works: DataFrame, order: list[str], transport: Transport = http_transport, interval: float = INTERVAL, min_words: int = 40) -> DataFrame:
+    """works(work): its sections in the first language of ``order`` that has enough of it, with that language and notes.
+
+    A language is asked only for what the ones before it don't have; each page's own text counts for its language, so
+    nothing is relabelled. Columns: work, language, title, pos, section, kept, note."""
+    left, found = works.select("work").distinct(), []
+    for rank, language in enumerate(order):
+        wanted = left.select(F.lit(language).alias("language"), F.col("work").alias("title"))
+        roots = fetch_pages(wanted, transport, interval).filter("title <> ''").withColumn("work", F.col("requested")).cache()
+        stubs = roots.filter(is_stub("wikitext") & (F.size("subpages") == 0))
+        below = subpages(roots).select("title", F.col("subpage").alias("page")).unionByName(sibling_pages(stubs).select("title", F.col("linked").alias("page")))
+        below = below.join(roots.select("title", "work"), "title").select("work", F.col("page").alias("requested"))
+        more = fetch_pages(below.select(F.lit(language).alias("language"), F.col("requested").alias("title")), transport, interval).filter("title <> ''").join(below, "requested")
+        pages = roots.unionByName(more).select("work", "title", "wikitext", "html")
+        sections = page_sections(pages, min_words).cache()
+        enough = sections.groupBy("work").agg(F.sum("words").alias("words")).filter(F.col("words") >= TOTAL_WORDS).select("work")
+        kept = work_sections(sections.join(enough, "work", "left_semi"))
+        fallback = F.lit(f"no {order[0]} edition: this is the one in {language}" if rank else None).cast("string")
+        found.append(kept.withColumn("language", F.lit(language)).withColumn("note", F.coalesce("note", fallback)))
+        left = left.join(enough, "work", "left_anti")
+    return reduce(DataFrame.unionByName, found).select("work", "language", "title", "pos", "section", "kept", "note")
+
+
+def extract_url(spark: SparkSession, url: str, license_id: str, language: str = "vi", fallback: tuple[str, ...] = ("en",), transport: Transport = http_transport, interval: float = INTERVAL, min_words: int = 40) -> DataFrame:
+    """The work at a wiki address, refused before any request unless its licence is allowed."""
+    check_license(license_id)
+    works = spark.createDataFrame([(url,)], "url string").select(title_from_url("url").alias("work"))
+    return extract_works(works, [language, *[x for x in fallback if x != language]], transport, interval, min_words)

@@ -34,3 +34,32 @@ def test_commands(spark, tmp_path, capsys):
     assert cli.main(["attributes", str(wiki.parent)], spark) == 0 and "class=k" in capsys.readouterr().out
     spark.createDataFrame([("a", 1, "T", "p", "# T\n\nx\n", 3)], "slug string, index int, title string, source_path string, markdown string, word_count int").write.parquet(str(tmp_path / "ch"))
     assert cli.main(["check", str(tmp_path / "ch")], spark) == 1 and "total-words" in capsys.readouterr().out
+
+
+def test_build_and_gate(spark, tmp_path, capsys):
+    (tmp_path / "c.json").write_text(json.dumps({"books": [{"slug": "a", "title": "t", "author": "x", "license": "cc0", "license_url": "u", "rights_note": "n"}, {"slug": "b", "license": "mine"}, {"slug": "c", "license": "cc0"}]}))
+    for slug in ("a", "b"):
+        (tmp_path / "src" / slug).mkdir(parents=True)
+        (tmp_path / "src" / slug / "1.txt").write_text("Chương 1\n" + "Một câu văn dài. " * 40 + "\nChương 2\n" + "Câu khác nữa đây. " * 40)
+    assert cli.main(["build", str(tmp_path / "c.json"), str(tmp_path / "src"), str(tmp_path / "books"), "--created-at", "now"], spark) == 1
+    assert capsys.readouterr().out.split("\n")[:3] == ["a: ok", "b: rights-blocked", "c: offline"]
+    assert (tmp_path / "books/a/text/chuong-02.md").exists() and json.loads((tmp_path / "books/a/manifest.json").read_text())["created_at"] == "now" and not (tmp_path / "books/b").exists()
+    assert cli.main(["rights", str(tmp_path / "books")], spark) == 0
+    for f in (tmp_path / "books/a/text").iterdir():
+        f.rename(f.with_suffix(".txt"))
+    assert cli.main(["rights", str(tmp_path / "books")], spark) == 1 and "no-text-files" in capsys.readouterr().out
+    spark.createDataFrame([("a", 1, "T", "p", "# T\n\nx\n", 3)], "slug string, index int, title string, source_path string, markdown string, word_count int").write.parquet(str(tmp_path / "ch"))
+    assert cli.main(["gate", str(tmp_path / "books"), str(tmp_path / "ch")], spark) == 1
+
+
+def test_wiki_commands(spark, capsys):
+    def answer(endpoint, params):
+        if params.get("action") == "parse":
+            return {"parse": {"wikitext": "== A ==\n" + "x " * 300, "text": ""}}
+        if params.get("list"):
+            return {"query": {"allpages": []}}
+        return {"query": {"pages": [{"missing": True} if params["titles"] == "no" else {"title": "A", "pageid": 1}]}}
+
+    assert cli.main(["probe", "A"], spark, answer) == 0 and '"available": true' in capsys.readouterr().out
+    assert cli.main(["probe", "no"], spark, answer) == 1
+    assert cli.main(["page", "A"], spark, answer) == 0 and '"wikitext": 608' in capsys.readouterr().out

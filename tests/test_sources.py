@@ -1,4 +1,6 @@
 import io
+import json
+import os
 import sys
 import zipfile
 
@@ -6,8 +8,11 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from inkmill.operators import books as B
+from inkmill.operators import gloss as G
 from inkmill.operators import translate as X
 from inkmill.sources import files as S
+from inkmill.sources import pdf
 from inkmill.sources import wiki as W
 from inkmill.streaming import clean_stream
 
@@ -39,7 +44,7 @@ def test_files(spark, folder):
     files = S.read_files(spark, folder)
     assert {r.suffix for r in files.collect()} == {"txt", "md", "wikitext", "epub"}
     rows = {r.title: [s.title for s in r.sections] for r in S.extract_files(files).collect()}
-    assert rows == {"a": ["Chương 1", "Chương 2"], "b": ["Một", "Hai"], "c": ["Một"]}
+    assert rows == {"a": ["Chương 1", "Chương 2"], "b": ["Một", "Hai"], "c": ["Một"], "Sách": ["Một", "Phan Hai"]}
     found = S.epub_sections(files.filter("suffix = 'epub'")).orderBy("pos").collect()
     assert [(r.title, r.translator, r.section.title) for r in found] == [("Sách", "Dịch", "Một"), ("Sách", "Dịch", "Phan Hai")]
     assert S.extract_file(spark, folder + "/b.md", "cc0").count() == 1
@@ -151,3 +156,92 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "ch")).first().slug == "a"
     S.write_book_json(spark.createDataFrame([("a", "")], "slug string, title string"), str(tmp_path / "b"))
     assert spark.read.text(str(tmp_path / "b")).first().value == '{"slug":"a"}'
+
+
+@pytest.fixture
+def reader(tmp_path, monkeypatch):
+    """A pdftotext that gives a file's own bytes back, on the path of this process and of the workers' tasks."""
+    tool = tmp_path / "bin" / "pdftotext"
+    tool.parent.mkdir()
+    tool.write_text('#!/bin/sh\ncat "$5"\n')
+    tool.chmod(0o755)
+    monkeypatch.setenv("PATH", f"{tool.parent}:{os.environ['PATH']}")
+    return str(tool.parent)
+
+
+def test_pdf_reader(reader):
+    assert pdf.pdftotext_available() and pdf.page_texts("một\f\fba\f".encode()) == ["một", "", "ba"] and pdf.page_texts(b"one") == ["one"]
+    assert pdf.bookmarks(b"no pdf") == []
+
+
+def test_pdf_without_a_reader(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pdf, "pdftotext_available", lambda: False)
+    monkeypatch.setattr(pdf, "_mupdf", lambda: None)
+    with pytest.raises(RuntimeError, match="no PDF reader"):
+        pdf.page_texts(b"x")
+    rows = spark.createDataFrame([("a.pdf", bytearray(b"x"))], "path string, content binary")
+    over = pdf.read_pdfs(rows)
+    assert over.columns == ["path", "pages", "outline", "error"]
+    (tmp_path / "a.pdf").write_bytes(b"x")
+    with pytest.raises(ValueError, match=r"no PDF reader|scanned"):  # never an empty result without a word
+        S.extract_file(spark, str(tmp_path / "a.pdf"), "cc0")
+
+
+def test_files_of_all_kinds(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("Chương 1\n" + "a " * 60 + "\nChương 2\n" + "b " * 60)
+    (tmp_path / "b.pdf").write_bytes(b"not a pdf")
+    rows = {r.title: r for r in S.extract_files(S.read_files(spark, str(tmp_path))).collect()}
+    assert [s.title for s in rows["a"].sections] == ["Chương 1", "Chương 2"] and rows["a"].error is None
+    assert rows["b"].source_format == "pdf" and rows["b"].error and not rows["b"].sections
+
+
+def test_written_files(spark, tmp_path):
+    S.write_chapter_files(spark.createDataFrame([("a", "chuong-01", "# x\n"), ("a", "chuong-02", "# y\n"), ("b", "chuong-01", "# z\n")], "slug string, chapter_slug string, markdown string"), str(tmp_path))
+    assert (tmp_path / "a/text/chuong-02.md").read_text() == "# y\n" and (tmp_path / "b/text/chuong-01.md").read_text() == "# z\n"
+    S.cache_source_files(spark.createDataFrame([("a", 10, "Truyện Kiều", "w", 5), ("a", 2, "Phần hai", None, 6)], "slug string, ord int, page string, wikitext string, revision long"), str(tmp_path))
+    assert (tmp_path / "a/source/10-truyen-kieu.wikitext").read_text() == "w" and (tmp_path / "a/source/02-phan-hai.wikitext").read_text() == ""
+    meta = json.loads((tmp_path / "a/source/source_meta.json").read_text())
+    assert [(p["ord"], p["revision"]) for p in meta["pages"]] == [(2, 6), (10, 5)]
+    books = B.parse_books(spark.createDataFrame([('{"slug": "a", "title": "t"}',)], "json string"))
+    S.write_book_files(books, str(tmp_path), F.array(F.lit("n")), "2024")
+    assert json.loads((tmp_path / "a/book.json").read_text())["title"] == "t" and json.loads((tmp_path / "a/manifest.json").read_text())["created_at"] == "2024"
+    back = B.parse_manifests(spark.createDataFrame([((tmp_path / "a/manifest.json").read_text(),)], "json string"))
+    assert B.manifest_mismatches(back, books).count() == 0
+    assert [r.slug for r in B.manifest_mismatches(back, books.withColumn("title", F.lit("u"))).collect()] == ["a"]
+
+
+def wiki_of(endpoint, params):
+    """Vietnamese has a stub of the work only; English has it in two subpages."""
+    title = params.get("titles") or params.get("page") or ""
+    if "vi.wiki" in endpoint:
+        body = "ngắn"
+    else:
+        body = "" if "/" not in title else f"== {title[-1]} ==\n" + "word " * 200
+    if params.get("list") == "search":
+        return {"query": {"search": [{"title": "Truyện Kiêu"}, {"title": "Other"}]}}
+    if params.get("action") == "parse":
+        return {"parse": {"wikitext": body, "text": ""}}
+    if params.get("list") == "allpages":
+        below = ["Kiều/1", "Kiều/2"] if "en.wiki" in endpoint and params["apprefix"] == "Kiều/" else []
+        return {"query": {"allpages": [{"title": t} for t in below]}}
+    if title == "Truyện Kiều":
+        return {"query": {"pages": [{"missing": True}]}}
+    return {"query": {"pages": [{"title": title, "pageid": 7}]}}
+
+
+def test_work_at_an_address(spark, monkeypatch):
+    found = W.extract_url(spark, "https://vi.wikisource.org/wiki/Ki%E1%BB%81u", "cc0", "vi", ("en",), wiki_of, 0.0).collect()
+    assert {(r.language, r.title) for r in found} == {("en", "Kiều/1"), ("en", "Kiều/2")} and all("no vi edition" in r.note for r in found if r.kept)
+    with pytest.raises(ValueError):
+        W.extract_url(spark, "https://vi.wikisource.org/wiki/X", "all rights reserved", transport=wiki_of)
+    client = W.Client("vi", wiki_of, 0.0)
+    assert client.resolve("Có") == "Có" and client.resolve("Truyện Kiều") == "Truyện Kiêu" and client.resolve(" ") == ""
+    monkeypatch.setenv(W.OFFLINE, "1")
+    with pytest.raises(RuntimeError, match="switched off"):
+        W.Client("vi").exists("x")
+
+
+def test_reading_facade(ask):
+    g = G.Gloss()
+    assert ask(g, "A & B") == ask(g.script, "A & B") == ["A và B"] and ask(g.title, "# Chương IV") == ["Chương bốn"]
+    assert ask(g.sentences, "Một hai ba. Bốn năm sáu.\nBảy tám chín") == [["Một hai ba.", "Bốn năm sáu.", "Bảy tám chín"]]
