@@ -4,10 +4,17 @@ import re
 import pytest
 
 import corpus_pipeline as P
-from inkmill.llm import exact_dedup, packing, pii, quality, simhash
+from inkmill.llm import exact_dedup, packing, pii, quality
 from inkmill.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
+
+
+def slow_set(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 
@@ -20,11 +27,11 @@ def test_stages_against_plain_python(spark):
     for i, t in rows:
         first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t or ""), (i, t))
     rows = list(first.values())
-    fps = [simhash.fingerprint(t or "") for _, t in rows]
+    sets = [slow_set(t or "") for _, t in rows]
     group = list(range(len(rows)))
     for a in range(len(rows)):
         for b in range(a):
-            if (fps[a] ^ fps[b]).bit_count() <= 2 and group[a] != group[b]:
+            if group[a] != group[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
                 old, new = max(group[a], group[b]), min(group[a], group[b])
                 group = [new if g == old else g for g in group]
     rows = [rows[g] for g in sorted(set(group))]
