@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
+from functools import wraps
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -77,6 +81,21 @@ def fresh(docs: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def tidied(mapped):
+    """``mapped`` over batches, after whose last one the worker gives memory that its allocators hold back to the system:
+    workers are reused, and what one task has freed would else be held through the next."""
+
+    @wraps(mapped)
+    def run(batches):
+        yield from mapped(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only where the C library is that of GNU
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """Only the two columns that an operator reads; further columns, whatever their names, don't matter."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

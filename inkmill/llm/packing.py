@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import documents, id_and_text, slices, staged, texts
+from inkmill.llm.common import documents, id_and_text, slices, staged, texts, tidied
 
 WINDOW, END = 2048, 1
 BITS = 18
@@ -102,6 +102,7 @@ def codec(path: str) -> ByteCodec:
 
 
 def _tokenised(path: str):
+    @tidied
     def mapped(batches):
         c = codec(path)
         seen = np.zeros(1 << BITS, np.int64)
@@ -199,6 +200,7 @@ class Shard:
 
 
 def _packed(path: str, stats, keep: bool):
+    @tidied
     def mapped(batches):
         c = codec(path)
         idf, mean = stats.value

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import documents, id_and_text, slices, texts
+from inkmill.llm.common import documents, id_and_text, slices, texts, tidied
 from inkmill.llm.word_table import WordTable
 
 KINDS = ["email", "ip", "card", "phone", "secret"]
@@ -140,7 +140,7 @@ def labelled_table(rows: int = 600, seed: int = 7) -> list[list[tuple[str, str]]
 #: Words that stand before secrets.
 SAID = {"token", "key", "secret", "password", "="}
 #: Tokens whose scores are held at once, and distinct tokens that a task keeps.
-BLOCK, TABLE = 1 << 17, 200_000
+BLOCK, TABLE = 1 << 16, 200_000
 
 
 def _bucket(n: int) -> str:
@@ -421,6 +421,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     """
     model = field()
 
+    @tidied
     def mapped(batches):
         find = Tagger(model)
         for whole in batches:
@@ -450,6 +451,7 @@ def redact(docs: DataFrame) -> DataFrame:
     """The documents, all columns, with personal data replaced in text and n_chars, where there, counted anew. Null stays null."""
     model = field()
 
+    @tidied
     def new(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         find = Tagger(model)
         for whole in parts:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import documents, held_out, slices, staged, texts
+from inkmill.llm.common import documents, held_out, slices, staged, texts, tidied
 
 BITS = 18
 #: Labelled rows that the fit uses at most: those with the smallest hash of doc_id among the rows it may learn from.
@@ -165,6 +165,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = T
     w, bias = model
     shared = docs.sparkSession.sparkContext.broadcast(w)  # 2**BITS floats, whatever the input
 
+    @tidied
     def mapped(batches):
         words, weights = Words(), shared.value
         for whole in batches:
@@ -185,6 +186,7 @@ def keep_good(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float
     w, bias = model
     shared = docs.sparkSession.sparkContext.broadcast(w)
 
+    @tidied
     def scores(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words, weights = Words(), shared.value
         for whole in parts:
