@@ -213,11 +213,16 @@ def united(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _cut_pieces(batches):
-    """The bytes of the windows, to the side that is asked for, of the pieces wanted from each document."""
+    """The bytes of the windows, to the side that is asked for, of the pieces wanted from each document; of repeated
+    rows one will do."""
+    seen = set()
     for whole in batches:
         for batch in slices(whole):
             rows = []
             for doc, mark, text, wanted in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "mark", "text", "wanted"))):
+                if (doc, mark) in seen:
+                    continue
+                seen.add((doc, mark))
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 for w in wanted:
                     # offsets of the anchor in the windows: from HALF on to one side, below it to the other
@@ -385,11 +390,13 @@ def remove_repeats(docs: DataFrame, keep: bool = False) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with keep also kept and removed.
 
     Null text counts as empty. Rows with the same doc_id and text are two documents that repeat each other. Texts
-    under SPAN bytes keep all. An empty table gives no rows. Null ids are ids like any other.
+    under SPAN bytes keep all; longer ones are read whole. An empty table gives no rows. Null ids are ids like any
+    other. Further columns, whatever their names, are not read.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("mark"))
-    spans = repeated_spans(rows).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    # repeated rows have the same spans, so a set holds them once, however many rows there are
+    spans = repeated_spans(rows).groupBy("doc_id", "mark").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     spans = spans.withColumnsRenamed({"doc_id": "d", "mark": "m"})
     both = rows.join(spans, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m")), "left").select("doc_id", "text", "spans")
     more = ", kept binary, removed array<array<long>>" if keep else ""
