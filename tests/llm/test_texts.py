@@ -58,6 +58,35 @@ def test_resampling():
     assert abs(A._BANK[:, mel[20].argmax()].argmax() * A.RATE * A.UP / A.DOWN / A.FFT - 500) < 80
 
 
+def test_features_by_definition():
+    """Log-mel values and energies of the query's own setting, from the definitions: sums of taps, cosines, triangles."""
+    x = np.random.default_rng(6).integers(0, 256, 64 * 9).astype(np.uint8)
+    n, taps = -(-len(x) * A.UP // A.DOWN), A.TAPS
+    proto = np.sinc((np.arange(taps * A.UP) - (taps * A.UP - 1) / 2) / max(A.UP, A.DOWN)) * np.hamming(taps * A.UP)
+    y = []
+    for m in range(n + 2 * A.FRAME):
+        pos = m * A.DOWN
+        phase = proto[pos % A.UP :: A.UP]
+        at = [pos // A.UP + taps // 2 - k for k in range(taps)]
+        y.append(sum(f * (float(x[i]) - 128) / 128 for f, i in zip(phase / phase.sum(), at) if 0 <= i < len(x)))
+    assert len({(m * A.DOWN) % A.UP for m in range(9)}) == A.UP > 1
+    mel, energy = A.log_mel(x)
+    frames = 1 + max(0, -(-(n - A.FRAME) // A.HOP))
+    assert mel.shape == (frames, A.MELS)
+    to_mel = lambda f: 2595 * np.log10(1 + f / 700)
+    rate = A.RATE * A.UP / A.DOWN
+    edges = 700 * (10 ** (np.linspace(to_mel(20), to_mel(rate / 2), A.MELS + 2) / 2595) - 1)
+    for t in (0, 1, frames - 1):
+        cut = np.array(y[t * A.HOP : t * A.HOP + A.FRAME])
+        assert abs(energy[t] - 10 * np.log10((cut**2).mean() + 1e-10)) < 0.02
+        shown = cut * np.hanning(A.FRAME)
+        power = [abs(sum(v * np.exp(-2j * np.pi * b * k / A.FFT) for k, v in enumerate(shown))) ** 2 for b in range(A.FFT // 2 + 1)]
+        for j in range(A.MELS):
+            lo, mid, hi = edges[j : j + 3]
+            total = sum(p * max(0, min((b * rate / A.FFT - lo) / (mid - lo), (hi - b * rate / A.FFT) / (hi - mid))) for b, p in enumerate(power))
+            assert abs(mel[t, j] - 10 * np.log10(total + 1e-10)) < 0.05, (t, j)
+
+
 def test_segments():
     e = np.full(100, -50.0)
     e[10:20] = e[40:60] = 0
