@@ -112,7 +112,7 @@ def split_internal_capitals(c: Column | str) -> Column:
 
 
 @cache
-def _glued_sign() -> str:
+def glued_sign() -> str:
     """A pattern that any glued word matches: a letter beyond Latin-1 that one has, or a word that has none."""
     beyond = sorted({c for k in P.GLUED for c in k if ord(c) > 0xFF})
     return "[" + "".join(beyond) + "]|" + "|".join(k for k in P.GLUED if max(map(ord, k)) <= 0xFF)
@@ -125,7 +125,7 @@ def repair_glued_words(c: Column | str) -> Column:
         return out
 
     # one search spares most texts all the passes
-    return let(col(c), lambda s: F.when(s.rlike(_glued_sign()), repaired(s)).otherwise(s))
+    return let(col(c), lambda s: F.when(s.rlike(glued_sign()), repaired(s)).otherwise(s))
 
 
 def _guarded(has_mark, passes: list[tuple[str, str]]):
