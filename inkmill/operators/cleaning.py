@@ -111,11 +111,21 @@ def split_internal_capitals(c: Column | str) -> Column:
     return F.regexp_replace(col(c), f"(?<={low})(?={up})", " ")
 
 
-@cache
-def glued_sign() -> str:
-    """A pattern that any glued word matches: a letter beyond Latin-1 that one has, or a word that has none."""
-    beyond = sorted({c for k in P.GLUED for c in k if ord(c) > 0xFF})
-    return "[" + "".join(beyond) + "]|" + "|".join(k for k in P.GLUED if max(map(ord, k)) <= 0xFF)
+def any_of(words: list[str], depth: int = 2) -> str:
+    """A pattern of any of the words, of two that begin alike the longer first. Beginnings are spelled once, so at most
+    places in a text one look tells that none of them is there."""
+    if depth == 0 or len(words) < 2 or "" in words:
+        return "|".join(sorted(words, key=len, reverse=True))
+    heads: dict[str, list[str]] = {}
+    for w in sorted(words, key=len, reverse=True):
+        heads.setdefault(w[0], []).append(w[1:])
+    return f"(?=[{''.join(heads)}])(?:" + "|".join(f"{h}(?:{any_of(rest, depth - 1)})" for h, rest in heads.items()) + ")"
+
+
+def may_be_glued(s: Column) -> Column:
+    """Whether a glued word can be in a text: it has a letter of the ranges that all but a few of them have, or a few."""
+    plain = [k for k in P.GLUED if max(map(ord, k)) <= 0xFF]
+    return reduce(lambda a, k: a | s.contains(k), plain, s.rlike("[\u0100-\u024f\u1e00-\u1eff]"))
 
 
 def repair_glued_words(c: Column | str) -> Column:
@@ -125,7 +135,7 @@ def repair_glued_words(c: Column | str) -> Column:
         return out
 
     # one search spares most texts all the passes
-    return let(col(c), lambda s: F.when(s.rlike(glued_sign()), repaired(s)).otherwise(s))
+    return let(col(c), lambda s: F.when(may_be_glued(s), repaired(s)).otherwise(s))
 
 
 def _guarded(has_mark, passes: list[tuple[str, str]]):

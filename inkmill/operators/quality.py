@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from inkmill.functions.text import count_words, lines, sentences, strip
 from inkmill.operators import patterns as P
 from inkmill.operators.chapters import ABSOLUTE_FLOOR, assembled
-from inkmill.operators.cleaning import glued_sign, is_furniture
+from inkmill.operators.cleaning import any_of, is_furniture, may_be_glued
 from inkmill.operators.wikitext import is_front_matter
 
 LAST_SHARE, DRIFT, BODY_LINES, TOTAL_WORDS = 0.25, 2, 3, 200
@@ -28,7 +28,7 @@ def own_rules() -> dict[str, Column]:
     heads = F.size(F.filter(lines(text), lambda s: s.rlike(r"\A# ")))
     found = F.regexp_extract(F.array_join(body(), "\n"), P.FORBIDDEN, 0)
     words = count_words(text)
-    glued = F.when(text.rlike(glued_sign()), F.regexp_extract(text, "|".join(sorted(P.GLUED, key=len, reverse=True)), 0))
+    glued = F.when(may_be_glued(text), F.regexp_extract(text, any_of(list(P.GLUED)), 0))
     return {
         "one-heading": F.when((heads != 1) | text.rlike(r"(?m)^#{2,}"), heads.cast("string")),
         "blank-lines": F.when(text.rlike(r"\n\n\n|\A\n|[ \t]+(?:\n|\z)|\n\n\z|[^\n]\z"), ""),
