@@ -239,7 +239,8 @@ def pack(docs: DataFrame, path: str, keep: bool = False) -> DataFrame:
 
     path: a byte-level tokenizer file. Null text counts as empty; an empty text is the one id END. Null ids and
     repeated rows are packed like others. An empty table gives no rows. A long document fills as many windows as it
-    needs; groups of copies are neighbours in the sort, and shards cut them anywhere.
+    needs; groups of copies are neighbours in the sort, and shards cut them anywhere. Rows that the sort can't tell
+    apart are equal, so their order doesn't matter. Further columns, whatever their names, are not read.
     """
     rows = staged(id_and_text(docs).mapInArrow(_tokenised(path), "doc_id long, ids binary, key long, bucket long, n long"), "ids")
     counts = rows.filter("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
@@ -250,7 +251,7 @@ def pack(docs: DataFrame, path: str, keep: bool = False) -> DataFrame:
     idf = np.log1p((total - df + 0.5) / (df + 0.5))
     stats = docs.sparkSession.sparkContext.broadcast((idf, length / max(total, 1)))  # 2**BITS numbers
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(length) // TASK_IDS + 1)
-    ranged = rows.filter("bucket is null").select("doc_id", "ids", "key").repartitionByRange(parts, "key", "doc_id").sortWithinPartitions("key", "doc_id")
+    ranged = rows.filter("bucket is null").select("doc_id", "ids", "key").repartitionByRange(parts, "key", "doc_id").sortWithinPartitions("key", "doc_id", "ids")
     more = ", ids binary" if keep else ""
     return ranged.mapInArrow(_packed(path, stats, keep), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + more)
 

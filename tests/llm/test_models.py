@@ -154,6 +154,16 @@ def test_codec():
         assert c.ids(text).tolist() == [*t.encode(text, add_special_tokens=False).ids, 1]
 
 
+def test_codec_over_all_characters():
+    """Both tokenizers split alike whatever the character, in six surroundings."""
+    c = K.codec(public_tokenizers.path("byte_bpe_50k.json"))
+    around = ("a{0}b", " {0}", "1{0}2", "{0}{0} x", "\n{0} \n", "'{0}s.{0}")
+    points = [i for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    for at in range(0, len(points), 2000):
+        text = "|".join(f.format(chr(i)) for i in points[at : at + 2000] for f in around)
+        assert c.fast.encode_ordinary(text) == c.slow.encode(text, add_special_tokens=False).ids, hex(points[at])
+
+
 def test_bm25(monkeypatch):
     c = K.ByteCodec(PATH)
     texts = ["red green blue", "red green blue sky", "one two three", "one two red", "zebra"]

@@ -50,6 +50,31 @@ def test_stages_against_plain_python(spark):
     assert sizes == {i: len(c.ids(t)) for (i, _), t in zip(rows, texts)}
 
 
+@pytest.mark.parametrize("kind", ["odd", "empty", "no labels"])
+def test_odd_tables(spark, make, odd, tmp_path, kind):
+    """Nulls, ties, repeats, long texts and columns of the stages' own names; no rows at all; no label."""
+    rows = [] if kind == "empty" else odd
+    docs = make(rows).selectExpr("*", "1 AS mark", "'x' AS none", "2.5 AS at", "'s' AS sha", "doc_id AS node", "text AS ids", "7 AS key")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(i, 1, 0) for i, _ in rows if i is not None] if kind == "odd" else []
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    now = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in P.STAGES[:-1]:
+        now = stage(spark, now, str(tmp_path))
+        assert now.columns == docs.columns
+        found = now.collect()
+        assert all((r.mark, r.none, float(r.at), r.sha, r.key) == (1, "x", 2.5, "s", 7) and r.node == r.doc_id for r in found)
+        if kind == "odd" and name == "quality":
+            assert len(found) == len(odd)
+        now = spark.createDataFrame(found, docs.schema)
+    pieces = P.run(spark, str(tmp_path)).collect()
+    assert bool(pieces) == (kind == "odd")
+    sizes: dict = {}
+    for r in pieces:
+        sizes[r.doc_id] = sizes.get(r.doc_id, 0) + r.length
+    assert kind != "odd" or set(sizes) == {r.doc_id for r in found}
+
+
 def test_names():
     assert [n for n, _ in P.STAGES] == ["quality", "exact_dedup", "near_dedup", "pii", "packing"]
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
