@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import ctypes
 import gc
+import shutil
 import tempfile
 import uuid
 from functools import wraps
@@ -24,7 +26,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not where:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        where = "file://" + tempfile.mkdtemp(prefix="inkmill-")
+        folder = tempfile.mkdtemp(prefix="inkmill-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        where = f"file://{folder}"
         spark.sparkContext.setCheckpointDir(where)
     return where.rstrip("/")
 

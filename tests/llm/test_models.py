@@ -1,5 +1,6 @@
 """Operators that learn or rank: quality, language, packing; and pages and the pipeline."""
 
+import os
 import random
 import re
 import zlib
@@ -181,6 +182,54 @@ def test_bm25(monkeypatch):
         assert order[:2] == [0, 1] and sorted(order) == list(range(5))
 
 
+# --- whole queries on rows that nothing was learned from
+
+SF = "/root/testdata/sf0.01"
+tables = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+
+
+@tables
+def test_quality_query(spark):
+    """Held-out accuracy, and each score against the definition: weights of the features times their shares."""
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    rows = {r.doc_id: r for r in Q.op6_quality(spark, SF).collect()}
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert set(rows) == set(texts)
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) and r.predicted == (r.score >= 0.7) and 0 <= r.score <= 1 for i, r in rows.items())
+    known = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None and rows[r.doc_id].held_out}
+    assert len(known) > 50 and sum(rows[i].predicted == y for i, y in known.items()) >= 0.97 * len(known)
+    w, bias = Q.fit(docs, labels)
+    words = Q.Words()
+    for i, t in list(texts.items())[:150]:
+        at, x = Q.features(t, words)
+        assert abs(rows[i].score - 1 / (1 + np.exp(-(bias + float(w[at].astype(float) @ x))))) < 1e-4
+
+
+@tables
+def test_language_query(spark):
+    """Held-out accuracy, and labels against a Viterbi written out word by word."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = {r.doc_id: r for r in L.op7_language_id(spark, SF).collect()}
+    given = {r.doc_id: (r.text or "", r.lang) for r in docs.collect()}
+    assert set(rows) == set(given)
+    held = [(r.lang_pred, given[i][1]) for i, r in rows.items() if r.held_out and any(map(str.isalpha, given[i][0]))]
+    assert len(held) > 100 and sum(a == b for a, b in held) >= 0.98 * len(held)
+    model = L.fit(docs)
+    for i, (text, _) in sorted(given.items())[:40]:
+        words = text.split()[:400] if len(text.split()) <= 400 else []
+        if not words:
+            continue
+        scores, n = model.scores(words)
+        best = [(float(s), [k]) for k, s in enumerate(scores[0])]
+        for row in scores[1:]:
+            top = max(range(len(best)), key=lambda k: best[k][0])
+            best = [((b, p) if b >= best[top][0] - L.SWITCH else (best[top][0] - L.SWITCH, best[top][1])) for b, p in best]
+            best = [(b + float(s), [*p, k]) for k, ((b, p), s) in enumerate(zip(best, row))]
+        path = max(best, key=lambda x: x[0])[1]
+        by = np.bincount(path, n, minlength=len(model.langs))
+        assert rows[i].lang_pred == model.langs[int(by.argmax())] and abs(rows[i].score - by.max() / by.sum()) < 1e-6
+
+
 # --- pages
 
 

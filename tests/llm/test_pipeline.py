@@ -88,3 +88,29 @@ def test_every_row_comes_out(spark, name):
     table = "pages" if key == "page_id" else "documents"
     wanted = {r[0] for r in spark.read.parquet(f"{SF}/{table}.parquet").select(key).collect()}
     assert {r[0] for r in out.select(key).collect()} == wanted
+
+
+CONTRACT = {
+    "op1": "doc_id n_bytes payload_bytes payload_sha256 tail_crc32 media_bytes media_sha256 feature", "op2": "doc_id keep_id group_size kept text_sha256",
+    "op3": "doc_id n_email n_ip n_card n_phone base_sha256 spans", "op4": "doc_id start length ids_crc32 doc_tokens sequence_id offset", "op5": "page_id url text n_chars",
+    "op6": "doc_id held_out score predicted", "op7": "doc_id held_out lang_pred score", "op8": "doc_id n_bytes n_removed n_spans kept_sha256",
+    "op9": "doc_id n_tokens ids_sha256 decoded_sha256", "op10": "doc_id fingerprint component_id",
+}
+TAKEN = "ids key bucket n mark fp anchor piece spans kept low hash score lang_pred run digest at none sha id y order host path shared part copy root u v".split()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_odd_rows_and_taken_names(spark, make, odd, tmp_path, name):
+    """Every query over nulls, ties, repeats and long texts, beside columns that have the names it uses itself."""
+    docs = make(odd).selectExpr("*", *[f"'{c}' AS `{c}`" for c in TAKEN])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    pages = docs.selectExpr("doc_id AS page_id", "concat('http://a.x/', doc_id) AS url", "text AS html", *[f"`{c}`" for c in TAKEN])
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    spark.createDataFrame([(5, 1, 0), (6, 0, None)], "doc_id long, quality int, toxic int").selectExpr("*", "1 AS id", "2 AS y").write.parquet(str(tmp_path / "labels.parquet"))
+    out = QUERIES[name](spark, str(tmp_path))
+    first = CONTRACT[name.split("_")[0]].split()
+    assert out.columns[: len(first)] == first
+    rows = out.collect()
+    ids = sorted((r[0] if r[0] is not None else -1) for r in rows)
+    wanted = sorted((i if i is not None else -1) for i, _ in odd)
+    assert ids == wanted if not name.startswith("op4") else set(ids) == set(wanted)
