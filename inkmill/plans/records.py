@@ -228,7 +228,7 @@ def outline_join(spark, sf_dir):
 
 # --- rights ----------------------------------------------------------------------------------------------------------
 
-_ENTRY = "slug string, title string, author string, translator string, license string, license_url string, rights_note string, source_url string, author_death_year int, author_dates string, notes string"
+ENTRY = "slug string, title string, author string, translator string, license string, license_url string, rights_note string, source_url string, author_death_year int, author_dates string, notes string"
 ENTRIES = [
     ("src0", "Truyện Kiều", "Nguyễn Du", "", "public-domain", "u", "n", "s", None, "1765–1820", ""), ("src1", "A", "Ngô Tất Tố", "", "Public Domain", "u", "n", "s", None, "1894–1954", ""),
     ("src2", "B", "X", "", "public-domain", "u", "n", "s", None, "", "the author died 1960"), ("src3", "C", "Y", "Mary Shelley", "CC0", "", " ", "s", None, "", ""),
@@ -236,10 +236,10 @@ ENTRIES = [
     ("src6", "E", "V", "", "public domain", "u", "n", "s", 1900, "", ""), ("src7", "F", "U", "", "pdm", "u", "n", "s", None, "1900 - 1970", "(1850-1890)"),
     ("none1", "G", "T", "", "cc0", "u", "n", "s", None, "", ""), ("none2", "H", "S", "", "unknown", "u", "n", "s", None, "", "(1850–1890)"),
 ]
-_COLUMNS = [x.split()[0] for x in _ENTRY.split(", ")]
-_ENTRY_ROWS = "(VALUES " + ", ".join("(" + ", ".join(quoted(x) if isinstance(x, str) or x is None else str(x) for x in e) + ")" for e in ENTRIES) + f") AS e({', '.join(_COLUMNS)})"
+_COLUMNS = [x.split()[0] for x in ENTRY.split(", ")]
+ENTRY_ROWS = "(VALUES " + ", ".join("(" + ", ".join(quoted(x) if isinstance(x, str) or x is None else str(x) for x in e) + ")" for e in ENTRIES) + f") AS e({', '.join(_COLUMNS)})"
 _PROSE = "SELECT source AS slug, sum(strlen(text))::BIGINT AS prose_bytes, count(*) AS text_files FROM documents GROUP BY source"
-_FREE = "lower(trim(license)) IN ('cc0', 'public-domain', 'public domain', 'pdm')"
+FREE = "lower(trim(license)) IN ('cc0', 'public-domain', 'public domain', 'pdm')"
 _DOMAIN = "lower(trim(license)) IN ('public-domain', 'public domain', 'pdm')"
 _DIED = (
     "coalesce(author_death_year, CASE WHEN regexp_matches(author_dates, '(?:1[6-9]\\d\\d|20[0-2]\\d)\\s*[–\\-—]') THEN list_last(regexp_extract_all(author_dates, '1[0-9]{3}|20[0-2][0-9]'))::INT END, "
@@ -248,15 +248,15 @@ _DIED = (
 _NAMES = "lower(slug || ' ' || title || ' ' || author || ' ' || translator || ' ' || source_url)"
 _MISSING = ", ".join(f"CASE WHEN trim({c}) = '' THEN 'missing:{c}' END" for c in ("slug", "title", "author", "license", "license_url", "rights_note"))
 _FOUND = (
-    f"list_filter([{_MISSING}, CASE WHEN license <> '' AND NOT {_FREE} THEN 'licence:' || license END, CASE WHEN contains({_NAMES}, 'ngô tất tố') THEN 'denied:ngô tất tố' END, CASE WHEN contains({_NAMES}, 'mary shelley') THEN 'denied:mary shelley' END, "
-    f"CASE WHEN {_DOMAIN} AND {_DIED} IS NULL THEN 'no-death-year' END, CASE WHEN {_DOMAIN} AND {_DIED} > 1955 THEN 'died:' || {_DIED} END, CASE WHEN NOT {_FREE} AND prose_bytes > 0 THEN 'prose-without-licence' END, CASE WHEN text_files = 0 THEN 'no-text-files' END], lambda x: x IS NOT NULL)"
+    f"list_filter([{_MISSING}, CASE WHEN license <> '' AND NOT {FREE} THEN 'licence:' || license END, CASE WHEN contains({_NAMES}, 'ngô tất tố') THEN 'denied:ngô tất tố' END, CASE WHEN contains({_NAMES}, 'mary shelley') THEN 'denied:mary shelley' END, "
+    f"CASE WHEN {_DOMAIN} AND {_DIED} IS NULL THEN 'no-death-year' END, CASE WHEN {_DOMAIN} AND {_DIED} > 1955 THEN 'died:' || {_DIED} END, CASE WHEN NOT {FREE} AND prose_bytes > 0 THEN 'prose-without-licence' END, CASE WHEN text_files = 0 THEN 'no-text-files' END], lambda x: x IS NOT NULL)"
 )
-_BOOKS = f"SELECT e.*, coalesce(prose_bytes, 0) AS prose_bytes, coalesce(text_files, 0) AS text_files FROM {_ENTRY_ROWS} LEFT JOIN ({_PROSE}) p USING (slug)"
+_BOOKS = f"SELECT e.*, coalesce(prose_bytes, 0) AS prose_bytes, coalesce(text_files, 0) AS text_files FROM {ENTRY_ROWS} LEFT JOIN ({_PROSE}) p USING (slug)"
 
 
 def _found_problems(spark, sf_dir) -> DataFrame:
     prose = table(spark, sf_dir, "documents").groupBy(F.col("source").alias("slug")).agg(F.sum(F.octet_length("text")).alias("prose_bytes"), F.count(F.lit(1)).alias("text_files"))
-    rows = spark.createDataFrame(ENTRIES, _ENTRY).join(prose, "slug", "left").fillna(0, ["prose_bytes", "text_files"])
+    rows = spark.createDataFrame(ENTRIES, ENTRY).join(prose, "slug", "left").fillna(0, ["prose_bytes", "text_files"])
     book = {c: F.col(c) for c in _COLUMNS} | {"blob": F.col("notes")}
     return rows.select("slug", R.problems(book, F.col("prose_bytes"), F.col("text_files")).alias("problems"))
 
@@ -280,14 +280,14 @@ _CHAPTERS = RENDERED + (
 )
 
 
-def _book_sections(spark, sf_dir) -> DataFrame:
+def book_sections(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("source").alias("slug"), F.col("doc_id").alias("pos"), F.concat(F.lit("Chương "), "lang").alias("title"), "text")
 
 
-@query(_CHAPTERS.replace(", b AS (SELECT doc_id, string_agg(para", ", y AS (SELECT doc_id, string_agg(para").replace("LEFT JOIN b USING (doc_id)", "LEFT JOIN y USING (doc_id)") + f"SELECT e.slug, CASE WHEN {_DOMAIN} THEN 'public-domain' ELSE 'cc0' END AS license, 'books/' || e.slug || '/text/' || e.slug || '.md' AS text_path, 'extracted' AS status, b.index, b.chapter_slug, b.title, 'books/' || e.slug || '/text/' || b.chapter_slug || '.md' AS source_path, b.word_count, sum(b.word_count) OVER (PARTITION BY e.slug)::BIGINT AS total_words FROM (SELECT * FROM {_ENTRY_ROWS} WHERE {_FREE}) e JOIN b ON b.slug = e.slug")
+@query(_CHAPTERS.replace(", b AS (SELECT doc_id, string_agg(para", ", y AS (SELECT doc_id, string_agg(para").replace("LEFT JOIN b USING (doc_id)", "LEFT JOIN y USING (doc_id)") + f"SELECT e.slug, CASE WHEN {_DOMAIN} THEN 'public-domain' ELSE 'cc0' END AS license, 'books/' || e.slug || '/text/' || e.slug || '.md' AS text_path, 'extracted' AS status, b.index, b.chapter_slug, b.title, 'books/' || e.slug || '/text/' || b.chapter_slug || '.md' AS source_path, b.word_count, sum(b.word_count) OVER (PARTITION BY e.slug)::BIGINT AS total_words FROM (SELECT * FROM {ENTRY_ROWS} WHERE {FREE}) e JOIN b ON b.slug = e.slug")
 def book_records(spark, sf_dir):
     """Catalog entries with an allowed licence joined with their chapters; one row per chapter of each record."""
-    books = B.assemble_books(spark.createDataFrame(ENTRIES, _ENTRY), _book_sections(spark, sf_dir))
+    books = B.assemble_books(spark.createDataFrame(ENTRIES, ENTRY), book_sections(spark, sf_dir))
     rows = books.select("slug", "license", "text_path", "status", "total_words", F.explode("chapters").alias("c"))
     return rows.select("slug", "license", "text_path", "status", "c.index", F.col("c.slug").alias("chapter_slug"), "c.title", "c.source_path", "c.word_count", "total_words")
 
@@ -295,17 +295,17 @@ def book_records(spark, sf_dir):
 @query(_CHAPTERS.replace(", b AS (SELECT doc_id, string_agg(para", ", y AS (SELECT doc_id, string_agg(para").replace("LEFT JOIN b USING (doc_id)", "LEFT JOIN y USING (doc_id)") + "SELECT slug, sha256(string_agg(regexp_replace(markdown, '^\\n+|\\n+$', '', 'g'), chr(10) || chr(10) ORDER BY index) || chr(10)) AS whole, count(*) AS n FROM b GROUP BY slug")
 def whole_books(spark, sf_dir):
     """Each book's chapters joined in order, as a digest."""
-    rows = B.chapters_of(_book_sections(spark, sf_dir)).withColumn("index", F.col("index").cast("int"))
+    rows = B.chapters_of(book_sections(spark, sf_dir)).withColumn("index", F.col("index").cast("int"))
     counts = rows.groupBy("slug").agg(F.count(F.lit(1)).alias("n"))
     return K.assembled(rows, "slug", "index", "markdown").select("slug", F.sha2("text", 256).alias("whole")).join(counts, "slug")
 
 
-@query(f"SELECT slug, title, author, lower(license) AS license, {len(ENTRIES)} - row_number() OVER (ORDER BY slug DESC) + 1 AS ord FROM {_ENTRY_ROWS}")
+@query(f"SELECT slug, title, author, lower(license) AS license, {len(ENTRIES)} - row_number() OVER (ORDER BY slug DESC) + 1 AS ord FROM {ENTRY_ROWS}")
 def book_round_trip(spark, sf_dir):
     """Records written as JSON and read back, in order of their slugs."""
     from pyspark.sql import Window
 
-    rows = spark.createDataFrame(ENTRIES, _ENTRY).withColumn("license", F.lower("license"))
+    rows = spark.createDataFrame(ENTRIES, ENTRY).withColumn("license", F.lower("license"))
     back = B.parse_books(B.book_json(rows), extended=True)
     return back.select("slug", "title", "author", "license", F.row_number().over(Window.orderBy("slug")).cast("long").alias("ord"))
 
@@ -382,7 +382,7 @@ _COUNTS = "SELECT source AS slug, count(*) AS have FROM documents GROUP BY sourc
 @query(
     f"SELECT slug, 0 AS index, 'chapter-count' AS rule, coalesce(have, 0)::VARCHAR AS detail FROM {_CHECKED_ROWS} LEFT JOIN ({_COUNTS}) USING (slug) WHERE expect_chapters <> coalesce(have, 0) "
     f"UNION ALL SELECT slug, 0, 'blocked-text', status FROM {_CHECKED_ROWS} SEMI JOIN ({_COUNTS}) USING (slug) WHERE status LIKE 'blocked%' UNION ALL SELECT slug, 0, 'machine-translated', translate_mode FROM {_CHECKED_ROWS} WHERE translate_mode IN ('command', 'http') "
-    f"UNION ALL SELECT k.slug, 0, 'provenance', 'license' FROM {_CHECKED_ROWS} JOIN {_ENTRY_ROWS} ON k.slug = e.slug WHERE k.license <> e.license "
+    f"UNION ALL SELECT k.slug, 0, 'provenance', 'license' FROM {_CHECKED_ROWS} JOIN {ENTRY_ROWS} ON k.slug = e.slug WHERE k.license <> e.license "
     "UNION ALL SELECT source, 0, 'whole-is-parts', '' FROM (SELECT source, string_agg(regexp_replace(text, '^\\n+|\\n+$', '', 'g'), chr(10) || chr(10) ORDER BY doc_id) || chr(10) AS t FROM documents GROUP BY source) WHERE length(t) % 2 = 0"
 )
 def book_checks(spark, sf_dir):
@@ -391,7 +391,7 @@ def book_checks(spark, sf_dir):
     # wholes of an even length get a letter that their parts don't have
     whole = K.assembled(ch, "slug", "index", "markdown")
     whole = whole.withColumn("text", F.when(F.length("text") % 2 == 0, F.concat("text", F.lit("x"))).otherwise(F.col("text")))
-    catalog = spark.createDataFrame(ENTRIES, _ENTRY).select("slug", "license")
+    catalog = spark.createDataFrame(ENTRIES, ENTRY).select("slug", "license")
     found = [Q.chapter_count(books, ch), Q.blocked_have_no_text(books, ch), Q.machine_translated(books), Q.provenance(books, catalog, ["license"]), Q.whole_is_parts(whole, ch)]
     out = found[0]
     for more in found[1:]:
