@@ -85,10 +85,13 @@ STEPS = [
 _PREFIX = rf"^[{SP}]*[0-9]{{1,3}}(?:\.[0-9]{{1,3}})+(\.[{SP}]*|[{SP}]+)(\p{{L}})"
 
 
-@query(
-    f"SELECT doc_id, array_to_string(list_transform({LINES('text')}, lambda s: CASE WHEN regexp_matches(s, '{_PREFIX}') AND (regexp_extract(s, '{_PREFIX}', 1) LIKE '.%' OR regexp_matches(regexp_extract(s, '{_PREFIX}', 2), '\\p{{Lu}}')) "
-    f"THEN {STRIP(f'''regexp_replace(s, '{_PREFIX}', '\\2')''')} ELSE s END), chr(10)) AS text FROM {texts_sql(STEPS)}"
+SECTION_NUMBERS = (
+    f"array_to_string(list_transform({LINES('text')}, lambda s: CASE WHEN regexp_matches(s, '{_PREFIX}') AND (regexp_extract(s, '{_PREFIX}', 1) LIKE '.%' OR regexp_matches(regexp_extract(s, '{_PREFIX}', 2), '\\p{{Lu}}')) "
+    f"THEN {STRIP(f'''regexp_replace(s, '{_PREFIX}', '\\2')''')} ELSE s END), chr(10))"
 )
+
+
+@query(f"SELECT doc_id, {SECTION_NUMBERS} AS text FROM {texts_sql(STEPS)}")
 def section_numbers(spark, sf_dir):
     return texts(spark, sf_dir, STEPS).select("doc_id", G.section_number_lines("text").alias("text"))
 
@@ -96,7 +99,10 @@ def section_numbers(spark, sf_dir):
 _SAID = "map {" + ", ".join(f"{quoted(k)}: {quoted(v)}" for k, v in G.PRONUNCIATIONS.items()) + "}"
 
 
-@query(f"SELECT doc_id, array_to_string(list_transform({LINES('text')}, lambda s: CASE WHEN {_SHOUTED} THEN s ELSE array_to_string(list_transform(regexp_extract_all(s, '[{A}]+(?:&[{A}]+)*|[^{A}]+'), lambda t: coalesce({_SAID}[t], t)), '') END), chr(10)) AS text FROM {texts_sql(STEPS)}")
+SPOKEN = f"array_to_string(list_transform({LINES('text')}, lambda s: CASE WHEN {_SHOUTED} THEN s ELSE array_to_string(list_transform(regexp_extract_all(s, '[{A}]+(?:&[{A}]+)*|[^{A}]+'), lambda t: coalesce({_SAID}[t], t)), '') END), chr(10))"
+
+
+@query(f"SELECT doc_id, {SPOKEN} AS text FROM {texts_sql(STEPS)}")
 def spoken_acronyms(spark, sf_dir):
     return texts(spark, sf_dir, STEPS).select("doc_id", G.pronunciations("text").alias("text"))
 
@@ -109,20 +115,24 @@ _JOINED = (
 )
 
 
-@query(
-    f"WITH l AS (SELECT doc_id, i, s, string_split_regex(s, '[ \\t]*(?:→|⇒|⟶|➔|➜|=>|[ \\t]->)[ \\t]*') AS parts FROM ({_SPLIT(texts_sql(STEPS))})) "
-    f"SELECT doc_id, string_agg(CASE WHEN len(parts) = 1 THEN s ELSE regexp_replace(({_JOINED})[1], '[ ,]+$', '') END, chr(10) ORDER BY i) AS text FROM l GROUP BY doc_id"
-)
+def arrows_step(source: str) -> str:
+    return (
+        f"SELECT doc_id, string_agg(CASE WHEN len(parts) = 1 THEN s ELSE regexp_replace(({_JOINED})[1], '[ ,]+$', '') END, chr(10) ORDER BY i) AS text FROM ("
+        f"SELECT doc_id, i, s, string_split_regex(s, '[ \\t]*(?:→|⇒|⟶|➔|➜|=>|[ \\t]->)[ \\t]*') AS parts FROM ({_SPLIT(source)})) GROUP BY doc_id"
+    )
+
+
+@query(arrows_step(texts_sql(STEPS)))
 def arrows_read(spark, sf_dir):
     return texts(spark, sf_dir, STEPS).select("doc_id", G.arrows("text").alias("text"))
 
 
 _TOKENS = lambda x: f"regexp_extract_all({x}, '[{AW}]+|[^{AW}]+')"
 _NUMBER = small_sql("regexp_extract(t, '^[0-9]+')::BIGINT")
-_MARKETING = lambda x: f"array_to_string(list_transform({_TOKENS(x)}, lambda t: CASE WHEN regexp_full_match(t, '[0-9]{{1,2}}Ps?') THEN {_NUMBER} || ' Pê' ELSE t END), '')"
+MARKETING = lambda x: f"array_to_string(list_transform({_TOKENS(x)}, lambda t: CASE WHEN regexp_full_match(t, '[0-9]{{1,2}}Ps?') THEN {_NUMBER} || ' Pê' ELSE t END), '')"
 
 
-@query(f"SELECT doc_id, {_MARKETING('text')} AS text FROM {texts_sql(STEPS)}")
+@query(f"SELECT doc_id, {MARKETING('text')} AS text FROM {texts_sql(STEPS)}")
 def marketing_letters(spark, sf_dir):
     return texts(spark, sf_dir, STEPS).select("doc_id", G.marketing_p("text").alias("text"))
 
@@ -435,12 +445,12 @@ _UNWRAPPED = (
 _HYPHENS = f"regexp_replace(regexp_replace(text, '\\r\\n?', chr(10), 'g'), '([{AW}])-\\n[ \\t]*([a-zà-ỹ])', '\\1\\2', 'g')"
 
 
-def _chain(source: str, *steps: str, final: str = "SELECT doc_id, text FROM {last}") -> str:
+def chain(source: str, *steps: str, final: str = "SELECT doc_id, text FROM {last}") -> str:
     return "WITH " + _steps(source, *steps) + " " + final.replace("{last}", f"s{len(steps)}")
 
 
 WRAPPED = ["Một dòng\ntiếp theo. \nHai\n\n\nChương 2\nba chuyến-\ntàu đi.\nTựa\n===\nx", "a b\nc d\n---\nMột câu.\n=====\n\n# x\ny \n z"]
-SQL["wrapped_lines"] = _chain(texts_sql(WRAPPED), _HYPHENS, _UNWRAPPED)
+SQL["wrapped_lines"] = chain(texts_sql(WRAPPED), _HYPHENS, _UNWRAPPED)
 _GUTTERS = lambda x: f"regexp_replace({x}, '([^{SP}0-9])[ \\t]{{2,}}([^{SP}])', '\\1 \\2', 'g')"
 _LAYOUT = f"array_to_string(list_transform({LINES('text')}, lambda s: regexp_replace(s, '[{SP}]+$', '')), chr(10))"
 _LABELS = f"array_to_string(list_transform(list_filter({LINES("replace(text, chr(12), chr(10) || chr(10))")}, lambda s: NOT regexp_full_match({STRIP('s')}, '(?i)(?:đ[èe]o trang[ \\t]+[0-9]+|trang[ \\t]+[0-9]+|[0-9]+)')), lambda s: regexp_replace(s, '[{SP}]+$', '')), chr(10))"
@@ -451,13 +461,13 @@ _NO_PAGES = (
     f"SELECT doc_id, s, i, {_RUNNING} AS h FROM ({_SPLIT('{prev}')}) WHERE NOT {_NUMBERED})) USING (doc_id) GROUP BY o.doc_id"
 )
 PDFS = ["Cột một    cột hai\n\f12\nTrang 3\nđèo trang 4\nmột câu\ndài. 5    6\nĐầu\na.\nĐầu\nb.\nĐầu\nc.\nĐầu\nd.\nĐầu\ne."]
-SQL["pdf_cleaned"] = _chain(texts_sql(PDFS), _GUTTERS(_GUTTERS(_LAYOUT)), _LABELS, _NO_PAGES, _HYPHENS, _UNWRAPPED, f"SELECT doc_id, {SANITIZED} AS text FROM {{prev}}")
+SQL["pdf_cleaned"] = chain(texts_sql(PDFS), _GUTTERS(_GUTTERS(_LAYOUT)), _LABELS, _NO_PAGES, _HYPHENS, _UNWRAPPED, f"SELECT doc_id, {SANITIZED} AS text FROM {{prev}}")
 
-_ROMAN_STEP = (
+ROMAN_STEP = (
     f"SELECT doc_id, array_to_string(list_transform(range(1, len(p) + 1), lambda i: p[i] || CASE WHEN i = len(p) THEN '' WHEN (i + 1 = len(p) AND p[i + 1] = '' OR regexp_matches(p[i + 1], '^[{SP}.,:;)\\]!?]')) AND {roman_sql('r[i]')} BETWEEN 1 AND 20 "
     f"THEN h[i] || ' ' || {UP_TO_20}[{roman_sql('r[i]')}] ELSE m[i] END), '') AS text FROM (SELECT doc_id, string_split_regex(text, '{HEADED}') AS p, regexp_extract_all(text, '{HEADED}', 0) AS m, regexp_extract_all(text, '{HEADED}', 1) AS h, regexp_extract_all(text, '{HEADED}', 2) AS r FROM {{prev}})"
 )
-_SIGNS = rf"regexp_replace(regexp_replace(text, '(^|[^{AW}])([A-Z])-([{SP},.;:!?)\]→]|$)', '\1\2 trừ\3', 'g'), '(^|[^{AW}])([A-Z])\+([{SP},.;:!?)\]→]|$)', '\1\2 cộng\3', 'g')"
-_MARKS = "regexp_replace(translate(regexp_replace(coalesce(text, ''), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f\\x{200b}-\\x{200d}\\x{2060}\\x{feff}]', '', 'g'), '\"“”„‟', ''), '[ \\t]{2,}', ' ', 'g')"
+SIGNS = rf"regexp_replace(regexp_replace(text, '(^|[^{AW}])([A-Z])-([{SP},.;:!?)\]→]|$)', '\1\2 trừ\3', 'g'), '(^|[^{AW}])([A-Z])\+([{SP},.;:!?)\]→]|$)', '\1\2 cộng\3', 'g')"
+MARKS = "regexp_replace(translate(regexp_replace(coalesce(text, ''), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f\\x{200b}-\\x{200d}\\x{2060}\\x{feff}]', '', 'g'), '\"“”„‟', ''), '[ \\t]{2,}', ' ', 'g')"
 _ENDS = STRIP(f"regexp_replace({SQUEEZE}, '^[{SP}#=*_]+|[{SP}#=*_]+$', '', 'g')")
-SQL["reading_titles"] = _chain(f"(SELECT p_partkey AS doc_id, p_name AS text FROM part UNION ALL SELECT * FROM {values(READINGS)})", _MARKS, ABBREVIATED, _ROMAN_STEP, _SIGNS, _MARKETING("text"), _ENDS, final="SELECT doc_id, text AS title FROM {last}")
+SQL["reading_titles"] = chain(f"(SELECT p_partkey AS doc_id, p_name AS text FROM part UNION ALL SELECT * FROM {values(READINGS)})", MARKS, ABBREVIATED, ROMAN_STEP, SIGNS, MARKETING("text"), _ENDS, final="SELECT doc_id, text AS title FROM {last}")
