@@ -454,9 +454,12 @@ def wrapped_lines(spark, sf_dir):
     return texts(spark, sf_dir, WRAPPED).select("doc_id", K.join_wrapped_lines("text").alias("text"))
 
 
+MARKED = ["# A\n> q\n- b\n1. c\nT\n---\n```\ncode\n```\nz", "## B ##\r\n* x\n  + y\n12) z\n\n---\n***\n ===\n####### no\n```\n# in\n---", "a\n=====\nb  \n~~~\n"]
+
+
 @query()
 def markdown_text(spark, sf_dir):
-    return texts(spark, sf_dir, ["# A\n> q\n- b\n1. c\nT\n---\n```\ncode\n```\nz"]).select("doc_id", K.parse_markdown("text").alias("text"))
+    return texts(spark, sf_dir, MARKED).select("doc_id", K.parse_markdown("text").alias("text"))
 
 
 def _sections(spark, sf_dir) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from inkmill.operators import gloss as G
-from inkmill.plans.catalog import ABBREVIATED, LINES, READINGS, SP, SQL, SQUEEZE, STRIP, TOLD, query, small_sql, texts, texts_sql
+from inkmill.plans.catalog import ABBREVIATED, LINES, MARKED, READINGS, SP, SQL, SQUEEZE, STRIP, TOLD, query, small_sql, texts, texts_sql
 from inkmill.plans.records import MARKETING, MARKS, ROMAN_STEP, SECTION_NUMBERS, SIGNS, SPOKEN, arrows_step, chain
 
 A, AW = r"\p{L}\p{N}", r"\p{L}\p{N}_"
@@ -118,3 +118,23 @@ for _ in range(2):
 SQL["reading_script"] = chain(
     texts_sql([*READINGS, *TOLD]), MARKS, _PAGES, SECTION_NUMBERS, _LISTS, ABBREVIATED, SPOKEN, _AND, arrows_step("{prev}"), SLASHES, _TO, COLONS, ROMAN_STEP, SIGNS, MARKETING("text"), _LONE, NUMBERS, STRIP(SQUEEZE)
 )
+
+
+# --- markdown --------------------------------------------------------------------------------------------------------
+
+_ITEM = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(s, '^\\s*>\\s?', ''), '^\\s*[*+-]\\s+', ''), '^\\s*[0-9]+[.)]\\s+', ''), '^\\s*[*_]{3,}\\s*$', '')"
+_HASH = f"^(#{{1,6}})[{SP}]+(.*[^{SP}])[{SP}]*#*[{SP}]*$"
+_MARK = f"repeat('=', least(length(regexp_extract(r, '{_HASH}', 1)) + 1, 4)::INT)"
+#: Underlines make a heading of the line before them, if that says something, each once more; one without such a line
+#: is a line itself. A line and the underlines after it are an island.
+SQL["markdown_text"] = (
+    f"WITH l AS (SELECT doc_id, i, s, regexp_replace(s, '[{SP}]+$', '') AS r, CASE WHEN regexp_matches(s, '^[{SP}]*```') THEN 1 ELSE 0 END AS f FROM (SELECT doc_id, unnest({LINES('text')}) AS s, generate_subscripts({LINES('text')}, 1) AS i FROM "
+    f"(SELECT doc_id, replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS text FROM {texts_sql(MARKED)}))), "
+    "p AS (SELECT *, f = 1 OR sum(f) OVER (PARTITION BY doc_id ORDER BY i) % 2 = 1 AS code FROM l), "
+    f"o AS (SELECT *, NOT code AND NOT regexp_matches(r, '{_HASH}') AND regexp_matches(r, '^(?:={{3,}}|-{{3,}}|~{{3,}}|\\*{{3,}}|_{{3,}})\\s*$') AS under, "
+    f"CASE WHEN code THEN '' WHEN regexp_matches(r, '{_HASH}') THEN {_MARK} || ' ' || {STRIP(f'''regexp_extract(r, '{_HASH}', 2)''')} || ' ' || {_MARK} ELSE {_ITEM} END AS out FROM p), "
+    "g AS (SELECT *, sum(CASE WHEN under THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS island FROM o), "
+    f"u AS (SELECT *, under AND coalesce(bool_or({STRIP('out')} <> '') OVER (PARTITION BY doc_id, island ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS makes FROM g), "
+    "h AS (SELECT *, count(*) FILTER (makes) OVER (PARTITION BY doc_id, island) AS n FROM u) "
+    f"SELECT doc_id, coalesce(string_agg(CASE WHEN n > 0 AND {STRIP('out')} <> '' THEN repeat('== ', n) || {STRIP('out')} || repeat(' ==', n) ELSE out END, chr(10) ORDER BY i) FILTER (NOT makes), '') AS text FROM h GROUP BY doc_id"
+)
