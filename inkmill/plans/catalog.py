@@ -170,9 +170,18 @@ def name_keys(spark, sf_dir):
     f"SELECT name, row_number() OVER (ORDER BY regexp_replace(regexp_replace(lower(name), '([0-9]+)', '{'0' * 20}\\1', 'g'), '[0-9]*([0-9]{{20}})', '\\1', 'g'), name) AS ord FROM (SELECT DISTINCT s_name AS name FROM supplier)"
 )
 def natural_order(spark, sf_dir):
-    """A rank over all rows is one partition by nature; suppliers' distinct names are few."""
+    """A rank over all rows without a task that sees them all: ranges in order, numbered from where the ones before end."""
+    key = T.natural_key("name")
     rows = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name")).distinct()
-    return rows.withColumn("ord", F.row_number().over(Window.orderBy(T.natural_key("name"), "name")).cast("long"))
+    # kept, so that both readings see the same ranges
+    dealt = rows.select("name", key.alias("key")).repartitionByRange("key", "name").select("name", "key", F.spark_partition_id().alias("part")).persist()
+    ends, at = [], 0
+    for part, n in sorted((r.part, r["count"]) for r in dealt.groupBy("part").count().collect()):  # a number for each partition
+        ends.append((part, at))
+        at += n
+    within = F.row_number().over(Window.partitionBy("part").orderBy("key", "name"))
+    start = F.try_element_at(F.create_map(*[F.lit(x) for pair in ends for x in pair]), F.col("part")) if ends else F.lit(0)
+    return dealt.select("name", (within + start).cast("long").alias("ord"))
 
 
 URLS = ["https://vi.wikisource.org/wiki/Truy%E1%BB%87n_Ki%E1%BB%81u", "Foo_Bar#part", "https://x.org/wiki/A+B?x=1#y"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from inkmill.functions import text as T
 from inkmill.operators import books as B
+from inkmill.operators import markup as M
 from inkmill.operators import translate as X
 from inkmill.operators import wikitext as W
 from inkmill.plans.catalog import LINES, SP, STRIP, WORDS, query, table, texts, texts_sql
@@ -145,6 +146,25 @@ def wiki_inline(spark, sf_dir):
     return texts(spark, sf_dir, INLINE).select("doc_id", W.strip_wikitext("text").alias("text"))
 
 
+# --- pages -----------------------------------------------------------------------------------------------------------
+
+_INNER = r"regexp_extract(html, '(?s)<article[^>]*>(.*)</article>', 1)"
+_DECODED = "t"
+for _p, _to in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&#x27;", "''"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]:
+    _DECODED = f"replace({_DECODED}, '{_p}', '{_to}')"
+_SAID = f"list_filter(list_transform(list_filter(regexp_extract_all(b, '<br>|<[^>]*>|[^<]+'), lambda t: t = '<br>' OR t NOT LIKE '<%'), lambda t: CASE WHEN t = '<br>' THEN chr(10) ELSE {_DECODED} END), lambda t: t = chr(10) OR {STRIP('t')} <> '')"
+
+
+@query(
+    f"SELECT page_id, array_to_string(list_concat(['== ' || regexp_replace({STRIP(f"regexp_replace(regexp_extract(h, '(?s)<h1>(.*?)</h1>', 1), '<[^>]*>', '', 'g')")}, '[{SP}]+', ' ', 'g') || ' =='], "
+    f"flatten(list_transform(list_filter(string_split(a, '<p>')[2:], lambda b: len(list_filter({_SAID}, lambda u: {STRIP('u')} <> '')) > 0), lambda b: [array_to_string({_SAID}, chr(10)), chr(10)]))), chr(10)) AS text "
+    f"FROM (SELECT page_id, {_INNER} AS a, replace(replace(replace(replace({_INNER}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&') AS h FROM pages)"
+)
+def page_text(spark, sf_dir):
+    """The article of each page as plain text with its heading."""
+    return table(spark, sf_dir, "pages").select("page_id", M.html_text("html").alias("text"))
+
+
 # --- translation -----------------------------------------------------------------------------------------------------
 
 _BATCHES = "list_reduce(list_transform(string_split(text, chr(10) || chr(10)), lambda p: [p]), lambda d, s: CASE WHEN length(d[len(d)]) + 2 + length(s[1]) <= 3000 THEN list_append(d[1:len(d)-1], d[len(d)] || chr(10) || chr(10) || s[1]) ELSE list_concat(d, s) END)"
