@@ -283,13 +283,13 @@ def running_heads(spark, sf_dir):
 
 HEADINGS = ["== Một ==\n=== Hai ===\n# Ba\n### Bốn #\nvăn\n==x==", "CHƯƠNG MỘT\n../II\nAB\nHEAD OF THE PAGE\nNot This One\nABC def"]
 _UPPER, _LETTERS = "length(regexp_replace(s, '[^\\p{Lu}]', '', 'g'))", "length(regexp_replace(s, '[^\\p{L}]', '', 'g'))"
-_CAPS = (
+CAPS = (
     f"{WORDS('s')} BETWEEN 1 AND 8 AND length(s) <= 80 AND NOT contains(s, '/') AND NOT regexp_matches(s, '^[{SP}]*[.#|\\[*]') AND {_LETTERS} >= 2 AND {_UPPER} * 5 >= {_LETTERS} * 4 "
     f"AND len(list_filter(regexp_split_to_array(s, '[{SP}]+'), lambda w: length(regexp_replace(w, '[^{AW}]', '', 'g')) >= 3)) > 0"
 )
 
 
-@query(f"SELECT doc_id, s AS line, count(*) AS n FROM (SELECT doc_id, unnest({LINES('text')}) AS s FROM {texts_sql(HEADINGS)}) WHERE {_CAPS} GROUP BY ALL")
+@query(f"SELECT doc_id, s AS line, count(*) AS n FROM (SELECT doc_id, unnest({LINES('text')}) AS s FROM {texts_sql(HEADINGS)}) WHERE {CAPS} GROUP BY ALL")
 def caps_headings(spark, sf_dir):
     rows = texts(spark, sf_dir, HEADINGS).select("doc_id", F.explode(T.lines("text")).alias("line")).filter(C.is_caps_heading("line"))
     return rows.groupBy("doc_id", "line").agg(F.count(F.lit(1)).alias("n"))
@@ -471,13 +471,17 @@ def markdown_text(spark, sf_dir):
     return texts(spark, sf_dir, MARKED).select("doc_id", K.parse_markdown("text").alias("text"))
 
 
-def _sections(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", K.detect_chapters("text").alias("sections"))
+CHAPTERED = [
+    "một hai ba bốn năm sáu bảy tám chín\n== A ==\n" + "b " * 50 + "\n== B ==\nngắn\n# C\n" + "c " * 60 + "\nGhi chú\nbỏ đi\n== Nguồn ==\nz",
+    "Chương 1\n" + "a " * 45 + "\nTựa đề\n-----\n" + "b " * 41 + "\nCHƯƠNG BA ĐÂY\n" + "d " * 10, "12.\n" + "a " * 50 + "\n13.\n" + "e " * 44, "12.\n" + "a " * 4100 + "\n13\nx", "Mục lục\nx", "ngắn",
+    "# A\nmột\n# B\nhai ba\n# C\nbốn", "", " \n ",
+]
 
 
 @query()
 def detected_chapters(spark, sf_dir):
-    return K.explode_sections(_sections(spark, sf_dir)).drop("text")
+    rows = texts(spark, sf_dir, CHAPTERED).select("doc_id", K.detect_chapters("text").alias("sections"))
+    return K.explode_sections(rows).withColumn("sha256", F.sha2("text", 256)).drop("text")
 
 
 @query()

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from inkmill.operators import gloss as G
-from inkmill.plans.catalog import ABBREVIATED, LINES, MARKED, READINGS, SP, SQL, SQUEEZE, STRIP, TOLD, query, small_sql, texts, texts_sql
-from inkmill.plans.records import MARKETING, MARKS, ROMAN_STEP, SECTION_NUMBERS, SIGNS, SPOKEN, arrows_step, chain
+from inkmill.plans.catalog import ABBREVIATED, CAPS, CHAPTERED, LINES, MARKED, READINGS, SP, SQL, SQUEEZE, STRIP, TOLD, WORDS, query, small_sql, texts, texts_sql
+from inkmill.plans.records import CHAPTER_LINE, MARKETING, MARKS, ROMAN_STEP, SECTION_NUMBERS, SIGNS, SPOKEN, arrows_step, chain
 
 A, AW = r"\p{L}\p{N}", r"\p{L}\p{N}_"
 _LINK = r"(?i)\b(?:https?://|www\.)\S+|\S+@\S+\.\S+"
@@ -138,3 +138,39 @@ SQL["markdown_text"] = (
     "h AS (SELECT *, count(*) FILTER (makes) OVER (PARTITION BY doc_id, island) AS n FROM u) "
     f"SELECT doc_id, coalesce(string_agg(CASE WHEN n > 0 AND {STRIP('out')} <> '' THEN repeat('== ', n) || {STRIP('out')} || repeat(' ==', n) ELSE out END, chr(10) ORDER BY i) FILTER (NOT makes), '') AS text FROM h GROUP BY doc_id"
 )
+
+
+# --- chapters --------------------------------------------------------------------------------------------------------
+
+_NO_CHAPTER = (
+    "mục lục|mụclục|nội dung|table of contents|contents|toc|danh mục|liên kết ngoài|liên kết|tham khảo|nguồn|ghi chú|ghi chú bản dịch|chú thích|chú thích sách|bản quyền|giấy phép|license|licence|"
+    "tác giả|soạn giả|người dịch|ban dịch|bản dịch|translator|translator[s]?|xem thêm|see also|liên quan|bibliography|thư mục|phụ lục|phụlục|appendix|phần đầu|phần cuối|lời giới thiệu|lời nói đầu|lời ngỏ|lời cảm ơn"
+)
+_CLEAN = lambda x: STRIP(f"regexp_replace({x}, '^[^\\p{{L}}]+', '')")
+_FRONT = lambda x: f"(length({_CLEAN(x)}) BETWEEN 1 AND 60 AND regexp_matches({_CLEAN(x)}, '(?i)^(?:{_NO_CHAPTER})') AND regexp_replace(regexp_replace({_CLEAN(x)}, '(?i)^(?:{_NO_CHAPTER})', ''), '[ .:\\-–—]', '', 'g') = '')"
+_WIKI = lambda k: f"^[{SP}]*={{{k}}}[{SP}]*([^=].*?[^{SP}]|[^={SP}])[{SP}]*={{{k}}}[{SP}]*$"
+_HEADING = (
+    "CASE " + " ".join(f"WHEN regexp_matches(s, '{_WIKI(k)}') THEN {STRIP(f'''regexp_extract(s, '{_WIKI(k)}', 1)''')}" for k in range(2, 7)) + f" WHEN regexp_matches(s, '^#{{1,6}}[{SP}]+.*[^{SP}][{SP}]*#*[{SP}]*$') "
+    f"THEN {STRIP(f'''regexp_extract(s, '^#{{1,6}}[{SP}]+(.*[^{SP}])[{SP}]*#*[{SP}]*$', 1)''')} END"
+)
+_RULED = f"{STRIP('s')} <> '' AND length(s) <= 90 AND regexp_matches(regexp_replace(next, '[{SP}]+$', ''), '^(?:={{3,}}|-{{3,}}|~{{3,}}|\\*{{3,}}|_{{3,}}|#{{3,}})$')"
+_OPENS = f"{CHAPTER_LINE} OR (w < 4000 AND next IS NOT NULL AND regexp_matches(s, '(?i)^[{SP}]*(?:[0-9]{{1,3}}|[ivxlcdm]{{1,7}})[.):]?[{SP}]*$')) OR ({CAPS})"
+#: Sections at marks, the opening before the first of them, and short ones folded into the next long one.
+SECTIONS = (
+    "t AS (SELECT doc_id, replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS text FROM {source} WHERE text IS NOT NULL), "
+    f"l AS (SELECT *, lead(s) OVER (PARTITION BY doc_id ORDER BY i) AS next FROM (SELECT doc_id, {WORDS('text')} AS w, unnest({LINES('text')}) AS s, generate_subscripts({LINES('text')}, 1) AS i FROM t)), "
+    f"h AS (SELECT *, {_HEADING} AS head FROM l), "
+    f"m AS (SELECT doc_id, i, coalesce(head, {STRIP('s')}) AS title, CASE WHEN head IS NOT NULL THEN {_FRONT('head')} ELSE {_FRONT('s')} END AS front FROM h WHERE head IS NOT NULL OR ({_RULED}) OR {_FRONT('s')} OR {_OPENS}), "
+    "e AS (SELECT *, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i), 1000000000) AS stop FROM m), "
+    "f AS (SELECT doc_id, min(i) AS at FROM m WHERE NOT front GROUP BY doc_id), "
+    f"c AS (SELECT e.doc_id, e.i, e.title, {STRIP('''coalesce(string_agg(l.s, chr(10) ORDER BY l.i), '')''')} AS text FROM e LEFT JOIN l ON l.doc_id = e.doc_id AND l.i > e.i AND l.i < e.stop WHERE NOT e.front GROUP BY e.doc_id, e.i, e.title "
+    f"UNION ALL SELECT * FROM (SELECT l.doc_id, 0, 'Phần mở đầu', {STRIP('string_agg(s, chr(10) ORDER BY i)')} AS o FROM l JOIN f ON l.doc_id = f.doc_id AND l.i < f.at GROUP BY l.doc_id) WHERE {WORDS('o')} >= 8 "
+    f"UNION ALL SELECT doc_id, 0, 'Nội dung', text FROM t WHERE {STRIP('text')} <> '' AND doc_id NOT IN (SELECT doc_id FROM m)), "
+    f"k AS (SELECT *, {WORDS('text')} AS n FROM c WHERE {STRIP('text')} <> ''), "
+    "g AS (SELECT *, coalesce(sum(CASE WHEN n >= 40 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(CASE WHEN n >= 40 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id) AS longs FROM k), "
+    f"j AS (SELECT doc_id, least(before, greatest(longs - 1, 0)) AS g, count(*) AS parts, arg_max(title, n * 1000000 - i) AS title, CASE WHEN count(*) = 1 THEN min(text) ELSE string_agg({STRIP('text')}, chr(10) || chr(10) ORDER BY i) END AS text FROM g GROUP BY ALL)"
+)
+SQL["detected_chapters"] = (
+    "WITH " + SECTIONS.replace("{source}", texts_sql(CHAPTERED)) + f" SELECT doc_id, index, 'chuong-' || lpad(index::VARCHAR, greatest(2, length(index::VARCHAR))::INT, '0') AS slug, title, 1::INT AS level, {WORDS('text')}::INT AS word_count, sha256(text) AS sha256 "
+    "FROM (SELECT *, (row_number() OVER (PARTITION BY doc_id ORDER BY g))::INT AS index FROM j)"
+)

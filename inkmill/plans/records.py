@@ -26,16 +26,16 @@ _SPLIT = lambda source: f"SELECT doc_id, unnest({LINES('text')}) AS s, generate_
 # --- lines -----------------------------------------------------------------------------------------------------------
 
 KINDS = ["Chương 12\nPHẦN II mở đầu\nthi x\n12.\niv\nXIV)\n====\n---\n~~~ \n# Một\n== Hai ==\nMỘT HAI BA\nMột HAI ba\nchương trình dài\nBook 3 of all the many books there are here\nchapter a\nmục  7: " + "x" * 90]
-_CHAPTER = f"regexp_matches(s, '(?i)^[{SP}]*(?:chương|chuong|phần|phan|mục|muc|bài|bai|thi|chuyện|chuyen|chapter|part|book|cuốn|cuon)[{SP}]*(?:[0-9]+|[ivxlcdm]+|[a-z])(?:[^{AW}][^\\n]*)?$')"
+CHAPTER_LINE = f"regexp_matches(s, '(?i)^[{SP}]*(?:chương|chuong|phần|phan|mục|muc|bài|bai|thi|chuyện|chuyen|chapter|part|book|cuốn|cuon)[{SP}]*(?:[0-9]+|[ivxlcdm]+|[a-z])(?:[^{AW}][^\\n]*)?$')"
 _HEADED = " OR ".join([f"regexp_matches(s, '^[{SP}]*={{{k}}}[{SP}]*(?:[^=].*[^{SP}=]|[^={SP}])[{SP}]*={{{k}}}[{SP}]*$')" for k in range(2, 7)] + [f"regexp_matches(s, '^#{{1,6}}[{SP}]+.*[^{SP}][{SP}]*#*[{SP}]*$')"])
 _SHOUTED = f"{WORDS('s')} >= 3 AND length(regexp_replace(s, '[^\\p{{L}}]', '', 'g')) > 0 AND length(regexp_replace(s, '[^\\p{{Lu}}]', '', 'g')) * 5 >= length(regexp_replace(s, '[^\\p{{L}}]', '', 'g')) * 4"
 
 
 @query(
-    f"SELECT doc_id, count(*) FILTER ({_CHAPTER}) AS chapter, count(*) FILTER (regexp_matches(s, '(?i)^[{SP}]*(?:[0-9]{{1,3}}|[ivxlcdm]{{1,7}})[.):]?[{SP}]*$')) AS bare, "
+    f"SELECT doc_id, count(*) FILTER ({CHAPTER_LINE}) AS chapter, count(*) FILTER (regexp_matches(s, '(?i)^[{SP}]*(?:[0-9]{{1,3}}|[ivxlcdm]{{1,7}})[.):]?[{SP}]*$')) AS bare, "
     f"count(*) FILTER (regexp_matches(s, '^(?:={{3,}}|-{{3,}}|~{{3,}}|\\*{{3,}}|_{{3,}}|#{{3,}})[{SP}]*$')) AS underline, count(*) FILTER ({_SHOUTED}) AS shouted, "
-    f"count(*) FILTER ({STRIP('s')} <> '' AND ({_HEADED} OR length(s) <= 90 AND {_CHAPTER})) AS heading, "
-    f"count(*) FILTER (length({STRIP('s')}) BETWEEN 1 AND 70 AND {WORDS('s')} <= 8 AND {_CHAPTER}) AS chapter_line FROM ({_SPLIT(texts_sql(KINDS))}) GROUP BY doc_id"
+    f"count(*) FILTER ({STRIP('s')} <> '' AND ({_HEADED} OR length(s) <= 90 AND {CHAPTER_LINE})) AS heading, "
+    f"count(*) FILTER (length({STRIP('s')}) BETWEEN 1 AND 70 AND {WORDS('s')} <= 8 AND {CHAPTER_LINE}) AS chapter_line FROM ({_SPLIT(texts_sql(KINDS))}) GROUP BY doc_id"
 )
 def line_kinds(spark, sf_dir):
     from inkmill.operators import patterns as P
@@ -423,7 +423,7 @@ def _steps(source: str, *steps: str) -> str:
 
 _ALONE = (
     f"({_HEADED.replace('(s,', '(r,')}) OR regexp_matches(r, '(?i)^\\s*(?:pagebreak|page break|-{{4,}}|={{4,}})\\s*$') "
-    f"OR (length({STRIP('r')}) <= 70 AND {WORDS('r')} <= 8 AND {_CHAPTER.replace('(s,', f'({STRIP(chr(114))},')})"
+    f"OR (length({STRIP('r')}) <= 70 AND {WORDS('r')} <= 8 AND {CHAPTER_LINE.replace('(s,', f'({STRIP(chr(114))},')})"
 )
 _UNDERLINE = "regexp_matches(r, '^(?:={3,}|-{3,}|~{3,}|\\*{3,}|_{3,})\\s*$')"
 _KIND = (
