@@ -489,7 +489,7 @@ def structured_chapters(spark, sf_dir):
     """Lines as sections, folded forward, split and merged: all the folds in a row."""
     rows = table(spark, sf_dir, "documents").select("doc_id", F.transform(T.lines("text"), lambda s, i: F.struct(F.format_string("%d", i + 1).alias("title"), s.alias("text"), F.lit(1).alias("level"))).alias("lines"))
     rows = rows.withColumn("folded", K.merge_short_sections("lines", 40)).withColumn("s", K.structure_chapters("folded", 400, 150, "Văn"))
-    return K.explode_sections(rows.select("doc_id", F.col("s.sections").alias("sections"))).drop("text")
+    return K.explode_sections(rows.select("doc_id", F.col("s.sections").alias("sections"))).withColumn("sha256", F.sha2("text", 256)).drop("text")
 
 
 _STRIPPED = STRIP("text")

@@ -174,3 +174,33 @@ SQL["detected_chapters"] = (
     "WITH " + SECTIONS.replace("{source}", texts_sql(CHAPTERED)) + f" SELECT doc_id, index, 'chuong-' || lpad(index::VARCHAR, greatest(2, length(index::VARCHAR))::INT, '0') AS slug, title, 1::INT AS level, {WORDS('text')}::INT AS word_count, sha256(text) AS sha256 "
     "FROM (SELECT *, (row_number() OVER (PARTITION BY doc_id ORDER BY g))::INT AS index FROM j)"
 )
+
+_TRIMMED = lambda x: f"regexp_replace({x}, '[ ,;:\\-—…]+$', '')"
+_LINE = _TRIMMED(f"regexp_replace(string_split({STRIP('text')}, chr(10))[1], '[{SP}]+$', '')")
+_CLIPPED = f"CASE WHEN length({_LINE}) <= 48 THEN {_LINE} ELSE {_TRIMMED(f'''coalesce(nullif(regexp_extract({_LINE}, '^(.{{1,47}}) ', 1), ''), left({_LINE}, 48))''')} END"
+#: Lines folded into the next of 40 words; what has over 400 split at paragraphs and windows; what has under 150 merged.
+SQL["structured_chapters"] = (
+    f"WITH RECURSIVE l AS (SELECT doc_id, i, s, {WORDS('s')} AS n FROM (SELECT doc_id, unnest({LINES('text')}) AS s, generate_subscripts({LINES('text')}, 1) AS i FROM documents)), "
+    "b AS (SELECT *, coalesce(sum(CASE WHEN n >= 40 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(CASE WHEN n >= 40 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id) AS longs FROM l), "
+    f"j AS (SELECT doc_id, least(before, greatest(longs - 1, 0)) AS g, CASE WHEN count(*) = 1 THEN min(s) ELSE coalesce(string_agg({STRIP('s')}, chr(10) || chr(10) ORDER BY i) FILTER ({STRIP('s')} <> ''), '') END AS text, sum(n) AS w FROM b GROUP BY ALL), "
+    f"q AS (SELECT doc_id, g, i, {STRIP('p')} AS p, {WORDS('p')} AS n FROM (SELECT doc_id, g, unnest(string_split_regex(text, '\\n\\s*\\n')) AS p, generate_subscripts(string_split_regex(text, '\\n\\s*\\n'), 1) AS i FROM j WHERE w > 400) WHERE {STRIP('p')} <> ''), "
+    "o AS (SELECT *, row_number() OVER (PARTITION BY doc_id, g ORDER BY i) AS r, coalesce(n > 400 OR lag(n) OVER (PARTITION BY doc_id, g ORDER BY i) > 400, true) AS starts FROM q), "
+    # packing within runs of paragraphs that are not too long
+    "f(doc_id, g, r, pos, size) AS (SELECT doc_id, g, r, r, n FROM o WHERE starts AND n <= 400 UNION ALL SELECT o.doc_id, o.g, o.r, CASE WHEN f.size + o.n > 400 AND f.size >= 150 THEN o.r ELSE f.pos END, CASE WHEN f.size + o.n > 400 AND f.size >= 150 THEN o.n ELSE f.size + o.n END "
+    "FROM f JOIN o ON o.doc_id = f.doc_id AND o.g = f.g AND o.r = f.r + 1 AND NOT o.starts), "
+    "c AS (SELECT f.doc_id, f.g, f.pos, 0 AS k, string_agg(o.p, chr(10) || chr(10) ORDER BY o.r) AS text FROM f JOIN o USING (doc_id, g, r) GROUP BY f.doc_id, f.g, f.pos "
+    "UNION ALL SELECT doc_id, g, r, k, array_to_string(ws[k * 400 + 1 : k * 400 + 400], ' ') FROM (SELECT doc_id, g, r, ws, unnest(range(0, (len(ws) + 399) // 400)) AS k FROM "
+    f"(SELECT doc_id, g, r, list_filter(regexp_split_to_array(p, '[{SP}]+'), lambda x: x <> '') AS ws FROM o WHERE n > 400))), "
+    "m AS (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS chunks FROM c), "
+    "p AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY g, pos, k) AS part FROM m WHERE chunks > 1), "
+    f"t AS (SELECT doc_id, g, pos, k, 'Phần ' || part || (CASE WHEN lower({_CLIPPED}) IN ('', 'văn') THEN '' ELSE ' — ' || ({_CLIPPED}) END) AS title, text FROM p UNION ALL SELECT doc_id, g, 0, 0, 'Văn', text FROM j WHERE (doc_id, g) NOT IN (SELECT (doc_id, g) FROM p)), "
+    f"s AS (SELECT *, {WORDS('text')} AS w, row_number() OVER (PARTITION BY doc_id ORDER BY g, pos, k) AS i, CASE WHEN count(*) OVER (PARTITION BY doc_id) > 1 THEN 150 ELSE 0 END AS floor FROM t), "
+    "z(doc_id, i, pos, w, title) AS (SELECT doc_id, i, 1, w, title FROM s WHERE i = 1 UNION ALL SELECT s.doc_id, s.i, CASE WHEN z.w < s.floor THEN z.pos ELSE z.pos + 1 END, CASE WHEN z.w < s.floor THEN z.w + s.w ELSE s.w END, "
+    "CASE WHEN z.w < s.floor AND s.w <= z.w THEN z.title ELSE s.title END FROM z JOIN s ON s.doc_id = z.doc_id AND s.i = z.i + 1), "
+    "y AS (SELECT doc_id, pos, max(w) AS w, arg_max(title, i) AS title FROM z GROUP BY doc_id, pos), "
+    "e AS (SELECT y.doc_id, max(y.pos) AS stop, arg_max(y.w, y.pos) < max(s.floor) AND count(*) > 1 AS back FROM y JOIN s ON s.doc_id = y.doc_id AND s.i = 1 GROUP BY y.doc_id), "
+    "x AS (SELECT y.doc_id, CASE WHEN back AND pos = stop THEN pos - 1 ELSE pos END AS index, y.w, y.title, pos FROM y JOIN e USING (doc_id)), "
+    "u AS (SELECT doc_id, index, sum(w) AS n, arg_max(title, w * 1000000 - pos) AS title FROM x GROUP BY doc_id, index), "
+    f"v AS (SELECT x.doc_id, x.index, CASE WHEN count(*) = 1 THEN min(s.text) ELSE coalesce(string_agg({STRIP('s.text')}, chr(10) || chr(10) ORDER BY s.i) FILTER ({STRIP('s.text')} <> ''), '') END AS text FROM x JOIN z ON z.doc_id = x.doc_id AND z.pos = x.pos JOIN s ON s.doc_id = z.doc_id AND s.i = z.i GROUP BY x.doc_id, x.index) "
+    "SELECT doc_id, index::INT AS index, 'chuong-' || lpad(index::VARCHAR, greatest(2, length(index::VARCHAR))::INT, '0') AS slug, title, 1::INT AS level, n::INT AS word_count, sha256(text) AS sha256 FROM u JOIN v USING (doc_id, index)"
+)
