@@ -458,7 +458,7 @@ def shared_with_nearest(pages: DataFrame, part_rows: int = PART_ROWS) -> DataFra
     """(page_id, url, mark, shared): for pages that share lines with their pair, the lines' numbers as 32-bit integers."""
     seen = staged(_keyed(pages).mapInArrow(_outlines, OUTLINE), "outlines")
     ranged = seen.repartitionByRange(seen.count() // part_rows + 1, *ORDER).sortWithinPartitions(*ORDER)
-    edged = staged(ranged.mapInArrow(_numbered, OUTLINE + ", ghost boolean, part int"), "edged-outlines")
+    edged = ranged.mapInArrow(_numbered, OUTLINE + ", ghost boolean, part int")
     dealt = edged.repartition("part").sortWithinPartitions("part", *ORDER, "ghost")
     return dealt.mapInArrow(_shared, "page_id long, url string, mark long, shared binary")
 
