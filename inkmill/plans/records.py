@@ -412,7 +412,7 @@ def book_checks(spark, sf_dir):
 # --- SQL of folds and of whole chains of steps -------------------------------------------------------------------------
 
 
-def _steps(source: str, *steps: str) -> str:
+def step_ctes(source: str, *steps: str) -> str:
     """CTEs s0, s1, ...: each step is an expression over ``text``, or a whole SELECT over {prev}."""
     out, prev = [f"s0 AS (SELECT doc_id, text FROM {source})"], "s0"
     for n, step in enumerate(steps, 1):
@@ -431,7 +431,7 @@ _KIND = (
     f"WHEN regexp_matches(r, {quoted(r"""[.!?…]["'”’»)\]]*$""")}) THEN 'end' ELSE 'open' END"
 )
 #: Paragraphs as islands of lines: one goes on after an open line, unless a title, a line over an underline, is there.
-_UNWRAPPED = (
+UNWRAPPED = (
     f"SELECT doc_id, regexp_replace(string_agg(para, chr(10) ORDER BY g), '^\\n+|\\n+$', '', 'g') AS text FROM ("
     "SELECT *, lag(para) OVER (PARTITION BY doc_id ORDER BY g) AS last FROM ("
     f"SELECT doc_id, g, string_agg({STRIP('r')}, ' ' ORDER BY i) AS para FROM ("
@@ -442,26 +442,26 @@ _UNWRAPPED = (
     ") WINDOW w AS (PARTITION BY doc_id ORDER BY i))) ) WHERE kind <> 'underline' GROUP BY doc_id, g)) "
     "WHERE NOT (para = '' AND coalesce(last, 'x') = '') GROUP BY doc_id"
 )
-_HYPHENS = f"regexp_replace(regexp_replace(text, '\\r\\n?', chr(10), 'g'), '([{AW}])-\\n[ \\t]*([a-zà-ỹ])', '\\1\\2', 'g')"
+HYPHENS = f"regexp_replace(regexp_replace(text, '\\r\\n?', chr(10), 'g'), '([{AW}])-\\n[ \\t]*([a-zà-ỹ])', '\\1\\2', 'g')"
 
 
 def chain(source: str, *steps: str, final: str = "SELECT doc_id, text FROM {last}") -> str:
-    return "WITH " + _steps(source, *steps) + " " + final.replace("{last}", f"s{len(steps)}")
+    return "WITH " + step_ctes(source, *steps) + " " + final.replace("{last}", f"s{len(steps)}")
 
 
 WRAPPED = ["Một dòng\ntiếp theo. \nHai\n\n\nChương 2\nba chuyến-\ntàu đi.\nTựa\n===\nx", "a b\nc d\n---\nMột câu.\n=====\n\n# x\ny \n z"]
-SQL["wrapped_lines"] = chain(texts_sql(WRAPPED), _HYPHENS, _UNWRAPPED)
+SQL["wrapped_lines"] = chain(texts_sql(WRAPPED), HYPHENS, UNWRAPPED)
 _GUTTERS = lambda x: f"regexp_replace({x}, '([^{SP}0-9])[ \\t]{{2,}}([^{SP}])', '\\1 \\2', 'g')"
 _LAYOUT = f"array_to_string(list_transform({LINES('text')}, lambda s: regexp_replace(s, '[{SP}]+$', '')), chr(10))"
 _LABELS = f"array_to_string(list_transform(list_filter({LINES("replace(text, chr(12), chr(10) || chr(10))")}, lambda s: NOT regexp_full_match({STRIP('s')}, '(?i)(?:đ[èe]o trang[ \\t]+[0-9]+|trang[ \\t]+[0-9]+|[0-9]+)')), lambda s: regexp_replace(s, '[{SP}]+$', '')), chr(10))"
 _NUMBERED = f"regexp_matches(s, '(?i)^[{SP}]*(?:trang[{SP}]+|page[{SP}]+)?[-–—]?[{SP}]*[0-9]{{1,4}}[{SP}]*[-–—]?[{SP}]*$')"
 _RUNNING = f"CASE WHEN length({STRIP('s')}) BETWEEN 1 AND 80 AND {WORDS('s')} <= 8 AND NOT regexp_matches({STRIP('s')}, {quoted(r"""[.!?…,:;"'”’»)\]}]$""")}) THEN {STRIP('s')} END"
-_NO_PAGES = (
+NO_PAGES = (
     f"SELECT o.doc_id, coalesce(string_agg(s, chr(10) ORDER BY i) FILTER (n < 5), '') AS text FROM {{prev}} o LEFT JOIN (SELECT *, CASE WHEN h IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY doc_id, h) END AS n FROM ("
     f"SELECT doc_id, s, i, {_RUNNING} AS h FROM ({_SPLIT('{prev}')}) WHERE NOT {_NUMBERED})) USING (doc_id) GROUP BY o.doc_id"
 )
 PDFS = ["Cột một    cột hai\n\f12\nTrang 3\nđèo trang 4\nmột câu\ndài. 5    6\nĐầu\na.\nĐầu\nb.\nĐầu\nc.\nĐầu\nd.\nĐầu\ne."]
-SQL["pdf_cleaned"] = chain(texts_sql(PDFS), _GUTTERS(_GUTTERS(_LAYOUT)), _LABELS, _NO_PAGES, _HYPHENS, _UNWRAPPED, f"SELECT doc_id, {SANITIZED} AS text FROM {{prev}}")
+SQL["pdf_cleaned"] = chain(texts_sql(PDFS), _GUTTERS(_GUTTERS(_LAYOUT)), _LABELS, NO_PAGES, HYPHENS, UNWRAPPED, f"SELECT doc_id, {SANITIZED} AS text FROM {{prev}}")
 
 ROMAN_STEP = (
     f"SELECT doc_id, array_to_string(list_transform(range(1, len(p) + 1), lambda i: p[i] || CASE WHEN i = len(p) THEN '' WHEN (i + 1 = len(p) AND p[i + 1] = '' OR regexp_matches(p[i + 1], '^[{SP}.,:;)\\]!?]')) AND {roman_sql('r[i]')} BETWEEN 1 AND 20 "

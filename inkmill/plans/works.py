@@ -10,8 +10,9 @@ from inkmill.operators import books as B
 from inkmill.operators import markup as M
 from inkmill.operators import translate as X
 from inkmill.operators import wikitext as W
-from inkmill.plans.catalog import LINES, SP, STRIP, WORDS, query, table, texts, texts_sql
-from inkmill.plans.records import ENTRIES, ENTRY, ENTRY_ROWS, FREE, book_sections
+from inkmill.plans.catalog import LINES, SANITIZED, SP, SQL, STRIP, WORDS, query, table, texts, texts_sql
+from inkmill.plans.reading import SECTIONS
+from inkmill.plans.records import ENTRIES, ENTRY, ENTRY_ROWS, FREE, HYPHENS, NO_PAGES, UNWRAPPED, book_sections, step_ctes
 from inkmill.sources import files as S
 from inkmill.sources import wiki as WS
 
@@ -179,3 +180,10 @@ def program_translations(spark, sf_dir):
     """Each batch of a text through a program of the system."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("role").alias("title"), "text")
     return X.translate_sections(rows, X.build_engine("command", line="tr a-z A-Z")).select("conv_id", "turn", "text", "translate_mode", "translate_note")
+
+
+#: Plain texts of pages, unwrapped, without page numbers, cleaned; then chapters. Their headings are all of one level.
+SQL["html_sections"] = (
+    "WITH " + step_ctes(f"(SELECT page_id AS doc_id, text FROM ({SQL['page_text']}))", HYPHENS, UNWRAPPED, NO_PAGES, f"SELECT doc_id, {SANITIZED} AS text FROM {{prev}}") + ", " + SECTIONS.replace("{source}", "s4")
+    + f" SELECT doc_id AS page_id, (row_number() OVER (PARTITION BY doc_id ORDER BY g) - 1)::INT AS pos, title, {WORDS('text')}::INT AS n_words FROM j"
+)
