@@ -182,9 +182,12 @@ class Field:
                 feats[a, b, : len(f)], gold[a, b], mask[a, b] = f, LABELS.index(table[a][b][1]), True
         w, t = np.zeros((len(self.index) + 1, k)), np.zeros((k, k))
         sums = [np.full_like(w, 1e-6), np.full_like(t, 1e-6)]
+        # tokens in like surroundings are scored once
+        kinds, kind = np.unique(feats.reshape(-1, width), axis=0, return_inverse=True)
+        kind = kind.reshape(n, length)
         for _ in range(rounds):
-            e = np.where(mask[..., None], w[feats].sum(2), 0)
-            gw, gt = self._gradient(e, t, feats, gold, mask, w.shape[0])
+            e = np.where(mask[..., None], w[kinds].sum(1)[kind], 0)
+            gw, gt = self._gradient(e, t, kinds, kind, gold, mask, w.shape[0])
             for x, g, s in ((w, gw / n - ridge * w, sums[0]), (t, gt / n - ridge * t, sums[1])):
                 s += g * g
                 x += rate * g / np.sqrt(s)
@@ -203,7 +206,7 @@ class Field:
         return out
 
     @staticmethod
-    def _gradient(e, t, feats, gold, mask, size):
+    def _gradient(e, t, kinds, kind, gold, mask, size):
         """Of the log likelihood, by forward and backward sums; a chain starts after O and ends before O."""
         n, length, k = e.shape
         lse = lambda x, axis: (m := x.max(axis, keepdims=True)).squeeze(axis) + np.log(np.exp(x - m).sum(axis))
@@ -219,7 +222,8 @@ class Field:
         p = np.exp(alpha + beta - z[:, None, None]) * mask[..., None]
         diff = np.eye(k)[gold] * mask[..., None] - p
         gw = np.zeros((size, k))
-        np.add.at(gw, feats.ravel(), np.repeat(diff.reshape(-1, k), feats.shape[2], axis=0))
+        by = np.stack([np.bincount(kind.ravel(), diff[..., y].ravel(), len(kinds)) for y in range(k)], axis=1)
+        np.add.at(gw, kinds.ravel(), np.repeat(by, kinds.shape[1], axis=0))
         gt = np.zeros((k, k))
         for i in range(1, length):
             on = mask[:, i]
