@@ -1,7 +1,11 @@
 """Near copies by true similarity: texts whose sets of 5-word shingles have a Jaccard index of at least 4/5.
 
-No radius of 64-bit SimHash finds these: at 4/5 fingerprints differ by about ten bits, with a wide spread. Here a
-prefix filter finds every pair. A set of n shingles has a prefix, its first n - ceil(4n/5) + 1 shingles in an order
+SimHash comes first: fingerprints of ``inkmill.llm.simhash`` within RADIUS bits are found by its generalised pigeonhole
+search, verified on the whole sets, and what is linked is one component. In a full bucket each text is verified against
+the one of the least fingerprint. No radius of 64 bits finds every pair: at 4/5 fingerprints differ by about ten bits, with
+a wide spread, so an exact way for the rest follows, over the pairs of texts that are not yet one component.
+
+This is a prefix filter. A set of n shingles has a prefix, its first n - ceil(4n/5) + 1 shingles in an order
 that all sets share; of two sets that are similar enough the first common shingle is in both prefixes, and in that of
 the smaller set among the first n - ceil(8n/9) + 1. The order is that of the hashes, but shingles of many texts come
 last, so lines that many texts share hardly ever bring texts together; which shingles go last (at most HEAVY, found in
@@ -29,8 +33,11 @@ from pyspark.sql import functions as F
 
 from inkmill.llm.common import fresh, slices, staged, texts, tidied
 from inkmill.llm.components import components
+from inkmill.llm.simhash import fingerprint, searched
 
 WORDS, SEED, BUCKET = 5, 42, 32
+#: Differing bits within which fingerprints are searched, and partitions: 3 x 22 probes a fingerprint at thresholds 1, 1, 1.
+RADIUS, PARTS = 5, 3
 #: Shingles that can go last, and bits of the filter in front of the verification: both of a fixed size.
 HEAVY, FILTER = 1 << 20, 1 << 23
 #: One text in SAMPLE shows which shingles go last: those that SHOWN of these texts have. COUNTED are counted at once.
@@ -102,14 +109,15 @@ def _counted(batches) -> Iterator[pa.RecordBatch]:
 
 
 def _keyed(heavy):
-    """Prefixes of texts, with the size of the set; kind is FIRST where the shingle is among those that decide for the
-    smaller set of a pair, and LAST where it is one of those that go last."""
+    """Fingerprints and prefixes of texts, with the size of the set; kind is FIRST where the shingle is among those that
+    decide for the smaller set of a pair, and LAST where it is one of those that go last."""
 
     @tidied
     def mapped(batches):
         for whole in batches:
             for batch in slices(whole):
-                sets = [shingles(t) for t in texts(batch)]
+                given = texts(batch)
+                sets = [shingles(t) for t in given]
                 found = [prefix(s, heavy.value) for s in sets]
                 keys = [k for k, _ in found]
                 flat = np.concatenate(keys)
@@ -117,8 +125,9 @@ def _keyed(heavy):
                 kind = np.concatenate([(np.arange(len(k)) < len(s) + (-8 * len(s)) // 9 + 1) * FIRST + (np.arange(len(k)) >= len(k) - n) * LAST for s, (k, n) in zip(sets, found)])
                 ends = pa.array(np.cumsum([0, *map(len, keys)]).astype(np.int32))
                 columns = [pa.array([_node(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32())]
+                columns.append(pa.array(np.array([fingerprint(t) for t in given], np.uint64).view(np.int64)))
                 lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (flat.view(np.int64), kind.astype(np.int8))]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), *columns, *lists], ["doc_id", "mark", "node", "size", "keys", "kinds"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), *columns, *lists], ["doc_id", "mark", "node", "size", "fp", "keys", "kinds"])
 
     return mapped
 
@@ -323,6 +332,27 @@ def _similar_pairs(pairs: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataF
     return _tested(likely, nodes, rows, np.ndarray.tobytes, _surely_similar, "similar")
 
 
+def by_fingerprint(nodes: DataFrame, rows: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """(node, root) of the texts that similar pairs with fingerprints within RADIUS bits link: all pairs that meet in a
+    bucket of at most ``bucket`` fingerprints, of at most ``bucket`` texts each. In a fuller one texts are verified
+    against that of the least fingerprint, and of more texts with one fingerprint the least stands for them."""
+    fps = nodes.groupBy("fp").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n"))
+    sized = staged(nodes.select("fp", "node", "size").join(fps, "fp"), "fingerprints")
+    found = searched(sized.filter("node = least").select("fp"), RADIUS, PARTS, bucket)
+    named = lambda x: sized.filter((F.col("n") <= bucket) | (F.col("node") == F.col("least"))).select(F.col("fp").alias(x), F.col("node").alias(x + "n"), F.col("size").alias(x + "s"))
+    same = sized.select(F.col("fp").alias("v"), F.col("node").alias("un"), F.col("size").alias("us")).join(named("v"), "v")
+    met = found.join(named("u"), "u").join(named("v"), "v").select("un", "us", "vn", "vs").unionByName(same.select("un", "us", "vn", "vs"))
+    met = met.filter((F.col("un") != F.col("vn")) & _close(F.col("us"), F.col("vs"))).select(F.least("un", "vn").alias("u"), F.greatest("un", "vn").alias("v"))
+    return components(_tested(staged(met.distinct(), "fingerprint-pairs"), nodes, rows, np.ndarray.tobytes, _surely_similar, "near"))
+
+
+def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (u, v) of texts that are not of one component."""
+    for x in ("u", "v"):
+        pairs = pairs.join(roots.select(F.col("node").alias(x), F.col("root").alias(x + "r")), x, "left")
+    return pairs.filter(F.coalesce("ur", "u") != F.coalesce("vr", "v")).select("u", "v")
+
+
 def _most(shown: DataFrame, most: int) -> np.ndarray:
     """The shingles h of shown(h, n) with the largest counts, about ``most`` of them, sorted; of a count that is cut
     through, a share by hash. The driver gets a number for each count, then only these shingles."""
@@ -341,9 +371,9 @@ def _rooted(rows: DataFrame, bucket: int, most: int) -> DataFrame:
     spark = rows.sparkSession
     shown = rows.filter(F.pmod(F.shiftright("mark", 8), F.lit(SAMPLE)) == 0).mapInArrow(_counted, "h long, n long")
     often = _most(staged(shown.groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= SHOWN), "shown"), most)
-    keyed = staged(rows.mapInArrow(_keyed(spark.sparkContext.broadcast(often)), "doc_id long, mark long, node long, size int, keys array<long>, kinds array<tinyint>"), "prefixes")
+    keyed = staged(rows.mapInArrow(_keyed(spark.sparkContext.broadcast(often)), "doc_id long, mark long, node long, size int, fp long, keys array<long>, kinds array<tinyint>"), "prefixes")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
-    nodes = staged(keyed.groupBy("node").agg(F.min(order).alias("e"), F.first("size").alias("size"), F.count(F.lit(1)).alias("copies")), "nodes")
+    nodes = staged(keyed.groupBy("node").agg(F.min(order).alias("e"), F.first("size").alias("size"), F.min("fp").alias("fp"), F.count(F.lit(1)).alias("copies")), "nodes")
     # of equal sets one is dealt; read back, the few that have copies are as small as their files say
     copied = staged(nodes.filter("copies > 1").select("node", "e"), "copied")
     once = keyed.join(copied, "node", "left").filter(F.col("e").isNull() | F.col("e").eqNullSafe(order))
@@ -355,7 +385,9 @@ def _rooted(rows: DataFrame, bucket: int, most: int) -> DataFrame:
     tops = full.filter("centre")
     top = tops.groupBy("h").agg(F.min(F.struct("node", "size")).alias("l"))
     linked = tops.join(top, "h").filter(_close(F.col("size"), F.col("l.size"))).select(F.col("node").alias("u"), F.col("l.node").alias("v"))
-    edges = _similar_pairs(met.filter("v is not null").select("u", "v").unionByName(linked), nodes, rows)
+    near = staged(by_fingerprint(nodes, rows, bucket), "near")
+    edges = _similar_pairs(_across(met.filter("v is not null").select("u", "v").unionByName(linked), near), nodes, rows)
+    edges = edges.unionByName(near.select(F.col("node").alias("u"), F.col("root").alias("v")))
     roots = staged(components(edges), "roots")
     # full shingles: what is not yet one component is compared across components
     held = full.join(roots, "node", "left").select("h", "node", "size", F.coalesce("root", "node").alias("root"))

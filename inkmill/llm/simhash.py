@@ -113,10 +113,8 @@ def _probes(key: Column, width: int, t: int) -> Column:
     return F.transform(F.array(*[F.lit(m).cast("long") for m in masks]), lambda m: key.bitwiseXOR(m))
 
 
-def links(nodes: DataFrame, radius: int = RADIUS, parts: int = PARTS, bucket: int = BUCKET) -> DataFrame:
-    """Edges (u, v) that connect all ``nodes(fp)`` within ``radius`` bits; nodes are distinct."""
-    if radius != 2:
-        raise ValueError("balls of radius 1 meet exactly within 2 bits; other radii need another way for full buckets")
+def allotted(nodes: DataFrame, radius: int, parts: int) -> tuple[list[list[int]], DataFrame, DataFrame, list[int]]:
+    """For distinct ``nodes(fp)``: the bits of each partition, (fp, part, key), the size of each bucket, and thresholds."""
     gram = np.zeros(4096)
     for at, s in nodes.select("fp").mapInArrow(_gram, "at long, s double").groupBy("at").agg(F.sum("s")).collect():
         gram[at] = s
@@ -132,7 +130,15 @@ def links(nodes: DataFrame, radius: int = RADIUS, parts: int = PARTS, bucket: in
     for i, o in enumerate(odds):
         zero, one, two = same.get(i, 0.0) + n, o.sum(), (o.sum() ** 2 - (o**2).sum()) / 2
         cost.append([0.0, zero, zero * (1 + one) + n * len(o), zero * (1 + one + two) + n * len(o) ** 2 / 2])
-    t = allocated(cost, radius)
+    return groups, keyed, sizes, allocated(cost, radius)
+
+
+def links(nodes: DataFrame, radius: int = RADIUS, parts: int = PARTS, bucket: int = BUCKET) -> DataFrame:
+    """Edges (u, v) that connect all ``nodes(fp)`` within ``radius`` bits; nodes are distinct."""
+    if radius != 2:
+        raise ValueError("balls of radius 1 meet exactly within 2 bits; other radii need another way for full buckets")
+    fp = F.col("fp")
+    groups, keyed, sizes, t = allotted(nodes, radius, parts)
     probed = None
     for i, g in enumerate(groups):
         if t[i] >= 0:
@@ -149,6 +155,27 @@ def links(nodes: DataFrame, radius: int = RADIUS, parts: int = PARTS, bucket: in
     return near.unionByName(star)
 
 
+def _probes_in(part: int, fp: Column, bits: list[int], t: int) -> Column:
+    return F.transform(_probes(_key(fp, bits), len(bits), t), lambda k: F.struct(F.lit(part).alias("part"), k.alias("key")))
+
+
+def searched(nodes: DataFrame, radius: int, parts: int, bucket: int) -> DataFrame:
+    """Pairs (u, v) of distinct ``nodes(fp)`` within ``radius`` bits: all that meet in a bucket of at most ``bucket`` nodes, and
+    of those that probe a fuller one only the pairs with its least fingerprint; the rest needs another way."""
+    fp = F.col("fp")
+    groups, keyed, sizes, t = allotted(nodes, radius, parts)
+    # all partitions in one list: over a union, joins with no full bucket would vanish from some parts of the plan only
+    lists = F.concat(*[_probes_in(i, fp, g, t[i]) for i, g in enumerate(groups) if t[i] >= 0])
+    probed = nodes.select("fp", F.explode(lists).alias("k")).select("fp", "k.part", "k.key")
+    full = sizes.filter(F.col("size") > bucket).select("part", "key")
+    least = keyed.join(full, ["part", "key"], "left_semi").groupBy("part", "key").agg(F.min("fp").alias("v"))
+    far = probed.join(least, ["part", "key"]).select(fp.alias("u"), "v")
+    index, probe = keyed.join(full, ["part", "key"], "left_anti"), probed.join(full, ["part", "key"], "left_anti")
+    near = probe.withColumnRenamed("fp", "u").join(index.withColumnRenamed("fp", "v"), ["part", "key"]).select("u", "v")
+    found = near.unionByName(far).filter((F.col("u") != F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= radius))
+    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
 def _rooted(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Fingerprint rows of documents, and (fp, root) of every distinct fingerprint."""
     rows = staged(fingerprints(docs), "fingerprints")

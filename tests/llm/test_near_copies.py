@@ -109,3 +109,41 @@ def test_hardly_similar_group(make, monkeypatch, cell):
         rows.append((i, " ".join(copy)))
     kept = S.drop_near_copies(make(rows), 4, 1000)
     assert 1 < len(slow_kept(rows)) < 60 and sorted(x.doc_id for x in kept.collect()) == slow_kept(rows)
+
+
+def test_fingerprints_decide_first(make, monkeypatch):
+    """The pairs that the search of fingerprints finds, no bucket full, against every pair; the exact way gets only the rest."""
+    rows, seen = corpus(), {}
+    by_fingerprint, similar_pairs = S.by_fingerprint, S._similar_pairs
+
+    def first(nodes, *more):
+        seen["fp"] = {r.node: (r.fp, r.e.doc_id) for r in nodes.collect()}
+        out = by_fingerprint(nodes, *more)
+        seen["root"] = {r.node: r.root for r in out.collect()}
+        return out
+
+    def rest(pairs, *more):
+        seen["rest"] = [tuple(r) for r in pairs.collect()]
+        return similar_pairs(pairs, *more)
+
+    monkeypatch.setattr(S, "by_fingerprint", first)
+    monkeypatch.setattr(S, "_similar_pairs", rest)
+    assert sorted(r.doc_id for r in S.drop_near_copies(make(rows), 1000).collect()) == slow_kept(rows)
+    texts, fp, root = dict(rows), seen["fp"], seen["root"]
+    sets = {n: S.shingles(texts[i]) for n, (_, i) in fp.items()}
+    group = {n: n for n in fp}
+    for a in fp:
+        for b in fp:
+            if group[a] != group[b] and ((fp[a][0] ^ fp[b][0]) & (2**64 - 1)).bit_count() <= S.RADIUS and S.similar(sets[a], sets[b]):
+                group = {n: group[a] if g == group[b] else g for n, g in group.items()}
+    pairs = {(group[n], root.get(n, n)) for n in fp}
+    assert len(pairs) == len(set(group.values())) == len({r for _, r in pairs}) < len(fp) - 20
+    assert seen["rest"] and all(root.get(u, u) != root.get(v, v) for u, v in seen["rest"])
+
+
+def test_fingerprints_in_full_buckets(make):
+    """A group of copies with one word changed in 2,000, and of texts that only share most words, one bucket all."""
+    base = [f"t{i}" for i in range(2000)]
+    rows = [(i, " ".join("x%d" % i if k == 40 * i else w for k, w in enumerate(base))) for i in range(40)]
+    rows += [(100 + i, " ".join(w for k, w in enumerate(base) if k % 4 or i % 3 == k % 3)) for i in range(6)]
+    assert sorted(r.doc_id for r in S.drop_near_copies(make(rows), 4).collect()) == slow_kept(rows)
