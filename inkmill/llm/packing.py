@@ -1,10 +1,11 @@
 """Lexical retrieval packing: documents that share words are packed into the same token windows.
 
-Each text becomes ids once; its words (runs of ids from one word start to the next) give BM25 terms, hashed into
-2**BITS buckets so that corpus counts have a fixed size. Documents are sorted by the least hash of their terms, so
-lexically close ones meet, and cut into shards; a shard has its own inverted index with weights from the counts of
-the whole corpus. A seed document opens a window; the index returns its unused neighbours by BM25 score, which fill
-the window greedily. What of the last one doesn't fit is the next seed. Only a shard's last window is not full.
+Each text becomes ids once, and of a slice of texts each different word. A text's words (runs of ids from one word start
+to the next) give BM25 terms, hashed into 2**BITS buckets so that corpus counts have a fixed size. Documents are sorted by
+the least hash of their terms, so lexically close ones meet, and cut into shards; a shard has its own inverted index with
+weights from the counts of the whole corpus. A seed document opens a window; the index returns its unused neighbours by
+BM25 score, which fill the window greedily. What of the last one doesn't fit is the next seed. Only a shard's last window
+is not full.
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import documents, id_and_text, slices, staged, texts, tidied
+from inkmill.llm.common import documents, id_and_text, slices, staged, tidied
 
 WINDOW, END = 2048, 1
 BITS = 18
@@ -32,6 +34,8 @@ TASK_IDS = 1 << 23
 DENSE = 16
 #: Fixed value: the split pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: A space that white space or the end follows, as RE2 spells what PATTERN holds for white space.
+LOOSE = r" ([\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]|$)"
 #: A run of white space longer than this goes through the tokenizers library, whose matcher has no depth limit.
 LONG_WHITE = " " * 10_000
 
@@ -61,39 +65,77 @@ class ByteCodec:
         self.kind = np.uint16 if size <= 1 << 16 else np.uint32
         #: ids with which a word starts: all but those that begin with a letter or the rest of one
         self.starts = np.ones(size, bool)
+        #: ids that begin with a space
+        self.spaced = np.zeros(size, bool)
         for token, i in ranks.items():
             self.starts[i] = not (token[:1].isalpha() or token[0] >= 0x80)
+            self.spaced[i] = token[0] == 0x20
         self.mixed = np.random.default_rng(11).integers(1, 1 << 32, size, dtype=np.uint32)
 
+    def _encoded(self, text: str) -> np.ndarray:
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype(self.kind)
+
     def ids(self, text: str) -> np.ndarray:
         """The text's ids and END."""
         if any(s in text for s in self.special) or LONG_WHITE in text:
-            ids = self.slow.encode(text, add_special_tokens=False).ids
+            ids = np.array(self.slow.encode(text, add_special_tokens=False).ids, self.kind)
         else:
-            ids = self.fast.encode_ordinary(text)
-        out = np.empty(len(ids) + 1, self.kind)
-        out[:-1], out[-1] = ids, END
-        return out
-
-    def terms(self, ids: np.ndarray) -> np.ndarray:
-        """Bucket of each word, in order of buckets: the words' ids, END left out, are mixed and summed."""
-        ids = ids[:-1]
-        if not len(ids):
-            return np.zeros(0, np.int64)
+            ids = self._encoded(text)
+        return np.append(ids, self.kind(END))
+
+    def all_ids(self, given: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``ids`` of all texts, null as empty, joined, and where those of each text end.
+
+        PATTERN always cuts before a space that something other than white space follows. So the words after a text's
+        first space are encoded once for each that is different, joined by spaces; no other id there begins with a space,
+        which tells the words apart again. A text with other spaces, or a special token, is encoded as a whole.
+        """
+        given = pc.fill_null(given, "")
+        whole = pc.match_substring_regex(given, LOOSE)
+        for s in self.special:
+            whole = pc.or_(whole, pc.match_substring(given, s))
+        parts = pc.split_pattern(pc.if_else(whole, "", given), " ")
+        more = pc.list_value_length(parts).to_numpy().astype(np.int64) - 1
+        slot = np.cumsum(more + 2)  # a text's first word, those after it, END
+        head = slot - more - 2
+        words = parts.flatten()
+        after = np.ones(len(words), bool)
+        after[head - np.arange(len(head))] = False
+        words = words.filter(pa.array(after)).dictionary_encode()
+        known = words.dictionary
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(known)], known), " ")[0].as_py() if len(known) else ""
+        table = self._encoded(" " + joined) if len(known) else np.zeros(0, self.kind)
+        low = np.flatnonzero(self.spaced[table])
+        assert len(low) == len(known)
+        firsts = [self.ids(t)[:-1] if w else self._encoded(f) for t, w, f in zip(given.to_pylist(), whole.to_pylist(), pc.list_element(parts, 0).to_pylist())]
+        n = np.concatenate([np.diff(low, append=len(table)), np.fromiter(map(len, firsts), np.int64, len(firsts)), [1]])
+        flat = np.concatenate([table, *firsts, np.array([END], self.kind)])
+        low = np.cumsum(n) - n
+        which = np.empty(len(after) + len(given), np.int64)
+        rest = np.ones(len(which), bool)
+        rest[head] = rest[slot - 1] = False
+        which[head], which[slot - 1], which[rest] = len(known) + np.arange(len(given)), len(n) - 1, words.indices.to_numpy()
+        n = n[which]
+        ends = np.cumsum(n)
+        at = np.repeat(low[which] - ends + n, n)
+        at += np.arange(len(at))
+        return flat[at], ends[slot - 1]
+
+    def terms(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Buckets of the words of documents, whose ids are joined: the number of each one's document, bucket, and how
+        often it is there, in order of documents and buckets. The words' ids, END left out, are mixed and summed."""
         starts = self.starts[ids]
-        starts[0] = True
-        h = np.add.reduceat(self.mixed[ids], np.flatnonzero(starts), dtype=np.uint32)
+        starts[0] = starts[ends[:-1]] = starts[ends - 1] = True  # END is by itself, the last of each document
+        at = np.flatnonzero(starts)
+        h = np.add.reduceat(self.mixed[ids], at, dtype=np.uint32)
         h ^= h >> np.uint32(15)
         h *= np.uint32(0x85EBCA6B)
         h >>= np.uint32(32 - BITS)
-        h.sort()
-        return h.astype(np.int64)
-
-
-def runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Values of a sorted array and how often each occurs."""
-    first = np.flatnonzero(np.diff(x, prepend=-1))
-    return x[first], np.diff(first, append=len(x))
+        last = np.searchsorted(at, ends) - 1
+        key = np.delete(np.repeat(np.arange(len(ends)) << BITS, np.diff(last, prepend=-1)) | h, last)
+        key.sort()
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        return key[first] >> BITS, key[first] & (1 << BITS) - 1, np.diff(first, append=len(key))
 
 
 @lru_cache(1)
@@ -110,17 +152,20 @@ def _tokenised(path: str):
         names = ["doc_id", "ids", "key", "bucket", "n"]
         for whole in batches:
             for batch in slices(whole):
-                ids, keys = [], []
-                for text in texts(batch):
-                    mine = c.ids(text)
-                    terms, _ = runs(c.terms(mine))
-                    seen[terms] += 1
-                    ids.append(mine.tobytes())
-                    keys.append(int((terms.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(1)).min()) if len(terms) else 0)
-                    length += len(mine)
+                ids, ends = c.all_ids(batch.column("text"))
+                owner, term, _ = c.terms(ids, ends)
+                seen += np.bincount(term, minlength=1 << BITS)
+                keys = np.zeros(batch.num_rows, np.int64)
+                first = np.flatnonzero(np.diff(owner, prepend=-1))
+                if len(first):
+                    mixed = term.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(1)
+                    keys[owner[first]] = np.minimum.reduceat(mixed, first).astype(np.int64)
+                length += len(ids)
+                offsets = pa.array(np.append(0, ends) * ids.itemsize, pa.int64())
+                held = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, offsets.buffers()[1], pa.py_buffer(ids)])
                 docs += batch.num_rows
                 none = pa.nulls(batch.num_rows, pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(keys, pa.int64()), none, none], names)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), held.cast(pa.binary()), pa.array(keys), none, none], names)
         at = np.flatnonzero(seen)
         # counts end with the number of documents and of ids
         at, n = np.append(at, [-1, -2]), np.append(seen[at], [docs, length])
@@ -135,12 +180,8 @@ class Shard:
 
     def __init__(self, docs: list[tuple[object, np.ndarray]], c: ByteCodec, idf: np.ndarray, mean: float):
         self.docs = docs
-        found = [runs(c.terms(ids)) for _, ids in docs]
-        n = np.array([len(t) for t, _ in found], np.int64)
-        self.owner = np.repeat(np.arange(len(docs)), n)
-        term = np.concatenate([t for t, _ in found])
-        tf = np.concatenate([k for _, k in found])
         size = np.array([len(ids) for _, ids in docs])
+        self.owner, term, tf = c.terms(np.concatenate([ids for _, ids in docs]), np.cumsum(size))
         norm = K1 * (1 - B + B * size / max(mean, 1))
         weight = idf[term] * tf * (K1 + 1) / (tf + norm[self.owner])
         # words of many documents are columns of a matrix, the others have postings

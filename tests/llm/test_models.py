@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -165,6 +166,52 @@ def test_codec_over_all_characters():
         assert c.fast.encode_ordinary(text) == c.slow.encode(text, add_special_tokens=False).ids, hex(points[at])
 
 
+def split_ids(c, given):
+    ids, ends = c.all_ids(pa.array(given, pa.string()))
+    return [x.tolist() for x in np.split(ids, ends[:-1])]
+
+
+def test_codec_of_a_slice():
+    """Texts together get the ids that the library gives each; white space of all kinds anywhere, special tokens, nulls."""
+    t, c = Tokenizer.from_file(PATH), K.codec(PATH)
+    r = random.Random(5)
+    white = [chr(i) for i in range(0x3001) if re.fullmatch(r"\s", chr(i))]
+    forms = ["a {0}b", "a{0} b", "{0}", " {0}", "a{0}", "a {0}", "{0} a", "a {0}{1}b c", "a b{0}{1} c", "{0}a {1}a"]
+    texts = [None, "", " ", "a", " a", "a ", *(f.format(a, b) for f in forms for a in white for b in white)]
+    texts += ["".join(r.choices(["a", "b ", " c", "'s", " '", "中", " é", ".\n", "\x00", " 12", *white[:6], "<|endoftext|>"], [9] * 10 + [1] * 7, k=r.randint(0, 25))) for _ in range(5000)]
+    r.shuffle(texts)
+    for at in range(0, len(texts), 700):
+        got = split_ids(c, texts[at : at + 700])
+        assert got == [[*t.encode(x or "", add_special_tokens=False).ids, 1] for x in texts[at : at + 700]]
+    assert split_ids(c, [None]) == split_ids(c, [""]) == [[1]]
+
+
+def test_codec_of_a_slice_over_all_characters():
+    c = K.codec(PATH)
+    points = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000 and not re.fullmatch(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]", chr(i))]
+    texts = ["|".join(f.format(p) for p in points[at : at + 2000] for f in ("a {0}b", "{0} 1{0}", " '{0}\n{0}'s {0} x")) for at in range(0, len(points), 2000)]
+    assert split_ids(c, texts) == [[*c.slow.encode(x, add_special_tokens=False).ids, 1] for x in texts]
+
+
+def test_codec_encodes_a_word_once(monkeypatch):
+    """Of a slice's texts only the different words are encoded, whatever the number of texts."""
+    c = K.ByteCodec(PATH)
+    seen, fast = [], c.fast
+
+    class Counted:
+        def encode_to_numpy(self, text, **how):
+            seen.append(len(text))
+            return fast.encode_to_numpy(text, **how)
+
+    monkeypatch.setattr(c, "fast", Counted())
+    r = random.Random(6)
+    words = [prose(r).split()[0] + str(i) for i in range(50)]
+    texts = [" ".join(["a", *r.choices(words, k=100)]) for _ in range(400)]
+    got = split_ids(c, texts)
+    assert sum(seen) < 2000 + sum(len(w) + 1 for w in words)
+    assert got == [[*fast.encode_ordinary(x), 1] for x in texts]
+
+
 def test_bm25(monkeypatch):
     c = K.ByteCodec(PATH)
     texts = ["red green blue", "red green blue sky", "one two three", "one two red", "zebra"]
