@@ -31,8 +31,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import fresh, slices, staged, texts, tidied
-from inkmill.llm.components import components
+from inkmill.llm.common import freed, fresh, slices, staged, texts, tidied
+from inkmill.llm.components import FEW, components
 from inkmill.llm.simhash import fingerprint, searched
 
 WORDS, SEED, BUCKET = 5, 42, 32
@@ -321,6 +321,7 @@ def _tested(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, pack, test, nam
     """The pairs (u, v) whose packed sets pass the test."""
     some = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
     sets = _packed(some, nodes, rows, pack, name + "-sets")
+    freed(rows.sparkSession)
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("hashes").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("hashes").alias("b")), "v")
     return staged(both.select("u", "v", "a", "b").mapInArrow(_passed(test), "u long, v long"), name)
 
@@ -343,7 +344,7 @@ def by_fingerprint(nodes: DataFrame, rows: DataFrame, bucket: int = BUCKET) -> D
     same = sized.select(F.col("fp").alias("v"), F.col("node").alias("un"), F.col("size").alias("us")).join(named("v"), "v")
     met = found.join(named("u"), "u").join(named("v"), "v").select("un", "us", "vn", "vs").unionByName(same.select("un", "us", "vn", "vs"))
     met = met.filter((F.col("un") != F.col("vn")) & _close(F.col("us"), F.col("vs"))).select(F.least("un", "vn").alias("u"), F.greatest("un", "vn").alias("v"))
-    return components(_tested(staged(met.distinct(), "fingerprint-pairs"), nodes, rows, np.ndarray.tobytes, _surely_similar, "near"))
+    return components(_tested(staged(met.distinct(), "fingerprint-pairs"), nodes, rows, np.ndarray.tobytes, _surely_similar, "near"), few=FEW)
 
 
 def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -381,6 +382,7 @@ def _rooted(rows: DataFrame, bucket: int, most: int) -> DataFrame:
     flat = flat.withColumn("salt", F.when(F.col("kind") >= LAST, F.pmod("node", F.lit(SALTS)).cast("int")).otherwise(0))
     dealt = flat.repartition("h", "salt").sortWithinPartitions("h", "salt", F.xxhash64("node", F.pmod("h", F.lit(CENTRES))), "node")
     met = staged(dealt.mapInArrow(_met(bucket), MET), "met")
+    freed(spark)
     full = met.filter("h is not null").select("h", F.col("u").alias("node"), "size", "first", "centre")
     tops = full.filter("centre")
     top = tops.groupBy("h").agg(F.min(F.struct("node", "size")).alias("l"))
@@ -388,7 +390,8 @@ def _rooted(rows: DataFrame, bucket: int, most: int) -> DataFrame:
     near = staged(by_fingerprint(nodes, rows, bucket), "near")
     edges = _similar_pairs(_across(met.filter("v is not null").select("u", "v").unionByName(linked), near), nodes, rows)
     edges = edges.unionByName(near.select(F.col("node").alias("u"), F.col("root").alias("v")))
-    roots = staged(components(edges), "roots")
+    roots = staged(components(edges, few=FEW), "roots")
+    freed(spark)
     # full shingles: what is not yet one component is compared across components
     held = full.join(roots, "node", "left").select("h", "node", "size", F.coalesce("root", "node").alias("root"))
     open_ = held.groupBy("h").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("n")).filter("a <> b")
@@ -401,7 +404,7 @@ def _rooted(rows: DataFrame, bucket: int, most: int) -> DataFrame:
         cells = members.select("h", "node", "root", "size", block, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
         cells = cells.select("*", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")).join(shared, "node").join(signs, "node")
         across = cells.repartition("h", "lo", "hi").sortWithinPartitions("h", "lo", "hi", "node").mapInArrow(_apart, "u long, v long")
-        roots = components(edges.unionByName(_similar_pairs(across, nodes, rows)))
+        roots = components(edges.unionByName(_similar_pairs(across, nodes, rows)), few=FEW)
     return nodes.select("node", "e").join(roots, "node", "left").select("e", F.coalesce("root", "node").alias("root"))
 
 

@@ -3,6 +3,7 @@ import random
 import corpus_pipeline as P
 import pytest
 
+from inkmill.llm import components as C
 from inkmill.llm import near_copies as S
 
 
@@ -147,3 +148,50 @@ def test_fingerprints_in_full_buckets(make):
     rows = [(i, " ".join("x%d" % i if k == 40 * i else w for k, w in enumerate(base))) for i in range(40)]
     rows += [(100 + i, " ".join(w for k, w in enumerate(base) if k % 4 or i % 3 == k % 3)) for i in range(6)]
     assert sorted(r.doc_id for r in S.drop_near_copies(make(rows), 4).collect()) == slow_kept(rows)
+
+
+def linked(edges):
+    """Smallest node of each node's component, edge after edge."""
+    root = {x: x for e in edges for x in e}
+    for a, b in edges:
+        if root[a] != root[b]:
+            old, new = max(root[a], root[b]), min(root[a], root[b])
+            root = {x: new if y == old else y for x, y in root.items()}
+    return root
+
+
+@pytest.mark.parametrize("few", [0, 60, C.FEW])
+def test_components_by_rounds_and_by_one_task(spark, few):
+    """Chains, stars, repeated edges and loops; at 60 edges rounds come first."""
+    r = random.Random(few)
+    edges = [(i, i + 1) for i in range(0, 90)] + [(-5, -7 - i) for i in range(20)] + [(1000 + r.randrange(60), 1000 + r.randrange(60)) for _ in range(40)]
+    edges = [e if r.random() < 0.5 else e[::-1] for e in edges + edges[:9]]
+    r.shuffle(edges)
+    found = C.components(spark.createDataFrame(edges, "u long, v long").repartition(3), few=few).collect()
+    assert len(found) == len({x.node for x in found}) and {x.node: x.root for x in found} == linked([e for e in edges if e[0] != e[1]])
+    assert C.components(spark.createDataFrame([(3, 3)], "u long, v long"), few=few).count() == 0
+
+
+def test_one_task_links_any_graph():
+    import numpy as np
+
+    r = random.Random(11)
+    for k in range(300):
+        n = r.randrange(1, 50)
+        edges = [(r.randrange(-30, n), r.randrange(-30, n)) for _ in range(r.randrange(1, 70))] if k % 4 else [(i, i + 1) for i in r.sample(range(n), n)]
+        node, root = C.rooted(*(np.array(x, np.int64) for x in zip(*edges)))
+        assert dict(zip(node.tolist(), root.tolist())) == linked(edges)
+
+
+def test_few_jobs(spark, make):
+    """The driver holds the plans of every job; rounds for a few edges were most of them."""
+
+    def last():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+        return max(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+    docs = make(corpus())
+    docs.count()
+    before = last()
+    assert S.drop_near_copies(docs, 3).count() == len(slow_kept(corpus()))
+    assert last() - before < 180
